@@ -7,18 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from takepick.llm.bpe import bpe_round_trip
 from takepick.llm.chat_format import format_chats, loss_text
 from takepick.llm.exact_dedup import exact_dedup
+from takepick.llm.packing import pack
+from takepick.llm.tokens import default_tokenizer
+from takepick.llm.topk import exact_topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), default_tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe_round_trip(_table(spark, sf_dir, "documents"), default_tokenizer())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return exact_topk(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -40,11 +64,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_exact_dedup, op8_chat_format)}
+    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op8_chat_format": OP8_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op7_topk": OP7_SQL, "op8_chat_format": OP8_SQL}
 
 
 OP6_SQL = """
@@ -54,6 +78,18 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t
 FROM t JOIN g ON t.norm = g.norm
 """
 
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS q FROM embeddings
+  WHERE len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+t AS (SELECT vec_id, unnest(q) AS w, generate_subscripts(q, 1) AS term FROM v),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, sum(a.w * b.w)::BIGINT AS score FROM t a JOIN t b ON a.term = b.term AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP8_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
