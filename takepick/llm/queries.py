@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from takepick.llm.bpe import bpe_round_trip
 from takepick.llm.chat_format import format_chats, loss_text
 from takepick.llm.exact_dedup import exact_dedup
+from takepick.llm.minhash import near_duplicates
 from takepick.llm.packing import pack
 from takepick.llm.tokens import default_tokenizer
 from takepick.llm.topk import exact_topk
@@ -63,8 +64,13 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format)}
+    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
