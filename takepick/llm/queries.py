@@ -14,6 +14,7 @@ from takepick.llm.minhash import near_duplicates
 from takepick.llm.packing import pack
 from takepick.llm.tokens import default_tokenizer
 from takepick.llm.topk import exact_topk
+from takepick.llm.toxicity import fit_toxicity, held_out, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,13 +65,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format, op10_minhash)}
+    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format, op9_toxicity, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
