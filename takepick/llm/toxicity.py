@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from takepick.llm.common import Scratch, text_batches
+from takepick.llm.common import Scratch, Words, sets_of_shingles, text_batches
+from takepick.llm.minhash import sketch
 
 WORD = re.compile(r"[^\W_]+")
 #: Marks that open or close a quotation, and words that report speech in the four languages of the documents.
@@ -249,6 +250,30 @@ def _choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: f
     return best, [chosen[t] for t in best]
 
 
+def _unlike(drawn: DataFrame) -> list[int]:
+    """Ids of drawn documents of which none is a near copy of one before it.
+
+    Copies of one toxic document would make terms of its other words.  Each has
+    four MinHash values of five-word shingles; one seen before marks a copy.
+    """
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            doc, shingles = sets_of_shingles(Words(texts), 5)
+            four = sketch(doc, shingles, len(texts), 4).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(four[:, i]) for i in range(4))], ["id", "a", "b", "c", "d"])
+
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for i, *four in sorted(map(tuple, drawn.mapInArrow(values, "id long, a long, b long, c long, d long").collect())):
+        keys = set(enumerate(four))
+        if not keys & seen:
+            out.append(i)
+        seen |= keys
+    return out
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -262,7 +287,7 @@ def fit_toxicity(
     """Learn from labelled documents outside the held-out fold.
 
     The documents learned from are bounded by ``sample_per_label`` of each label
-    (those whose hashed ids are least), the terms by ``lexicon``.  Labels other
+    (those whose hashed ids are least, near copies once), the terms by ``lexicon``.  Labels other
     than 0 and 1 are ignored; of several labels of one document the largest
     counts.  Without labelled documents of both kinds every score is 0.
     """
@@ -272,7 +297,9 @@ def fit_toxicity(
     with Scratch(docs.sparkSession) as s:
         chosen = s.table(one(0).unionAll(one(1)))  # at most 2 * sample_per_label rows of 12 bytes: small enough to broadcast
         source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        sample = s.table(source.join(F.broadcast(chosen), "id").select("y", "text"))
+        drawn = s.table(source.join(F.broadcast(chosen), "id"))
+        one_each = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in _unlike(drawn)], "id long"))
+        sample = s.table(drawn.join(one_each, "id").select("y", "text"))
         sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
         toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
         if not toxic or not clean:
