@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from takepick.llm.bpe import bpe_round_trip
 from takepick.llm.chat_format import format_chats, loss_text
 from takepick.llm.exact_dedup import exact_dedup
+from takepick.llm.license_scan import scan_licenses
+from takepick.llm.line_dedup import dedup_lines, duplicate_lines
 from takepick.llm.minhash import near_duplicates
 from takepick.llm.packing import pack
+from takepick.llm.substring_dedup import duplicate_spans
 from takepick.llm.tokens import default_tokenizer
 from takepick.llm.topk import exact_topk
 from takepick.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -26,6 +29,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = duplicate_spans(_table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start", "length", "n_chunks", "first_doc_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_round_trip(_table(spark, sf_dir, "documents"), default_tokenizer())
     return coded.select(
@@ -36,6 +44,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = dedup_lines(docs, duplicate_lines(docs), report=True)
+    return cleaned.select(
+        "doc_id",
+        "removed_lines",
+        F.array_join(F.col("sources").cast("array<string>"), ",").alias("sources"),
+        F.length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -76,8 +100,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OPERATORS = (
+    op1_packing,
+    op2_substring_dedup,
+    op3_bpe,
+    op4_line_dedup,
+    op5_license_scan,
+    op6_exact_dedup,
+    op7_topk,
+    op8_chat_format,
+    op9_toxicity,
+    op10_minhash,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_bpe, op6_exact_dedup, op7_topk, op8_chat_format, op9_toxicity, op10_minhash)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
