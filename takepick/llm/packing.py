@@ -52,29 +52,41 @@ def fillings(bins: int, depth: int) -> np.ndarray:
     return out
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Minimise |a x - b| over x >= 0 (Lawson and Hanson's active set method)."""
-    x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
-    gradient = a.T @ (b - a @ x)
-    tolerance = 1e-9 * max(1.0, float(np.abs(b).max(initial=0)))
+@cache
+def gram(bins: int, depth: int) -> np.ndarray:
+    a = fillings(bins, depth)
+    return a.T @ a
+
+
+def nnls(a: np.ndarray, b: np.ndarray, g: np.ndarray | None = None, rounds: int = 400) -> np.ndarray:
+    """Minimise |a x - b| over x >= 0 (Lawson and Hanson's active set method, on normal equations ``g = a.T a``)."""
+    g, ab = a.T @ a if g is None else g, a.T @ b
+    x, active = np.zeros(len(ab)), np.zeros(len(ab), bool)
+    gradient = ab.copy()
+    tolerance = 1e-9 * max(1.0, float(np.abs(ab).max(initial=0)))
     for _ in range(rounds):
         free = np.where(active, -np.inf, gradient)
         best = int(np.argmax(free)) if len(free) else -1
         if best < 0 or free[best] <= tolerance:
             break
         active[best] = True
-        while active.any():
-            trial = np.zeros_like(x)
-            trial[active] = np.linalg.lstsq(a[:, active], b, rcond=None)[0]
-            bad = active & (trial <= 1e-12)
+        while True:
+            on = np.flatnonzero(active)
+            if not len(on):
+                break
+            part = g[np.ix_(on, on)]
+            part[np.diag_indices(len(on))] += 1e-10  # columns may depend on one another
+            trial = np.linalg.solve(part, ab[on])
+            bad = trial <= 1e-12
             if not bad.any():
-                x = trial
+                x[on] = trial
                 break
-            step = np.min(x[bad] / np.maximum(x[bad] - trial[bad], 1e-300))
-            x = x + min(max(step, 0.0), 1.0) * (trial - x)
+            step = np.min(x[on][bad] / np.maximum(x[on][bad] - trial[bad], 1e-300))
+            x[on] += min(max(step, 0.0), 1.0) * (trial - x[on])
             active &= x > 1e-12
             x[~active] = 0
-        gradient = a.T @ (b - a @ x)
+        on = np.flatnonzero(active)
+        gradient = ab - g[:, on] @ x[on]
     return x
 
 
@@ -92,7 +104,7 @@ def pack_block(pieces: list[Piece], window: int, unit: int, depth: int) -> tuple
     a = fillings(bins, depth)
     usable = np.flatnonzero((a <= counts[:, None]).all(axis=0))
     if len(usable):
-        solved = nnls(a[:, usable], counts.astype(float))
+        solved = nnls(a[:, usable], counts.astype(float), gram(bins, depth)[np.ix_(usable, usable)])
         for j in np.argsort(-solved, kind="stable"):
             uses = [(u, int(a[u, usable[j]])) for u in np.flatnonzero(a[:, usable[j]])]
             times = min(int(solved[j] + 0.5), *(len(by_bin[u]) // n for u, n in uses))
