@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from takepick.functions.audio import concat_wavs
 
@@ -18,7 +18,7 @@ def concat_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: floa
     Files are read by the tasks that need them, clip after clip, so no file
     passes through a shuffle and a task holds one candidate at a time.
     """
-    schema = candidates.schema.add("wav", "binary").add("error", "string")
+    schema = StructType([*candidates.schema.fields, StructField("wav", BinaryType()), StructField("error", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -80,4 +80,4 @@ def not_yet_written(candidates: DataFrame, overwrite: bool = False) -> DataFrame
         for pdf in batches:
             yield pdf[[not os.path.exists(p) for p in pdf["audio"]]]
 
-    return candidates.mapInPandas(run, candidates.schema).withColumn("audio", F.col("audio"))
+    return candidates.mapInPandas(run, candidates.schema)
