@@ -22,6 +22,15 @@ from takepick.llm.common import text_batches
 from takepick.llm.tokens import ChunkIds, load, once
 
 NONE = 1 << 62
+#: A word of Latin letters and the marks after it: two pre-tokens at most, in composed form as it stands.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level pre-tokenisation writes for each byte: itself if printable, else one from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class SegmentTreeBPE:
@@ -47,6 +56,15 @@ class SegmentTreeBPE:
             for token, i in table.items():
                 self.token[i] = token
         self.words: dict[str, list[int]] = {}
+        self.letters = byte_letters()
+        self.plain = PLAIN if self._as_assumed(spec) else None
+
+    @staticmethod
+    def _as_assumed(spec: dict) -> bool:
+        """Whether the file's rules are those that ``PLAIN`` and ``lower`` stand for."""
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        return kinds == ["NFC", "Replace", "Lowercase"] and "[\\p{L}]+" in str(split.get("pattern", {}).get("Regex")) and [r["type"] for r in rest] == ["ByteLevel"]
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Symbols after all merges, lowest rank first, leftmost first."""
@@ -109,6 +127,12 @@ class SegmentTreeBPE:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; special tokens written in it are those tokens."""
+        if self.plain and (m := self.plain.fullmatch(text)):
+            word, marks = m.groups()
+            word = word.lower()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.letters)
+            return self.word(word) + self.word(marks) if marks else self.word(word)
         out: list[int] = []
         for piece in self.special_re.split(text) if self.special_re else [text]:
             if piece in self.special:

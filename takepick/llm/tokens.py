@@ -42,26 +42,32 @@ def chunks(text: str) -> list[str]:
 class ChunkIds:
     """Ids of texts as bytes; ``encode`` turns a list of new chunks into lists of ids.
 
-    At most ``bound`` chunks are remembered, and none of over 64 characters.
+    About ``bound`` chunks are remembered, those used last, and none of over 64
+    characters.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], vocabulary: int, bound: int = 600_000):
-        self.encode, self.bound, self.seen = encode, bound, {}
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], vocabulary: int, bound: int = 800_000):
+        self.encode, self.bound, self.seen, self.before = encode, bound, {}, {}
         self.dtype = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [chunks(t or "") for t in texts]
-        new = list(set().union(*cut).difference(self.seen))
-        if len(self.seen) + len(new) > self.bound:
-            self.seen = {}
-            new = list(set().union(*cut))
+        if len(self.seen) > self.bound // 2:
+            self.seen, self.before = {}, self.seen
+        seen, before = self.seen, self.before
+        new = []
+        for c in set().union(*cut).difference(seen):
+            if (known := before.get(c)) is None:
+                new.append(c)
+            else:
+                seen[c] = known
         for c, ids in zip(new, self.encode(new)):
-            self.seen[c] = np.array(ids, self.dtype).tobytes()
-        get, dtype = self.seen.__getitem__, self.dtype
+            seen[c] = np.array(ids, self.dtype).tobytes()
+        get, dtype = seen.__getitem__, self.dtype
         out = [np.frombuffer(b"".join(map(get, c)), dtype) for c in cut]
         for c in new:
             if len(c) > 64:
-                del self.seen[c]
+                del seen[c]
         return out
 
 

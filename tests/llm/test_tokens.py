@@ -46,7 +46,7 @@ def test_segment_tree_equals_library_on_documents(spark):
 
 def test_every_character_alone_and_between_letters():
     bpe, library = SegmentTreeBPE(default_tokenizer()), load(default_tokenizer())
-    texts = [f"a{chr(c)}b {chr(c)}" for c in [*range(0x3100), *range(0xA000, 0xD800, 7), *range(0xE000, 0x1F700, 11)]]
+    texts = [f"a{chr(c)}b {chr(c)} {chr(c)}, A{chr(c)}!" for c in [*range(0x3100), *range(0xA000, 0xD800, 7), *range(0xE000, 0x1F700, 11)]]
     for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         assert [i for c in chunks(text) for i in bpe.encode(c)] == e.ids, ascii(text)
 
