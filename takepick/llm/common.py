@@ -83,6 +83,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(F.coalesce(c.cast("string"), F.lit("")), UPPER, UPPER.lower())
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row, even where lambdas use it for each item."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

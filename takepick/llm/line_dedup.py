@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from takepick.llm.common import Scratch, fresh, text_batches
+from takepick.llm.common import Scratch, fresh, let, text_batches
 from takepick.llm.patience import align, blocks
 
 
@@ -99,9 +99,11 @@ def dedup_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     k, h, x, o = fresh(docs, "tp_id", "tp_hash", "tp_lines", "tp_sources")
     lost = found.select(F.col("doc_id").alias(k), F.col("text_hash").alias(h), F.col("lines").alias(x), F.col("sources").alias(o))
     same = (docs[id_col].cast("long") == lost[k]) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == lost[h])
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(x))
-    cleaned = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    def kept(lines: Column) -> Column:
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(x)), lambda i: F.get(lines, i)), "\n")
+
+    cleaned = let(F.split(F.col(text_col), "\n", -1), kept)
     joined = docs.join(lost, same, "left").withColumn(text_col, F.when(F.col(x).isNull(), F.col(text_col)).otherwise(cleaned))
     more = [F.coalesce(F.size(x), F.lit(0)).cast("long").alias("removed_lines"), F.coalesce(o, F.array().cast("array<long>")).alias("sources")] if report else []
     return joined.select(*docs.columns, *more)

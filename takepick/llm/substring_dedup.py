@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from takepick.llm.common import Scratch, fresh, mix, stream, text_batches
+from takepick.llm.common import Scratch, fresh, let, mix, stream, text_batches
 
 WINDOW = 16
 GEAR = (stream(256, 53) >> np.uint64(20)).astype(np.uint16)
@@ -110,11 +110,13 @@ def duplicate_spans(docs: DataFrame, mean: int = 24, min_bytes: int = 100, id_co
 
 def without_spans(text: Column, spans: Column) -> Column:
     """The text without the given byte spans (array of (start, length), sorted); they begin and end at characters."""
-    raw = F.encode(text, "UTF-8")
     stop = F.concat(F.transform(spans, lambda x: x["start"]), F.array(F.octet_length(text).cast("long")))
     go = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda x: x["start"] + x["length"]))
-    parts = F.transform(F.arrays_zip(go.alias("go"), stop.alias("stop")), lambda p: F.decode(F.substr(raw, (p["go"] + 1).cast("int"), (p["stop"] - p["go"]).cast("int")), "UTF-8"))
-    return F.array_join(parts, "")
+
+    def cut(raw: Column) -> Column:
+        return F.array_join(F.transform(F.arrays_zip(go.alias("go"), stop.alias("stop")), lambda p: F.decode(F.substr(raw, (p["go"] + 1).cast("int"), (p["stop"] - p["go"]).cast("int")), "UTF-8")), "")
+
+    return let(F.encode(text, "UTF-8"), cut)
 
 
 def dedup_substrings(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
