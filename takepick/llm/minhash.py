@@ -7,9 +7,10 @@ coordinate is filled for every set, agrees with probability equal to the Jaccard
 similarity, and has the concentration of t independent draws.
 
 Texts with equal shingle sets form one class, of which one row goes on.  Within
-a bucket (equal band) classes are first compared with the bucket's first class
-only; connected components are formed, and only pairs of a bucket that are still
-in different components are compared after that, each once.  Pairs inside one
+a bucket (equal band) classes are first compared with the bucket's most central
+class only; connected components are formed, and only pairs of a bucket that are still
+in different components are compared after that, each once, unless their shingles
+that no other candidate has rule a link out.  Pairs inside one
 component can't change it, so no component differs from that of all pairs, and a
 bucket of many copies costs one comparison per member.  Similarities are counted
 on full shingle sets.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import Scratch, Words, mix, sets_of_shingles, stream, text_batches
@@ -98,7 +99,7 @@ def near_duplicates(
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_batches([whole], "ta", 2 << 20):
+            for batch in text_batches([whole], "ta"):
                 b, kind = batch.column("b").to_numpy(), batch.column("tb").to_pylist()
                 distinct, at = np.unique(b, return_index=True)
                 sets = {}
@@ -113,6 +114,13 @@ def near_duplicates(
                     good[i] = 100 * both >= percent * (len(p) + len(q) - both)
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in (batch.column("a"), batch.column("b"))], ["a", "b"])
 
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            doc, sh = sets_of_shingles(Words(batch.column("text").to_pylist()), shingle)
+            rid = batch.column("rid").to_numpy()[doc]
+            for at in range(0, len(sh), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(sh[at : at + (1 << 16)].view(np.int64)), pa.array(rid[at : at + (1 << 16)])], ["shingle", "rid"])
+
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     with Scratch(docs.sparkSession) as s:
@@ -126,7 +134,7 @@ def near_duplicates(
         entries = s.table(
             described.join(classes.select("rid"), "rid").select("rid", "n", F.explode("bands").alias("key"))
         )
-        buckets = entries.groupBy("key").agg(F.min("rid").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "lead")
+        buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
         members = s.table(entries.join(buckets, "key"))
         wanted = members.select("rid").distinct().join(described.select("rid", "doc_id", "text_hash"), "rid")
         texts = s.table(
@@ -135,22 +143,35 @@ def near_duplicates(
         if texts.count() > wanted.count():  # rows repeated with one id and text
             texts = s.table(texts.dropDuplicates(["rid"]))
 
+        # A shingle that no other candidate has is in no intersection: so a set's other shingles bound all its similarities.
+        lone = texts.mapInArrow(spread, "shingle long, rid long").groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("rid"))
+        lone = lone.where("c = 1").groupBy("rid").agg(F.count(F.lit(1)).alias("u"))
+        sizes = wanted.select("rid").join(described.select("rid", "n"), "rid").join(lone, "rid", "left")
+        sizes = s.table(sizes.select("rid", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared")).where(F.col("shared") * 100 >= F.col("n") * percent))
+
+        def possible(x: str, y: str) -> Column:
+            return F.least(f"shared{x}", f"shared{y}") * (100 + percent) >= (F.col(f"n{x}") + F.col(f"n{y}")) * percent
+
         def linked(pairs: DataFrame) -> DataFrame:
             left = pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("ta")), "a")
             return left.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
 
-        fits = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-        tried = members.where("rid <> lead").groupBy(F.col("rid").alias("a")).agg(F.min("lead").alias("b"))
-        tried = s.table(tried)
+        # first with the bucket's set of fewest lone shingles, which most of a group of copies are linked with
+        members = s.table(members.select("key", "rid").join(sizes, "rid"))
+        central = F.struct((F.lit(1000) * (F.col("n") - F.col("shared")) / F.col("n")).cast("long").alias("far"), F.col("rid").alias("lead"), F.col("n").alias("n2"), F.col("shared").alias("shared2"))
+        leads = members.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
+        tried = members.join(leads, "key").select("rid", "n", "shared", "l", "l.*").where(F.col("lead") != F.col("rid"))
+        tried = s.table(tried.where(possible("", "2")).groupBy(F.col("rid").alias("a")).agg(F.min("l").alias("l")).select("a", F.col("l.lead").alias("b")))
         links = s.table(linked(tried))
         labels = components(s, links)
         named = members.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        named = s.table(named.select("key", "rid", "n", "label"))
+        named = s.table(named.select("key", "rid", "n", "shared", "label"))
         open_ = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         still = s.table(named.join(open_, "key", "left_semi"))
-        other = still.select("key", F.col("rid").alias("b"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-        rest = still.withColumnRenamed("rid", "a").join(other, "key").where((F.col("a") > F.col("b")) & (F.col("label") != F.col("label2")) & fits)
-        rest = s.table(rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        other = still.select("key", F.col("rid").alias("b"), F.col("n").alias("n2"), F.col("shared").alias("shared2"), F.col("label").alias("label2"))
+        apart = (F.col("x.key") == F.col("y.key")) & (F.col("a") > F.col("b")) & (F.col("label") != F.col("label2")) & possible("", "2")
+        rest = still.withColumnRenamed("rid", "a").alias("x").join(other.alias("y"), apart).select("a", "b").distinct()
+        rest = s.table(rest.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
         more = s.table(linked(rest))
         if not more.isEmpty():
             labels = components(s, links.unionAll(more))
