@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import text_batches
-from takepick.llm.tokens import ChunkIds, load, once
+from takepick.llm.tokens import OWNER, ChunkIds, load, once
 
 NONE = 1 << 62
 #: A word of Latin letters and the marks after it: two pre-tokens at most, in composed form as it stands.
@@ -167,7 +167,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, ids_of = segment_tree(tokenizer)
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", 4 << 20, OWNER):
             ids = ids_of(batch.column(1).to_pylist())
             ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
             flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)

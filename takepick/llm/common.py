@@ -170,17 +170,41 @@ def sets_of_shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], hashes[new]
 
 
-def text_batches(batches: Iterable, text: str, limit: int = 4 << 20):
+#: What a worker process keeps between the tasks of one operator.
+kept: dict = {}
+_owner = [""]
+
+
+def claim(owner: str) -> None:
+    """The worker now serves ``owner``: what another operator has kept goes, and unused memory back to the system."""
+    if owner == _owner[0]:
+        return
+    _owner[0] = owner
+    kept.clear()
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def text_batches(batches: Iterable, text: str, limit: int = 2 << 20, owner: str = "none"):
     """Cut Arrow batches so that each holds about ``limit`` bytes of text at most (one text at least)."""
+    import pyarrow.compute as pc
+
+    claim(owner)
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        if batch.column(at).nbytes <= limit or batch.num_rows <= 1:
+        column = batch.column(batch.schema.get_field_index(text))
+        if column.nbytes <= limit or batch.num_rows <= 1:
             yield batch
             continue
-        import pyarrow.compute as pc
-
-        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0))
-        part = np.cumsum(lengths) // limit
+        part = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import text_batches
-from takepick.llm.tokens import library_ids
+from takepick.llm.tokens import OWNER, library_ids
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -190,7 +190,7 @@ def pack(
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-        for batch in text_batches(batches, "text"):
+        for batch in text_batches(batches, "text", 4 << 20, OWNER):
             whole: list[list[Piece]] = []
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist())):
                 held[row] = doc, np.append(ids, ids.dtype.type(end_id))

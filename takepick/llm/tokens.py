@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
+from takepick.llm.common import claim, kept
+
 #: Fixed value: what Python's split() takes for white space and the tokenizer doesn't.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -71,14 +73,15 @@ class ChunkIds:
         return out
 
 
-_kept: dict[tuple, ChunkIds] = {}
+OWNER = "tokens"
 
 
-def once(key: tuple, make: Callable[[], ChunkIds]) -> ChunkIds:
+def once(key: tuple, make: Callable):
     """One object for each key in a worker process, so that tasks share what was seen."""
-    if key not in _kept:
-        _kept[key] = make()
-    return _kept[key]
+    claim(OWNER)
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
 def library_ids(path: str) -> ChunkIds:

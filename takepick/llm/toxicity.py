@@ -159,7 +159,7 @@ class Matcher:
         """(term, edits, word, quoted) of every hit in a whole text."""
         chunks = text.lower().split()
         seen = self.seen
-        if len(seen) > 400_000:
+        if len(seen) > 200_000:
             seen.clear()
         there = set(chunks)
         for c in there.difference(seen):
@@ -357,9 +357,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.matcher()
-        for batch in batches:
+        for batch in text_batches(batches, kept[at]):
             score = m.scores([None if t is None else str(t) for t in batch.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "score"])
 
-    scored = docs.select(*kept).mapInArrow(run, schema)
+    scored = docs.select(*kept).withColumn(kept[at], F.col(kept[at]).cast("string")).mapInArrow(run, schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
