@@ -1,9 +1,11 @@
 """Line dedup by pairwise alignment.
 
-Each line's hash nominates the earliest document that holds the line as partner
-of every later one, the rarest line of a pair being its evidence.  So a line of
-any frequency takes part, at one pair for each later document: no line is too
-common, and no group of copies makes pairs among its members.  A pair is aligned
+Each run of lines of just ``min_bytes`` nominates the earliest document that holds
+the run as partner of every later one.  A common block of any two documents is
+made of such runs, so each part of it has a partner that holds that very part,
+not only its lines one by one.  A run of any frequency takes part, at one pair
+for each later document: no run is too common, and no group of copies makes
+pairs among its members.  A pair is aligned
 by patience diff over line hashes; common blocks of at least ``min_bytes`` are
 deleted from the later document.  The earliest holder of a line never loses it,
 so of every deleted line one copy stays.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,20 @@ def line_hashes(text: str) -> tuple[list[int], list[int]]:
     return [xxhash.xxh3_64_intdigest(x) - (1 << 63) if x else 0 for x in lines], [len(x) for x in lines]
 
 
+def runs(hashes: list[int], sizes: list[int], min_bytes: int) -> list[tuple[int, int, int]]:
+    """(hash, start, end) of all shortest runs of at least ``min_bytes`` that begin or end at a line; no line may be empty.
+
+    Every line of a longer run is in one of the shortest runs within it.
+    """
+    raw = memoryview(np.array(hashes, np.int64).tobytes())
+    ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    n = len(hashes)
+    to = np.searchsorted(ends, ends[:-1] + min_bytes)  # from each line on
+    back = np.searchsorted(ends, ends[1:] - min_bytes, "right") - 1  # up to each line
+    cuts = {(i, j) for i, j in enumerate(to.tolist()) if j <= n} | {(i, j) for j, i in enumerate(back.tolist(), 1) if i >= 0}
+    return [(xxhash.xxh3_64_intdigest(raw[8 * i : 8 * j]) - (1 << 63), i, j) for i, j in sorted(cuts)]
+
+
 def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int) -> list[int]:
     """Lines of the later document within aligned blocks of at least ``min_bytes`` (empty lines don't end a block)."""
     full_a, full_b = [i for i, x in enumerate(later) if x], [i for i, x in enumerate(earlier) if x]
@@ -44,7 +61,7 @@ def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_byt
 def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document that loses lines: doc_id, text_hash, lines (sorted line numbers from 0), sources (ids).
 
-    Lines are compared without white space at their ends; those of fewer than
+    Lines are compared without white space at their ends; runs of lines of fewer than
     ``min_line`` bytes nominate no partner but are part of blocks.  The later of two
     documents is that of the larger id.  Rows with a null id take no part; rows
     of one id are not compared with one another, and equal ones have one result.
@@ -55,7 +72,8 @@ def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
             made = [line_hashes(t) for t in batch.column("text").to_pylist()]
-            keys = [sorted({h for h, n in zip(*m) if n >= min_line}) for m in made]
+            full = [([h for h in m[0] if h], [n for h, n in zip(*m) if h]) for m in made]
+            keys = [sorted({k for k, i, j in runs(h, n, min_bytes) if max(n[i:j]) >= min_line}) for h, n in full]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "hashes", "sizes", "keys"],
@@ -76,10 +94,8 @@ def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id
     with Scratch(docs.sparkSession) as s:
         described = s.table(source.mapInArrow(describe, "doc_id long, text_hash long, hashes array<long>, sizes array<int>, keys array<long>").dropDuplicates(["doc_id", "text_hash"]))
         held = described.select("doc_id", "text_hash", F.explode("keys").alias("key"))
-        shared = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("df")).where("first < last").select("key", "first", "df")
-        pairs = s.table(
-            held.join(shared, "key").where("doc_id > first").groupBy("doc_id", "text_hash", "first").agg(F.min("df").alias("rarest"), F.count(F.lit(1)).alias("shared"))
-        )
+        shared = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+        pairs = s.table(held.join(shared, "key").where("doc_id > first").select("doc_id", "text_hash", "first").distinct())
         both = pairs.join(described.select("doc_id", "text_hash", "hashes", "sizes"), ["doc_id", "text_hash"])
         other = described.select(F.col("doc_id").alias("first"), F.col("hashes").alias("other"))
         lost = both.join(other, "first").select("doc_id", "text_hash", "first", "hashes", "sizes", "other").mapInArrow(compare, "doc_id long, text_hash long, first long, lines array<int>")

@@ -265,3 +265,37 @@ def test_line_dedup_brute_force(spark):
     assert all(x.strip() in kept for _, t in rows for x in (t or "").split("\n"))  # one copy of every line stays
     none = frame(spark, [])
     assert dedup_lines(none, duplicate_lines(none)).collect() == []
+
+
+def held_before(rows, min_bytes=64):
+    """Lines of each text within a run of at least ``min_bytes`` that some document of smaller id holds."""
+    full = [(i, [x.strip() for x in (t or "").split("\n") if x.strip()]) for i, t in rows]
+    found = {}
+    for i, a in full:
+        lost = set()
+        for _, b in [r for r in full if r[0] < i]:
+            for p in range(len(a)):
+                for q in range(len(b)):
+                    n = 0
+                    while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
+                        n += 1
+                    if sum(len(x.encode()) for x in a[p : p + n]) >= min_bytes:
+                        lost |= set(range(p, p + n))
+        found[i] = [x for k, x in enumerate(a) if k not in lost]
+    return found
+
+
+def kept_lines(spark, rows):
+    docs = frame(spark, rows)
+    return {r.doc_id: [x.strip() for x in r.text.split("\n") if x.strip()] for r in dedup_lines(docs, duplicate_lines(docs)).collect()}
+
+
+def test_a_passage_whose_lines_an_earlier_document_scatters(spark):
+    rng = random.Random(23)
+    block = [passage(rng, 6, "s") for _ in range(12)]
+    one = lambda: passage(rng, 6, "o")
+    rows = [(1, "\n".join(x for b in block for x in (b, one()))), (2, "\n".join([one(), *block, one()])), (3, "\n".join([*block, one()]))]
+    rows += [(4, "\n".join([one(), *block[:2], one(), *block[3:9], one()])), (5, "\n".join([*block[6:], "tail"])), (6, "\n".join(["head", *block[6:], "tail"]))]
+    got = kept_lines(spark, rows)
+    assert got == held_before(rows)
+    assert len(got[2]) == 14 and len(got[3]) == 1 and got[6] == ["head"]
