@@ -6,8 +6,9 @@ made of such runs, so each part of it has a partner that holds that very part,
 not only its lines one by one.  A run of any frequency takes part, at one pair
 for each later document: no run is too common, and no group of copies makes
 pairs among its members.  A pair is aligned
-by patience diff over line hashes; common blocks of at least ``min_bytes`` are
-deleted from the later document.  The earliest holder of a line never loses it,
+by patience diff over line hashes, and runs it leaves unmatched, repeated in one
+of the two or in another order, are found by their hashes; common blocks of at
+least ``min_bytes`` are deleted from the later document.  The earliest holder of a line never loses it,
 so of every deleted line one copy stays.
 
 Hashes travel, a text only once, when its lines are deleted.
@@ -48,14 +49,18 @@ def runs(hashes: list[int], sizes: list[int], min_bytes: int) -> list[tuple[int,
 
 
 def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int) -> list[int]:
-    """Lines of the later document within aligned blocks of at least ``min_bytes`` (empty lines don't end a block)."""
+    """Lines of the later document within blocks of at least ``min_bytes`` that the earlier one holds (empty lines don't end a block).
+
+    Alignment matches a line once and in order; where it leaves lines, every run the earlier document holds counts.
+    """
     full_a, full_b = [i for i, x in enumerate(later) if x], [i for i, x in enumerate(earlier) if x]
-    out: list[int] = []
-    for i, _, n in blocks(align([later[p] for p in full_a], [earlier[p] for p in full_b])):
-        rows = full_a[i : i + n]
-        if sum(sizes[r] for r in rows) >= min_bytes:
-            out += range(rows[0], rows[-1] + 1)
-    return out
+    a, b, of_a = [later[p] for p in full_a], [earlier[p] for p in full_b], [sizes[p] for p in full_a]
+    spans = [(i, i + n) for i, _, n in blocks(align(a, b)) if sum(of_a[i : i + n]) >= min_bytes]
+    if sum(j - i for i, j in spans) < len(a):
+        size = dict(zip(a, of_a))
+        there = {k for k, _, _ in runs(b, [size.get(x, min_bytes) for x in b], min_bytes)}
+        spans += [(i, j) for k, i, j in runs(a, of_a, min_bytes) if k in there]
+    return sorted({r for i, j in spans for r in range(full_a[i], full_a[j - 1] + 1)})
 
 
 def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -299,3 +299,18 @@ def test_a_passage_whose_lines_an_earlier_document_scatters(spark):
     got = kept_lines(spark, rows)
     assert got == held_before(rows)
     assert len(got[2]) == 14 and len(got[3]) == 1 and got[6] == ["head"]
+
+
+def test_passages_repeated_in_either_document_or_moved(spark):
+    p, a, b, c = [[n * 10 + k for k in range(1, 5)] for n in range(1, 5)]
+    for later, earlier, lost in (
+        (a + p + b, c + p + [99] + p + [98], range(4, 8)),
+        (a + p + [97] + p + b, c + p + [98], [*range(4, 8), *range(9, 13)]),
+        (p + a, a + p, range(8)),
+        (a + p[:3] + b, c + p[:3] + [99] + p[:3] + [98], []),
+    ):
+        assert common_lines(later, [20] * len(later), earlier, 64) == list(lost)
+    rng = random.Random(29)
+    lines = [passage(rng, n, "r") for n in (4, 4, 5, 5, 12)]
+    rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.8 else passage(rng, 5, "n") for _ in range(12))) for i in range(60)]
+    assert kept_lines(spark, rows) == held_before(rows)
