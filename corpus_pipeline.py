@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from takepick.llm.common import fresh, shared_dir
@@ -37,11 +37,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents (shingles of five words, similarity of 0.8 or more) the one of least id stays."""
+    """Of linked documents (shingles of five words, similarity of 0.8 or more) the one of least id stays, one row of it."""
     k, h = fresh(docs, "tp_id", "tp_hash")
-    gone = near_duplicates(docs, shingle=5, percent=80).where("not first").select(F.col("doc_id").alias(k), F.col("text_hash").alias(h))
-    same = docs["doc_id"].eqNullSafe(gone[k]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone[h])
-    return docs.join(gone, same, "left_anti")
+    rows = near_duplicates(docs, shingle=5, percent=80).groupBy(F.col("doc_id").alias(k), F.col("text_hash").alias(h))
+    gone = rows.agg(F.min("first").alias("all"), F.max("first").alias("any")).where("not all")
+
+    def same(keys: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(keys[k]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == keys[h])
+
+    left = docs.join(gone, same(gone), "left_anti")
+    repeated = gone.where("any")  # the row that stays has others of its id and text
+    if repeated.isEmpty():
+        return left
+    return left.unionAll(docs.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -191,3 +191,12 @@ def test_pipeline_stage_with_nulls_and_extra_columns(spark, stage):
         assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
     else:
         assert out.count() >= 5
+
+
+def test_near_dedup_keeps_one_row_of_a_repeated_document(spark):
+    words = " ".join("w%d" % i for i in range(100))
+    rows = [(1, words), (1, words), (2, words), (3, words + " x"), (None, words), (4, "alone in this text"), (4, "alone in this text"), (5, "unlike all others"), (6, ""), (6, ""), (None, "no id"), (None, "no id")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, tp_id int")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([("1", words), ("4", rows[5][1]), ("5", rows[7][1]), ("6", ""), ("6", ""), ("None", "no id")])
