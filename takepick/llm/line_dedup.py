@@ -63,11 +63,10 @@ def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_byt
     return sorted({r for i, j in spans for r in range(full_a[i], full_a[j - 1] + 1)})
 
 
-def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_lines(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document that loses lines: doc_id, text_hash, lines (sorted line numbers from 0), sources (ids).
 
-    Lines are compared without white space at their ends; runs of lines of fewer than
-    ``min_line`` bytes nominate no partner but are part of blocks.  The later of two
+    Lines are compared without white space at their ends, short ones too.  The later of two
     documents is that of the larger id.  Rows with a null id take no part; rows
     of one id are not compared with one another, and equal ones have one result.
     Null and empty texts have no lines to lose.  No rows give no rows; other
@@ -78,7 +77,7 @@ def duplicate_lines(docs: DataFrame, min_line: int = 24, min_bytes: int = 64, id
         for batch in text_batches(batches, "text"):
             made = [line_hashes(t) for t in batch.column("text").to_pylist()]
             full = [([h for h in m[0] if h], [n for h, n in zip(*m) if h]) for m in made]
-            keys = [sorted({k for k, i, j in runs(h, n, min_bytes) if max(n[i:j]) >= min_line}) for h, n in full]
+            keys = [sorted({k for k, _, _ in runs(h, n, min_bytes)}) for h, n in full]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "hashes", "sizes", "keys"],

@@ -314,3 +314,12 @@ def test_passages_repeated_in_either_document_or_moved(spark):
     lines = [passage(rng, n, "r") for n in (4, 4, 5, 5, 12)]
     rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.8 else passage(rng, 5, "n") for _ in range(12))) for i in range(60)]
     assert kept_lines(spark, rows) == held_before(rows)
+
+
+def test_documents_that_share_short_lines_only(spark):
+    rng = random.Random(31)
+    verse = [passage(rng, 2, "v") for _ in range(30)]
+    rows = [(1, "\n".join(verse)), (2, "\n".join(verse)), (3, "\n".join(verse[5:20])), (4, "\n".join(verse[:3])), (5, "\n".join(["own", *verse[10:16], "", *verse[16:18], "words"]))]
+    assert all(len(x) < 24 for x in verse)
+    got = kept_lines(spark, rows)
+    assert got == held_before(rows) and [len(got[i]) for i in range(1, 6)] == [30, 0, 0, 3, 2]
