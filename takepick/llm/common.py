@@ -8,6 +8,7 @@ more.  They are deleted when the operator ends; what it returns is cut with
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -142,6 +143,15 @@ class Words:
     def count(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def digests(self) -> list[bytes]:
+        """128 bits of the SHA-256 of each text's words, one space after each."""
+        after = np.zeros(len(self.data), bool)
+        after[self.end] = True
+        kept = after | ~_SPACE[self.data]
+        raw = np.where(after, np.uint8(32), self.data)[kept].tobytes()
+        cuts = np.concatenate(([0], np.cumsum(kept)))[self.base].tolist()
+        return [hashlib.sha256(raw[a:b]).digest()[:16] for a, b in zip(cuts, cuts[1:])]
+
 
 def sets_of_shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of ``k`` words: (text, hash), sorted by text and hash.

@@ -6,29 +6,36 @@ least (round, hash), and rounds go on until every bin is filled.  So each
 coordinate is filled for every set, agrees with probability equal to the Jaccard
 similarity, and has the concentration of t independent draws.
 
-Texts with equal shingle sets form one class, of which one row goes on.  Within
-a bucket (equal band) classes are first compared with the bucket's most central
-class only; connected components are formed, and only pairs of a bucket that are still
-in different components are compared after that, each once, unless their shingles
-that no other candidate has rule a link out.  Pairs inside one
-component can't change it, so no component differs from that of all pairs, and a
-bucket of many copies costs one comparison per member.  Similarities are counted
-on full shingle sets.
+Texts of equal words form one class (by a 128-bit digest of the word sequence), of
+which one row goes on.  A group (at first a bucket, that is an equal band) is never
+expanded into its pairs.  Each member is compared with the group's most central
+member, its lead, on full shingle sets; connected components are formed.  In a group that then
+still holds several components, members are described by their differences from the
+lead: shingles added and shingles missing.  Of two members of different components one is not linked with
+the lead, and from the sizes follows how many differences they must share to be
+linked (at least one, see ``_differences``).  So those that share one of their
+first differences are the groups of the next round, and all others are proven unlinked.
+A lead has no differences, so groups shrink until none is open, and no link is
+lost.  Similarities count 64-bit hashes of shingles; two distinct ones of a text of n
+shingles share a hash with probability below n * n / 2^65.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from takepick.llm.common import Scratch, Words, mix, sets_of_shingles, stream, text_batches
 from takepick.llm.graph import components
 
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
+SMALL = 256  # largest group whose members are compared without a lead
+SHARE = 64  # members compared with one copy of their lead's text
 
 
 def sketch(doc: np.ndarray, shingle: np.ndarray, n_docs: int, t: int) -> np.ndarray:
@@ -55,10 +62,26 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix((parts * coef).sum(axis=2, dtype=np.uint64) ^ stream(bands, 37))
 
 
-def _sums(first: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sum of each document's slice; 0 for an empty one."""
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
-    return total[first[1:]] - total[first[:-1]]
+def _differences(mine: np.ndarray, lead: np.ndarray, percent: int) -> tuple[int, np.ndarray, int, int]:
+    """Cost beyond the bound (not positive: linked), how ``mine`` differs from ``lead``, and how many differences it must share with any partner and with a near one.
+
+    With ``added`` and ``missing`` shingles against a lead of n, let cost = 100 *
+    missing + percent * added and bound = (100 - percent) * n.  A set is linked with
+    the lead (near) if cost <= bound, and two sets are linked if (100 + percent) *
+    (differences shared) >= cost + other cost - bound.  Near sets are linked anyhow, so
+    one of two is far, and the other must share more than cost / (100 + percent); a far
+    one with a near one, whose cost is ``percent`` at the least, (cost - bound +
+    percent) / (100 + percent).
+    """
+    at = np.minimum(np.searchsorted(lead, mine), max(len(lead) - 1, 0))
+    there = lead[at] == mine if len(lead) else np.zeros(len(mine), bool)
+    held = np.zeros(len(lead), bool)
+    held[at[there]] = True
+    added, missing = mine[~there], lead[~held]
+    cost, bound = 100 * len(missing) + percent * len(added), (100 - percent) * len(lead)
+    need = cost // (100 + percent) + 1
+    near = need if cost <= bound else -((bound - cost - percent) // (100 + percent))
+    return cost - bound, np.concatenate((mix(added ^ np.uint64(1)), mix(mix(missing) ^ np.uint64(2)))), need, near
 
 
 def near_duplicates(
@@ -87,32 +110,39 @@ def near_duplicates(
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
             n = batch.num_rows
-            doc, sh = sets_of_shingles(Words(batch.column("text").to_pylist()), shingle)
+            words = Words(batch.column("text").to_pylist())
+            doc, sh = sets_of_shingles(words, shingle)
             first = np.searchsorted(doc, np.arange(n + 1))
             keys = band_keys(sketch(doc, sh, n, t), bands, rows).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.ravel()))
-            own = [pa.array(_sums(first, mix(sh ^ seed)).view(np.int64)) for seed in stream(2, 41)]
+            own = np.frombuffer(b"".join(words.digests()), np.int64).reshape(n, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), batch.column("text_hash"), pa.array(np.diff(first), pa.int64()), *own, lists],
+                [batch.column("rid"), batch.column("doc_id"), batch.column("text_hash"), pa.array(np.diff(first), pa.int64()), pa.array(own[:, 0]), pa.array(own[:, 1]), lists],
                 ["rid", "doc_id", "text_hash", "n", "k1", "k2", "bands"],
             )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in text_batches([whole], "ta"):
-                b, kind = batch.column("b").to_numpy(), batch.column("tb").to_pylist()
-                distinct, at = np.unique(b, return_index=True)
-                sets = {}
-                for texts, names in ((batch.column("ta").to_pylist(), [("a", i) for i in range(len(b))]), ([kind[i] for i in at], [("b", x) for x in distinct.tolist()])):
-                    doc, sh = sets_of_shingles(Words(texts), shingle)
-                    cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
-                    sets |= {name: sh[x:y] for name, x, y in zip(names, cuts, cuts[1:])}
-                good = np.zeros(len(b), bool)
-                for i, x in enumerate(b.tolist()):
-                    p, q = sets["a", i], sets["b", x]
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    good[i] = 100 * both >= percent * (len(p) + len(q) - both)
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in (batch.column("a"), batch.column("b"))], ["a", "b"])
+        """Rows come lead first, then its members."""
+        lead = np.zeros(0, np.uint64)
+        for batch in text_batches(batches, "text"):
+            doc, sh = sets_of_shingles(Words(batch.column("text").to_pylist()), shingle)
+            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            rows, out, keys = [], [], []
+            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+                mine = sh[cuts[i] : cuts[i + 1]]
+                if a is None:
+                    lead = mine
+                    continue
+                beyond, differ, *need = _differences(mine, lead, percent)
+                rows.append(i)
+                out.append((beyond <= 0, beyond, (100 - percent) * len(lead), *need))
+                keys.append(mix(differ ^ mix(np.array([b], np.int64).view(np.uint64))).view(np.int64) if min(need) <= len(differ) else differ[:0].view(np.int64))
+            ends = np.cumsum([0, *map(len, keys)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate((*keys, np.zeros(0, np.int64)))))
+            made = [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.bool_(), *[pa.int64()] * 4))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("a", "b")), *made, lists], ["a", "b", "near", "beyond", "bound", "need", "need_near", "keys"]
+            )
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
@@ -149,32 +179,56 @@ def near_duplicates(
         sizes = wanted.select("rid").join(described.select("rid", "n"), "rid").join(lone, "rid", "left")
         sizes = s.table(sizes.select("rid", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared")).where(F.col("shared") * 100 >= F.col("n") * percent))
 
+        def compared(pairs: DataFrame) -> DataFrame:
+            """Members ``a`` against leads ``b``; a lead's members are dealt out ``SHARE`` at a time, each share with the lead's text."""
+            shares = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+            heads = shares.join(texts, shares["b"] == texts["rid"]).select(F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "text")
+            rows = pairs.join(shares, "b").select("a", "b", F.pmod(F.xxhash64("a"), "shares").cast("int").alias("share")).join(texts, F.col("a") == F.col("rid")).select("a", "b", "share", "text")
+            dealt = heads.unionAll(rows).repartition("b", "share").sortWithinPartitions("b", "share", "a")  # null first: the lead
+            return dealt.select("a", "b", "text").mapInArrow(verify, "a long, b long, near boolean, beyond long, bound long, need long, need_near long, keys array<long>")
+
         def possible(x: str, y: str) -> Column:
-            return F.least(f"shared{x}", f"shared{y}") * (100 + percent) >= (F.col(f"n{x}") + F.col(f"n{y}")) * percent
+            return F.least(f"{x}shared", f"{y}shared") * (100 + percent) >= (F.col(f"{x}n") + F.col(f"{y}n")) * percent
 
         def linked(pairs: DataFrame) -> DataFrame:
-            left = pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("ta")), "a")
-            return left.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
-
-        # first with the bucket's set of fewest lone shingles, which most of a group of copies are linked with
-        members = s.table(members.select("key", "rid").join(sizes, "rid"))
-        central = F.struct((F.lit(1000) * (F.col("n") - F.col("shared")) / F.col("n")).cast("long").alias("far"), F.col("rid").alias("lead"), F.col("n").alias("n2"), F.col("shared").alias("shared2"))
-        leads = members.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
-        tried = members.join(leads, "key").select("rid", "n", "shared", "l", "l.*").where(F.col("lead") != F.col("rid"))
-        tried = s.table(tried.where(possible("", "2")).groupBy(F.col("rid").alias("a")).agg(F.min("l").alias("l")).select("a", F.col("l.lead").alias("b")))
-        links = s.table(linked(tried))
-        labels = components(s, links)
-        named = members.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        named = s.table(named.select("key", "rid", "n", "shared", "label"))
-        open_ = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-        still = s.table(named.join(open_, "key", "left_semi"))
-        other = still.select("key", F.col("rid").alias("b"), F.col("n").alias("n2"), F.col("shared").alias("shared2"), F.col("label").alias("label2"))
-        apart = (F.col("x.key") == F.col("y.key")) & (F.col("a") > F.col("b")) & (F.col("label") != F.col("label2")) & possible("", "2")
-        rest = still.withColumnRenamed("rid", "a").alias("x").join(other.alias("y"), apart).select("a", "b").distinct()
-        rest = s.table(rest.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-        more = s.table(linked(rest))
-        if not more.isEmpty():
-            labels = components(s, links.unionAll(more))
+            return s.table(compared(s.table(pairs)).where("near").select("a", "b"))
+
+        # the set of fewest lone shingles leads: most of a group of copies are linked with it
+        groups = s.table(members.select("key", "rid").join(sizes, "rid"))
+        central = F.struct((F.lit(1000) * (F.col("n") - F.col("shared")) / F.col("n")).cast("long").alias("far"), F.col("rid").alias("lead"), F.col("n").alias("lead_n"), F.col("shared").alias("lead_shared"))
+        leads = groups.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
+        # first each member with the most central lead that it may be linked with at all
+        tried = groups.join(leads, "key").select("rid", "n", "shared", "l", "l.*").where(F.col("lead") != F.col("rid")).where(possible("", "lead_"))
+        links = [linked(tried.groupBy(F.col("rid").alias("a")).agg(F.min("l.lead").alias("b")))]
+        small = 1  # a bucket has no differences yet
+        while True:
+            labels = components(s, reduce(DataFrame.unionAll, links))
+            named = groups.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+            open_ = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.min(central).alias("l")).where("low <> high")
+            open_ = s.table(named.join(open_.select("key", "m", "l.lead"), "key"))
+            if small > 1:
+                x, y = (open_.where(F.col("m") <= small).select("key", *(F.col(c).alias(f"{t}_{c}") for c in groups.columns + ["label"] if c != "key")) for t in "xy")
+                shared = 1 + F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at"))  # if this is the first that two sets share
+                apart = (F.col("x_rid") > F.col("y_rid")) & (F.col("x_label") != F.col("y_label")) & possible("x_", "y_")
+                apart &= shared * (100 + percent) >= F.col("x_beyond") + F.col("y_beyond") + F.col("x_bound")
+                links.append(linked(x.join(y, "key").where(apart).select(F.col("x_rid").alias("a"), F.col("y_rid").alias("b")).distinct()))
+            pairs = s.table(open_.where((F.col("m") > small) & (F.col("rid") != F.col("lead"))).select(F.col("rid").alias("a"), F.col("lead").alias("b")).distinct())
+            if pairs.isEmpty():
+                break
+            found = s.table(compared(pairs))
+            links.append(found.where("near").select("a", "b"))
+            # differences in order of rareness: sets that share ``need`` of them share one of the first size - need + 1
+            held = found.select(F.col("a").alias("rid"), "b", "near", "beyond", "bound", "need", "need_near", F.size("keys").alias("size"), F.explode("keys").alias("key"))
+            several = held.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+            w = Window.partitionBy("b", "rid")
+            held = held.join(several, "key").withColumn("at", F.row_number().over(w.orderBy("m", "key")) + F.col("size") - F.count(F.lit(1)).over(w))
+            held = held.withColumn("any", F.expr("at <= size - need + 1")).where("any or at <= size - need_near + 1")
+            held = s.table(held.select("key", "rid", "any", "near", "at", "size", "beyond", "bound"))
+            several = held.groupBy("key").agg(F.count_if(F.col("any")).alias("any_n"), F.count_if(F.expr("any and near")).alias("near_n"), F.count_if(~F.col("any")).alias("far_n"))
+            several = several.where("any_n > 1 or near_n > 0 and far_n > 0").select("key", "near_n")
+            groups = s.table(held.join(several, "key").where("any or near_n > 0").drop("near_n").join(sizes, "rid"))
+            small = SMALL
+        labels = components(s, reduce(DataFrame.unionAll, links))
         # back to all rows
         of_class = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("k1", "k2", F.coalesce("label", "rid").alias("label"))
         out = described.drop("bands").join(of_class, ["k1", "k2"], "left").withColumn("label", F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("rid")))

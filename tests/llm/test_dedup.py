@@ -11,7 +11,7 @@ from takepick.llm.exact_dedup import exact_dedup
 from takepick.llm.graph import components
 from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines, line_hashes
 from takepick.llm.common import Scratch, Words, sets_of_shingles
-from takepick.llm.minhash import near_duplicates, sketch
+from takepick.llm.minhash import _differences, near_duplicates, sketch
 from takepick.llm.patience import align, blocks, longest_increasing
 from takepick.llm.substring_dedup import chunk, dedup_substrings, duplicate_spans
 
@@ -118,6 +118,46 @@ def test_near_duplicates_brute_force(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
 
 
+def test_near_duplicates_in_groups_of_heavily_edited_copies(spark):
+    """Copies of a hot text that link with nothing, chains of cuts, edits of edits, a shared passage, and pairs far from every lead."""
+    rng = random.Random(37)
+    base = ["h%d" % i for i in range(140)]
+    edits = lambda words, n, tag: " ".join(tag + str(rng.randrange(40)) if i in set(rng.sample(range(len(words)), n)) else w for i, w in enumerate(words))
+    rows = [(i, edits(base, rng.choice((1, 2, 3, 5, 8, 11, 14)), "e")) for i in range(90)]
+    rows += [(200 + i, " ".join(base[: 140 - 5 * i])) for i in range(20)]
+    far = [edits(base, 9, "f").split() for _ in range(5)]
+    rows += [(300 + i, edits(far[i % 5], rng.choice((0, 1, 2, 6)), "g")) for i in range(40)]
+    rows += [(400 + i, " ".join(base[:70] + ["p%d" % (100 * (i // 2) + j) for j in range(60)] + ["q%d" % i])) for i in range(30)]
+    rows += [(500, " ".join(reversed(base))), (501, " ".join([*reversed(base)][2:])), (502, rows[0][1]), (503, rows[0][1].upper())]
+    rng.shuffle(rows)
+    for k in (4, 5):
+        got = near_duplicates(frame(spark, rows), shingle=k).collect()
+        want = sorted((d, n, c) for (d, _), (n, c) in zip(rows, brute_near(rows, k)))
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
+def test_differences_bound_every_link():
+    """Two linked sets, not both near their lead, share as many differences as stated for both."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+    some = lambda n: np.unique(rng.choice(pool, n, replace=False))
+    near = far = 0
+    for _ in range(3000):
+        lead = some(rng.integers(5, 40))
+        a = np.unique(np.concatenate((rng.choice(lead, rng.integers(1, len(lead) + 1), replace=False), some(rng.integers(1, 12)))))
+        b = np.unique(np.concatenate((rng.choice(a, rng.integers(max(1, 7 * len(a) // 8), len(a) + 1), replace=False), some(rng.integers(1, 4)))))
+        both = len(np.intersect1d(a, b))
+        (over_a, da, need_a, near_a), (over_b, db, need_b, near_b) = (_differences(x, lead, 80) for x in (a, b))
+        common = len(np.intersect1d(lead, a))
+        assert (over_a <= 0) == (100 * common >= 80 * (len(lead) + len(a) - common))
+        if 100 * both >= 80 * (len(a) + len(b) - both) and not (over_a <= 0 and over_b <= 0) and len(da) and len(db):
+            shared, bound = len(np.intersect1d(da, db)), 20 * len(lead)
+            assert 180 * shared >= over_a + over_b + bound
+            assert shared >= (near_a if over_b <= 0 else need_a) and shared >= (near_b if over_a <= 0 else need_b)
+            near, far = near + (over_a <= 0 or over_b <= 0), far + (over_a > 0 and over_b > 0)
+    assert near > 20 and far > 20
+
+
 def test_sketch_estimates_similarity_and_fills():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
