@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import text_batches
-from takepick.llm.tokens import OWNER, ChunkIds, load, once
+from takepick.llm.tokens import LETTERS, OWNER, ChunkIds, id_type, load, once
 
 NONE = 1 << 62
 #: A word of Latin letters and the marks after it: two pre-tokens at most, in composed form as it stands.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|]*)")
+PLAIN = re.compile(f"({LETTERS}+)([.,;:!?|]*)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -152,7 +153,8 @@ class SegmentTreeBPE:
 def segment_tree(path: str) -> tuple[SegmentTreeBPE, ChunkIds]:
     def make() -> tuple[SegmentTreeBPE, ChunkIds]:
         bpe = SegmentTreeBPE(path)
-        return bpe, ChunkIds(lambda new: map(bpe.encode, new), bpe.size)
+        kind = np.dtype(id_type(bpe.size)).char
+        return bpe, ChunkIds(lambda new: [array(kind, bpe.encode(c)).tobytes() for c in new], bpe.size, bpe.plain is not None)
 
     return once(("segment tree", path), make)
 
@@ -168,7 +170,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, ids_of = segment_tree(tokenizer)
         for batch in text_batches(batches, "text", 4 << 20, OWNER):
-            ids = ids_of(batch.column(1).to_pylist())
+            ids = ids_of(batch.column(1))
             ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
             flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))

@@ -23,6 +23,7 @@ from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations_with_replacement
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from takepick.llm.common import text_batches
 from takepick.llm.tokens import OWNER, library_ids
 
-SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
+SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long"
 
 
 @cache
@@ -155,9 +156,12 @@ def pack(
     block_tokens: int = 1 << 21,
     id_col: str = "doc_id",
     text_col: str = "text",
+    checksums: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (unsigned 32-bit, little-endian).
 
+    ``checksums`` returns ids_crc32 (CRC-32 of those bytes) instead of the ids.
+
     Each document is its tokens and ``end_id``.  All sequences have ``window``
     tokens, but for the last few of a task, whose lengths are powers of two.  A
     null or empty text is the end id alone.  Null and repeated ids are carried as
@@ -166,6 +170,7 @@ def pack(
     """
     if window % unit or window & (window - 1):
         raise ValueError("window must be a power of two and a multiple of unit")
+    last_column = "ids_crc32" if checksums else "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = library_ids(tokenizer)
@@ -182,17 +187,18 @@ def pack(
                     offset = 0
                     for r, start, size in sequence:
                         doc, ids = held[r]
-                        out.append((doc, start, size, len(ids), number, offset, ids[start : start + size].astype("<u4").tobytes()))
+                        raw = ids[start : start + size].astype("<u4").tobytes()
+                        out.append((doc, start, size, len(ids), number, offset, crc32(raw) if checksums else raw))
                         offset += size
                     number += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 6 + [pa.binary()])],
-                    ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 6 + [pa.int64() if checksums else pa.binary()])],
+                    ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", last_column],
                 )
 
         for batch in text_batches(batches, "text", 4 << 20, OWNER):
             whole: list[list[Piece]] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist())):
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1))):
                 held[row] = doc, np.append(ids, ids.dtype.type(end_id))
                 n = len(held[row][1])
                 whole += [[(row, at, window)] for at in range(0, n - window + 1, window)]
@@ -224,4 +230,6 @@ def pack(
             last.append(sequence)
         yield from rows(last)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        run, f"{SCHEMA}, {last_column} {'long' if checksums else 'binary'}"
+    )

@@ -25,8 +25,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(_table(spark, sf_dir, "documents"), default_tokenizer())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    pieces = pack(_table(spark, sf_dir, "documents"), default_tokenizer(), checksums=True)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,16 @@
 """BPE against the tokenizers library, packing against its contract."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from takepick.llm.bpe import SegmentTreeBPE, bpe_round_trip
+from takepick.llm.bpe import SegmentTreeBPE, bpe_round_trip, segment_tree
 from takepick.llm.packing import fillings, nnls, pack, pack_block
-from takepick.llm.tokens import chunks, default_tokenizer, load
+from takepick.llm.tokens import default_tokenizer, library_ids, load
 
 ODD = [
     None, "", " ", "a", "Hello, World!", "it's we'll I'M they'd", "x\x1cy \x1f z", "a\xa0b c\x85d", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>!",
@@ -45,10 +47,24 @@ def test_segment_tree_equals_library_on_documents(spark):
 
 
 def test_every_character_alone_and_between_letters():
-    bpe, library = SegmentTreeBPE(default_tokenizer()), load(default_tokenizer())
+    library = load(default_tokenizer())
     texts = [f"a{chr(c)}b {chr(c)} {chr(c)}, A{chr(c)}!" for c in [*range(0x3100), *range(0xA000, 0xD800, 7), *range(0xE000, 0x1F700, 11)]]
-    for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
-        assert [i for c in chunks(text) for i in bpe.encode(c)] == e.ids, ascii(text)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for ids_of in (segment_tree(default_tokenizer())[1], library_ids(default_tokenizer())):
+        for text, ids, expected_ids in zip(texts, ids_of(pa.array(texts)), want):
+            assert ids.tolist() == expected_ids, ascii(text)
+
+
+def test_marks_and_mixed_case_around_words():
+    rng = random.Random(41)
+    parts = ["Word", "ÉTÉ", "ıI", "İ", "ΟΔΟΣ", "naïve", "ß", "中文", "ab1", "'s", "don't", "&&&", ",$$$", "...", "'", "!?", "\u0301", "e\u0301", "<|endoftext|>", "_a_", "½", "ﬁ"]
+    texts = [rng.choice(["", " ", "\n"]).join(rng.choice(parts) + rng.choice(["", " ", ", "]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    want = [e.ids for e in load(default_tokenizer()).encode_batch(texts, add_special_tokens=False)]
+    for ids_of in (segment_tree(default_tokenizer())[1], library_ids(default_tokenizer())):
+        for at in range(0, 3000, 250):
+            for text, ids, expected_ids in zip(texts[at:], ids_of(pa.array(texts[at : at + 250])), want[at:]):
+                assert ids.tolist() == expected_ids, ascii(text)
+    assert library_ids(default_tokenizer())(pa.array([None, "", " "], pa.string()))[0].tolist() == [] and library_ids(default_tokenizer())(pa.array([], pa.string())) == []
 
 
 def test_long_word_takes_logarithmic_updates():
