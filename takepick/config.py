@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+import os
+from dataclasses import dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -15,9 +16,10 @@ class LabelingConfig:
     candidate_key: str = "candidate_audio_path"
     text_separator: str = " "
     audio_root: str | None = None
+    home: str = field(default_factory=lambda: os.path.expanduser("~"))  # what ~ in an audio path stands for
     sample_rate: int = 16000
     gap_ms: float = 0.0
-    resample: str = "linear"  # or "polyphase", which needs scipy
+    resample: str = "polyphase"  # or "linear"
     normalize: str = "basic"  # or "none"
     tokenizer: str = "word"  # or "char"
     workers: int = 8
@@ -37,5 +39,5 @@ class LabelingConfig:
 
     def fingerprint(self) -> str:
         """Of the settings that prepared audio depends on, so that a changed run does not reuse it."""
-        names = ("id_key", "output_key", "text_key", "candidate_key", "text_separator", "audio_root", "sample_rate", "gap_ms", "resample")
+        names = ("id_key", "output_key", "text_key", "candidate_key", "text_separator", "audio_root", "home", "sample_rate", "gap_ms", "resample")
         return "|".join(f"{f.name}={getattr(self, f.name)!r}" for f in fields(self) if f.name in names)

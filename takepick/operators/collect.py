@@ -22,19 +22,20 @@ def latest(labels: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
 
 
 def score(groups: DataFrame, labels: DataFrame, normalize: str = "basic", tokenizer: str = "word", long: bool = False, **how: bool) -> DataFrame:
-    """One row per candidate: id, text, candidate_index, wer, transcript, audio, error, missing.
+    """One row per candidate: record_index, id, text, candidate_index, wer, transcript, audio, error, missing.
 
     Reference tokens are made once per record, before its candidates are.  A
     candidate without a label, or with an error, has no rate; an empty error text
-    is none.
+    is none.  Records that repeat an id share its labels, each against its own text.
     """
-    rows = groups.select("id", "text", tokens(F.col("text"), normalize, tokenizer, **how).alias("_ref"), F.explode("candidates").alias("c"))
-    rows = rows.select("id", "text", "_ref", F.col("c.candidate_index").cast("int").alias("candidate_index"), F.col("c.audio").alias("_audio"))
+    rows = groups.select("record_index", "id", "text", tokens(F.col("text"), normalize, tokenizer, **how).alias("_ref"), F.explode("candidates").alias("c"))
+    rows = rows.select("record_index", "id", "text", "_ref", F.col("c.candidate_index").cast("int").alias("candidate_index"), F.col("c.audio").alias("_audio"))
     last = latest(labels.select("id", "candidate_index", "asr_text", "audio", "error", "seq"), ["id", "candidate_index"]).withColumn("_there", F.lit(True))
     joined = rows.join(last, ["id", "candidate_index"], "left").withColumn("missing", F.col("_there").isNull())
     said = F.coalesce("asr_text", F.lit(""))
     failed = F.coalesce(F.col("error") != "", F.lit(False))
     return joined.select(
+        "record_index",
         "id",
         "text",
         "candidate_index",
@@ -52,9 +53,9 @@ def best(rate: str = "wer", index: str = "candidate_index") -> Column:
 
 
 def results(scored: DataFrame) -> DataFrame:
-    """One row per record: id, text, best_candidate, detail (candidates in order of index)."""
+    """One row per record, repeated ids included: record_index, id, text, best_candidate, detail (candidates in order of index)."""
     item = F.struct(F.col("candidate_index").alias("candidate"), "wer", "transcript", "audio", "error")
-    return scored.groupBy("id", "text").agg(best().alias("best_candidate"), F.array_sort(F.collect_list(item)).alias("detail"))
+    return scored.groupBy("record_index", "id", "text").agg(best().alias("best_candidate"), F.array_sort(F.collect_list(item)).alias("detail"))
 
 
 def missing_labels(scored: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def _text_or_empty(v: Column) -> Column:
 
 
 def validate(records: DataFrame, config: LabelingConfig = LabelingConfig()) -> DataFrame:
-    """One row per record: id, source_json, text, n_candidates, num_segments, paths (by candidate), error.
+    """One row per record: record_index, id, source_json, text, n_candidates, num_segments, paths (by candidate), error.
 
     Checks run in order and the first failure is the record's error; what they
     compute is null then.  An absent id is made of the record's position.
@@ -42,6 +42,7 @@ def validate(records: DataFrame, config: LabelingConfig = LabelingConfig()) -> D
     c = config
     items = _list(_get(F.col("record"), c.output_key))
     rows = records.select(
+        "record_index",
         "source_json",
         F.when(_get(F.col("record"), c.id_key).isNull(), F.format_string("record_%09d", "record_index")).otherwise(as_text(_get(F.col("record"), c.id_key))).alias("id"),
         items.alias("items"),
@@ -74,9 +75,10 @@ def validate(records: DataFrame, config: LabelingConfig = LabelingConfig()) -> D
     rows = rows.withColumn("error", error)
     good = F.col("error").isNull()
     by_candidate = F.transform(
-        F.sequence(F.lit(0), F.get("sizes", F.lit(0)) - 1), lambda i: F.transform("lists", lambda x: resolve_path(as_text(F.get(x, i)), F.col("source_json"), c.audio_root))
+        F.sequence(F.lit(0), F.get("sizes", F.lit(0)) - 1), lambda i: F.transform("lists", lambda x: resolve_path(as_text(F.get(x, i)), F.col("source_json"), c.audio_root, c.home))
     )
     return rows.select(
+        "record_index",
         "id",
         "source_json",
         F.when(good, F.col("joined")).alias("text"),
@@ -93,7 +95,7 @@ def errors(validated: DataFrame) -> DataFrame:
 
 
 def candidates(validated: DataFrame, audio_folder: str) -> DataFrame:
-    """One row per candidate of the good records, in the candidate schema, and its segments' audio_paths."""
+    """One row per candidate of the good records, in the candidate schema, with its record_index and its segments' audio_paths."""
     return validated.where("error is null").select("*", F.posexplode("paths").alias("candidate_index", "audio_paths")).select(
         "id",
         "candidate_index",
@@ -102,6 +104,7 @@ def candidates(validated: DataFrame, audio_folder: str) -> DataFrame:
         "text",
         "source_json",
         "num_segments",
+        "record_index",
         "audio_paths",
     )
 
@@ -112,7 +115,7 @@ def groups(validated: DataFrame, audio_folder: str) -> DataFrame:
     nested = F.transform(
         F.sequence(F.lit(0), F.col("n_candidates") - 1), lambda i: F.struct(i.alias("candidate_index"), i.cast("string").alias("candidate"), wav(i).alias("audio"))
     )
-    return validated.where("error is null").select("id", "text", F.col("n_candidates").alias("candidate_count"), nested.alias("candidates"))
+    return validated.where("error is null").select("record_index", "id", "text", F.col("n_candidates").alias("candidate_count"), nested.alias("candidates"))
 
 
 def counters(validated: DataFrame) -> DataFrame:

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from takepick.sources.shared import checkpointed
+
 KEY = ["id", "candidate_index"]
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """Global 0-based positions in the given order, without gathering rows in one task.
 
-    Rows are sorted by range; only one count per range partition is gathered.
-    The order must be total for the positions to be well defined.
+    Rows are sorted by range and written down in the shared folder; only one count
+    per range partition is gathered.  The order must be total for the positions to
+    be well defined.
     """
-    rows = df.sort(*order).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
-    rows = rows.persist()
+    rows = checkpointed(df.sort(*order).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()}))
     sizes = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.join(F.broadcast(sizes.select("_p", "_first", before.alias("_before"))), "_p").withColumn(name, F.col("_before") + F.col("_m") - F.col("_first")).drop("_p", "_m", "_first", "_before")
@@ -25,7 +27,7 @@ def round_robin(df: DataFrame, workers: int, order: list[str]) -> DataFrame:
     """``shard_id``: position modulo the number of shards, which is no more than there are rows (one at least)."""
     placed = with_position(df, order)
     n = F.greatest(F.lit(1), F.least(F.lit(workers), F.col("_rows")))
-    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("_rows")))
+    total = F.broadcast(placed.agg(F.count(F.lit(1)).alias("_rows")))
     return placed.crossJoin(total).withColumn("shard_id", F.pmod("position", n).cast("int")).drop("_rows")
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from takepick.config import LabelingConfig
 from takepick.operators import collect, prepare, shard
 from takepick.operators.transcribe import Transcriber, transcribe
+from takepick.plans.progress import Progress
 from takepick.schemas import LABEL
 from takepick.sources.audio_files import concat_candidate_audio, not_yet_written, write_wavs
 from takepick.sources.records import expand_paths, read_records
+from takepick.sources.shared import checkpointed, delete
 from takepick.sources.sinks import write_document
 
 
@@ -37,7 +39,9 @@ class LabelingRun:
         if not files:
             raise FileNotFoundError("no input files")
         valid = prepare.validate(read_records(self.spark, files), self.config)
-        valid.write.mode("overwrite").parquet(self._path("validated"))
+        progress = Progress("validation")
+        progress.watch(valid, F.col("error").isNotNull()).write.mode("overwrite").parquet(self._path("validated"))
+        progress.done()
         valid = self.spark.read.parquet(self._path("validated"))
         wavs = self._path("prepared_audio")
         rows = prepare.candidates(valid, wavs)
@@ -46,14 +50,15 @@ class LabelingRun:
         made.write.mode("overwrite").parquet(self._path("audio_made"))
         made = self.spark.read.parquet(self._path("audio_made"))
         write_wavs(made.where("wav is not null"), overwrite=again).agg(F.count_if("written")).collect()
+        made = checkpointed(made.drop("wav", "audio_paths").withColumn("built", F.col("error").isNull()))
+        delete(self.spark, self._path("audio_made"))
         # a record with a candidate that can't be built is an error as a whole: its first one
-        failed = made.where("wav is null").groupBy("id", "source_json").agg(F.min_by("error", "candidate_index").alias("error"))
-        bad = failed.select("id", "source_json")
-        good = valid.where("error is null").join(bad, ["id", "source_json"], "left_anti")
+        failed = made.where("not built").groupBy("record_index", "id", "source_json").agg(F.min_by("error", "candidate_index").alias("error"))
+        good = valid.where("error is null").join(failed, "record_index", "left_anti")
         prepare.groups(good, wavs).write.mode("overwrite").parquet(self._path("groups"))
-        sharded = shard.round_robin(prepare.candidates(good, wavs).drop("audio_paths"), self.config.workers, ["id", "candidate_index", "source_json"])
+        sharded = shard.round_robin(prepare.candidates(good, wavs).drop("audio_paths"), self.config.workers, ["record_index", "candidate_index"])
         sharded.write.mode("overwrite").partitionBy("shard_id").parquet(self._path("manifest"))
-        prepare.errors(valid).unionByName(failed).write.mode("overwrite").parquet(self._path("errors"))
+        prepare.errors(valid).unionByName(failed.drop("record_index")).write.mode("overwrite").parquet(self._path("errors"))
         with open(self._path("fingerprint"), "w", encoding="utf-8") as f:
             f.write(self.config.fingerprint())
         counts = {n: self.spark.read.parquet(self._path(n)).count() for n in ("groups", "manifest", "errors")}
@@ -84,7 +89,7 @@ class LabelingRun:
         if not n:
             return 0
         start = (self.labels().agg(F.max("seq")).first()[0] or 0) + 1
-        made = transcribe(todo.repartition(min(c.workers, n)).drop("shard_id", "position"), make, c.batch_size, c.language, c.context, **how)
+        made = transcribe(todo.repartition(min(c.workers, n)).drop("shard_id", "position", "record_index"), make, c.batch_size, c.language, c.context, **how)
         made = made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id())
         made.write.mode("append").parquet(self._path("labels"))
         return n

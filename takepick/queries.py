@@ -81,7 +81,7 @@ def _groups_and_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     ident = F.concat_ws("-", "conv_id", "turn")
     rows = _candidates(spark, sf_dir).select(ident.alias("id"), "conv_id", "text", "candidate_index", "transcript")
     nested = F.array_sort(F.collect_list(F.struct("candidate_index", F.col("candidate_index").cast("string").alias("candidate"), F.concat_ws("/", "id", "candidate_index").alias("audio"))))
-    groups = rows.groupBy("id", "text").agg(nested.alias("candidates"))
+    groups = rows.groupBy("id", "text").agg(nested.alias("candidates")).withColumn("record_index", F.xxhash64("id"))
     labels = rows.where("not (conv_id % 3 = 0 and candidate_index = 0)").select(
         "id",
         "candidate_index",
@@ -181,7 +181,8 @@ def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolved_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("/abs/"), F.col("page_id").cast("string"))).otherwise(F.concat(F.lit("rel/"), F.col("page_id").cast("string")))
-    return table(spark, sf_dir, "pages").select("page_id", text.resolve_path(path, F.col("url")).alias("path"))
+    path = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("~/"), F.col("page_id").cast("string"))).otherwise(path)
+    return table(spark, sf_dir, "pages").select("page_id", text.resolve_path(path, F.col("url"), home="/home/someone").alias("path"))
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,9 +209,15 @@ def resample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Semi-structured events: kind of the document, and its members as text."""
+    """Semi-structured events: whether the document is an object, its member as a number and as text, and one that isn't there."""
     v = F.try_parse_json("props")
-    return table(spark, sf_dir, "events").select("event_id", F.schema_of_variant(v).startswith("OBJECT").alias("is_object"), F.length("props").cast("long").alias("n_chars"))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.schema_of_variant(v).startswith("OBJECT").alias("is_object"),
+        F.variant_get(v, "$.k", "long").alias("k"),
+        F.variant_get(v, "$.k", "string").alias("k_text"),
+        F.variant_get(v, "$.none", "string").alias("none"),
+    )
 
 
 class EchoTranscriber:
@@ -342,14 +349,16 @@ FROM documents d LEFT JOIN ok ON ok.doc_id = d.doc_id GROUP BY 1""",
         "latest_label": "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1",
         "missing_labels": "SELECT count(*) AS documents, count(*) FILTER (WHERE l.doc_id IS NULL) AS missing_labels FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
         "safe_names": f"""SELECT page_id, {SAFE.format('url')} AS name FROM (SELECT *, regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS b FROM pages)""",
-        "resolved_paths": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/abs/' || page_id ELSE regexp_replace(url, '/[^/]*$', '') || '/rel/' || page_id END AS path FROM pages",
+        "resolved_paths": "SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '/home/someone/' || page_id WHEN page_id % 2 = 0 THEN '/abs/' || page_id ELSE regexp_replace(url, '/[^/]*$', '') || '/rel/' || page_id END AS path FROM pages",
         "batches": "SELECT p // 8 AS batch_id, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p FROM documents) GROUP BY 1",
         "concat_signal": """SELECT vec_id, len(x) AS samples, round(list_sum(list_transform(x, lambda v: v::DOUBLE)), 4) AS total, round(x[73]::DOUBLE, 4) AS after_gap
 FROM (SELECT vec_id, list_concat(list_concat(embedding, [0::FLOAT for i in range(8)]), embedding) AS x FROM embeddings)""",
         "resample_linear": """WITH p AS (SELECT vec_id, embedding AS e, len(embedding) AS n, greatest(1, round_even(len(embedding) * 1.5, 0))::BIGINT AS m FROM embeddings),
 q AS (SELECT *, unnest(range(0, m)) AS sample FROM p), z AS (SELECT *, least(sample * n::DOUBLE / m, n - 1.0) AS x FROM q)
 SELECT vec_id, sample, round((e[floor(x)::BIGINT + 1]::DOUBLE + (e[least(floor(x)::BIGINT + 1, n - 1) + 1]::DOUBLE - e[floor(x)::BIGINT + 1]::DOUBLE) * (x - floor(x)))::FLOAT::DOUBLE, 4) + 0.0 AS value FROM z""",
-        "json_props": "SELECT event_id, json_type(props) = 'OBJECT' AS is_object, length(props) AS n_chars FROM events",
+        "json_props": "SELECT event_id, json_type(props) = 'OBJECT' AS is_object, json_extract(props, '$.k')::BIGINT AS k, json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.none') AS none FROM events",
+        "transcribe_fake": """SELECT conv_id, turn, conv_id || '/' || turn AS audio, conv_id || '/' || turn AS asr_text, 'en' AS language, NULL::VARCHAR AS error,
+  '{"n": ' || length(conv_id || '/' || turn) || '}' AS asr_extra FROM conversations""",
         "cer_pairs": f"""WITH RECURSIVE {_distance("SELECT item_id AS k, list_filter(string_split(replace(" + NORM.format('text') + ", ' ', ''), ''), lambda x: x <> '') AS r, list_filter(string_split(replace(" + NORM.format("substr(text, 1, length(text) // 2)") + ", ' ', ''), ''), lambda x: x <> '') AS h FROM benchmark")}
 SELECT k AS item_id, rate AS cer FROM rated""",
     }

@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from takepick.functions.audio import concat_wavs
 
 
-def concat_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: float = 0.0, method: str = "linear", folder_scheme: str = "file:") -> DataFrame:
+def concat_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: float = 0.0, method: str = "polyphase") -> DataFrame:
     """Candidates (with ``audio_paths``) and ``wav`` bytes, or ``error`` where a file is missing or can't be decoded.
 
     Files are read by the tasks that need them, clip after clip, so no file

@@ -5,10 +5,17 @@ from __future__ import annotations
 import glob
 import json
 import os
+from collections.abc import Iterator
+from itertools import islice
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from takepick.functions.text import py_strip
+from takepick.sources.shared import checkpointed
+
 
 def expand_paths(values: list[str]) -> list[str]:
     """Files of globs, folders (their .json, then .jsonl files) and literal paths, each once, first place kept."""
@@ -22,22 +29,64 @@ def expand_paths(values: list[str]) -> list[str]:
     return list(out.values())
 
 
-def sniff(path: str) -> str:
-    """``empty``, ``array``, ``object`` (one, over several lines) or ``lines``."""
+def sniff(path: str, size: int = 4096) -> str:
+    """``empty``, ``array``, ``object`` (one, over several lines) or ``lines``, from the first characters of a file."""
+    with open(path, encoding="utf-8") as f:
+        head = f.read(size).lstrip()
+    if not head:
+        return "empty"
+    if head[0] == "[":
+        return "array"
+    line, end, _ = head.partition("\n")
+    try:
+        json.loads(line)
+    except ValueError:
+        return "object" if end or len(head) < size // 2 else "lines"  # a line longer than the head is no indented object
+    return "lines"
+
+
+def array_items(path: str, size: int = 1 << 20) -> Iterator[str]:
+    """The items of a file that holds one JSON array, as compact JSON, with one item and ``size`` characters in memory."""
+    decoder, buffer, at, more, state = json.JSONDecoder(), "", 0, True, "["
     with open(path, encoding="utf-8") as f:
-        for line in f:
-            if head := line.strip():
-                if head[0] == "[":
-                    return "array"
-                try:
-                    json.loads(head)
-                except ValueError:
-                    return "object"
-                return "lines"
-    return "empty"
-
-
-def numbered(rows: DataFrame, rank: dict[str, int], number: str, unique: bool = False) -> DataFrame:
+        while True:
+            while at < len(buffer) and buffer[at].isspace():
+                at += 1
+            if at == len(buffer) or state == "item" or state == "first" and buffer[at] != "]":
+                if at < len(buffer):
+                    try:
+                        item, end = decoder.raw_decode(buffer, at)
+                        if not more or end < len(buffer) and buffer[end] in " \t\r\n,]":  # else a number may go on
+                            yield json.dumps(item, ensure_ascii=False, separators=(",", ":"))
+                            at, state = end, ","
+                            continue
+                    except ValueError:
+                        if not more:
+                            raise
+                if not more:
+                    if state == "end":
+                        return
+                    raise ValueError(f"{path} starts with '[' but did not parse as a JSON array")
+                piece = f.read(max(size, len(buffer) - at))
+                more, buffer, at = bool(piece), buffer[at:] + piece, 0
+                continue
+            c, at = buffer[at], at + 1
+            if state == "[" and c == "[":
+                state = "first"
+            elif state in ("first", ",") and c == "]":
+                state = "end"
+            elif state == "," and c == ",":
+                state = "item"
+            else:
+                raise ValueError(f"{path} starts with '[' but did not parse as a JSON array")
+
+
+def _local(path: Column) -> Column:
+    """A file's path as it was given, of the URL that Spark states."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")
+
+
+def numbered(rows: DataFrame, rank: dict[str, int], number: str) -> DataFrame:
     """Rows of text files with their position over all files, files in order of ``rank``.
 
     Counted per file split: only one small row per split is gathered, so nothing
@@ -46,7 +95,7 @@ def numbered(rows: DataFrame, rank: dict[str, int], number: str, unique: bool =
     ranks = F.create_map(*(F.lit(x) for p, r in rank.items() for x in (os.path.realpath(p), r)))
     place = rows.select(
         "*",
-        F.get(F.array(ranks[F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")]), F.lit(0)).alias("_rank"),
+        F.get(F.array(ranks[_local(F.col("_metadata.file_path"))]), F.lit(0)).alias("_rank"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
@@ -61,12 +110,24 @@ def _object(v: Column, message: str) -> Column:
     return F.when(F.schema_of_variant(v).startswith("OBJECT"), v).otherwise(F.raise_error(F.lit(message)).cast("variant"))
 
 
+def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(r, i, file, value) of the items of arrays and of files that are one object."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            items = enumerate(array_items(row["file"]) if row["kind"] == "array" else [Path(row["file"]).read_text(encoding="utf-8")])
+            while part := list(islice(items, 256)):
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["r"]] * n, pa.int32()), pa.array([i for i, _ in part], pa.int64()), pa.array([row["file"]] * n), pa.array([x for _, x in part])], ["r", "i", "file", "value"]
+                )
+
+
 def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(record_index, source_json, record): all records of all files, in order.
 
     The form of each file is found from its start.  Every record must be an
     object; a bad line, item or a missing file stops the run.  JSON Lines are
-    read in parallel; a JSON array is parsed in one task per file.
+    read in parallel; a JSON array is read item by item in one task per file.
     """
     for p in paths:
         if not os.path.exists(p):
@@ -86,23 +147,19 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     for kind, group in runs:
         rank = {p: i for i, p in enumerate(group)}
         if kind == "lines":
-            rows = spark.read.text(group).where(F.trim(F.col("value")) != "").select("value", "_metadata")
-            rows = numbered(rows.select("value", "_metadata", F.col("_metadata.file_path").alias("file")), rank, "n")
+            rows = spark.read.text(group).select(py_strip(F.col("value")).alias("value"), "_metadata").where("value <> ''")
+            rows = numbered(rows.select("value", "_metadata", _local(F.col("_metadata.file_path")).alias("file")), rank, "n")
             made = rows.select("n", "file", _object(F.parse_json("value"), "JSONL line must be an object").alias("record"))
         else:
-            pieces = None
-            for p in group:
-                v = F.parse_json("value")
-                whole = spark.read.text(p, wholetext=True).select(F.col("_metadata.file_path").alias("file"), v.alias("v"))
-                items = F.variant_get("v", "$", "array<variant>") if kinds[p] == "array" else F.array("v")
-                one = whole.select(F.posexplode(items).alias("i", "record"), "file").select(F.lit(rank[p]).alias("r"), F.col("i").cast("long").alias("i"), "file", "record")
-                pieces = one if pieces is None else pieces.unionAll(one)
+            pieces = spark.createDataFrame([(r, os.path.realpath(p), kinds[p]) for p, r in rank.items()], "r int, file string, kind string")
+            pieces = pieces.repartition(len(group), "r").mapInArrow(_whole_files, "r int, i long, file string, value string")
+            pieces = checkpointed(pieces).select("r", "i", "file", F.parse_json("value").alias("record"))
             sizes = pieces.groupBy("r").agg(F.count(F.lit(1)).alias("c"))
             before = F.coalesce(F.sum("c").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
             made = pieces.join(F.broadcast(sizes.withColumn("b", before)), "r").select(
                 (F.col("b") + F.col("i")).alias("n"), "file", _object(F.col("record"), "array item must be an object").alias("record")
             )
-        parts.append(made.select((F.col("n") + offset).alias("record_index"), F.regexp_replace("file", r"\Afile:/+", "/").alias("source_json"), "record"))
+        parts.append(made.select((F.col("n") + offset).alias("record_index"), F.col("file").alias("source_json"), "record"))
         if len(runs) > 1:
             offset = offset + F.lit(made.count())
     if not parts:
@@ -124,7 +181,7 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     fields = [f.strip() for f in schema.split(",")]
     if not there:
         return spark.createDataFrame([], ", ".join([*fields, "seq long"]))
-    rows = spark.read.text(there).where(F.trim(F.col("value")) != "").select("value", "_metadata")
+    rows = spark.read.text(there).select(py_strip(F.col("value")).alias("value"), "_metadata").where("value <> ''")
     rows = numbered(rows, {p: i for i, p in enumerate(there)}, "seq")
     v = _object(F.parse_json("value"), "line must be a JSON object")
     return rows.select(v.alias("v"), "seq").select(

@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 
 
 def compact_json(*columns: str | Column) -> Column:
-    """One row as JSON without spaces; null fields are left out."""
-    return F.to_json(F.struct(*columns))
+    """One row as JSON without spaces; null fields are written as null."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """Rows as JSON Lines, replacing what was there."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path, ignoreNullFields=False)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
     """Rows appended; a task's rows appear once it has succeeded."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").json(path, ignoreNullFields=False)
 
 
 def write_manifests(candidates: DataFrame, groups: DataFrame, errors: DataFrame, folder: str) -> None:
@@ -31,7 +31,7 @@ def write_manifests(candidates: DataFrame, groups: DataFrame, errors: DataFrame,
 
 def write_shards(df: DataFrame, folder: str) -> None:
     """One folder per ``shard_id``; shards of an earlier, larger run go."""
-    df.repartition("shard_id").write.mode("overwrite").partitionBy("shard_id").json(folder)
+    df.repartition("shard_id").write.mode("overwrite").partitionBy("shard_id").json(folder, ignoreNullFields=False)
 
 
 def result_json(results: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def stream_labels(
     """Follow a folder of JSON Lines manifests until it holds nothing new, appending labels.
 
     Each micro-batch labels only keys without a successful label, so one that is
-    repeated after a failure adds nothing twice.  ``seq`` grows with the batch.
+    repeated after a failure adds nothing twice.  ``seq`` is above that of all labels before.
     """
     source = spark.readStream.schema(CANDIDATE).json(manifests)
 
@@ -32,6 +32,7 @@ def stream_labels(
                 raise
             known = spark.createDataFrame([], LABEL)
         made = transcribe(todo(batch, known).repartition(workers), make, batch_size, **how)
-        made.withColumn("seq", F.lit(number << 40) + F.monotonically_increasing_id()).write.mode("append").parquet(labels)
+        start = known.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
+        made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id()).write.mode("append").parquet(labels)
 
     return source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -109,6 +109,6 @@ def test_wav_concatenation():
 def test_resampling(spark):
     x = np.arange(10, dtype=np.float32)
     (up, same), = run(spark, [(x.tolist(),)], "x array<float>", audio.resample_linear(F.col("x"), 8000, 16000), audio.resample_linear(F.col("x"), 8000, 8000))
-    assert np.allclose(up, audio.resampled(x, 8000, 16000)) and np.allclose(same, x) and len(up) == 20
+    assert np.allclose(up, audio.resampled(x, 8000, 16000, "linear")) and np.allclose(same, x) and len(up) == 20
     assert audio.gap_samples(16000, 200) == 3200 and audio.gap_samples(16000, -5) == 0 and audio.gap_samples(1000, 2.5) == round(2.5)
     assert not math.isnan(up[-1])

@@ -9,12 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from takepick.config import LabelingConfig
-from takepick.functions.audio import encode_pcm16
+from takepick.functions.audio import encode_pcm16, polyphase, resampled
 from takepick.operators import collect, prepare, shard
+from takepick.operators.models import Adapted, model_maker
 from takepick.operators.transcribe import label_batch, read_result, transcribe
 from takepick.plans.labeling import LabelingRun
 from takepick.queries import EchoTranscriber
-from takepick.sources.records import expand_paths, label_files, read_jsonl, read_records
+from takepick.sources.records import array_items, expand_paths, label_files, read_jsonl, read_records, sniff
 from takepick.sources.sinks import append_jsonl, compact_json, document, write_jsonl, write_shards
 from takepick.streaming.labels import stream_labels
 
@@ -169,9 +170,9 @@ def test_batches_and_failures(spark):
 
 
 def test_collection(spark):
-    nested = "id string, text string, candidates array<struct<candidate_index int, candidate string, audio string>>"
+    nested = "record_index long, id string, text string, candidates array<struct<candidate_index int, candidate string, audio string>>"
     groups = spark.createDataFrame(
-        [("a", "one two", [(i, str(i), f"w{i}") for i in range(3)]), ("b", "x", [(0, "0", "v0"), (1, "1", "v1")]), ("c", "y", [(0, "0", "u")])], nested
+        [(0, "a", "one two", [(i, str(i), f"w{i}") for i in range(3)]), (1, "b", "x", [(0, "0", "v0"), (1, "1", "v1")]), (2, "c", "y", [(0, "0", "u")])], nested
     )
     labels = spark.createDataFrame(
         [("a", 0, "one", None, None, 1), ("a", 1, "one", "moved", None, 2), ("a", 2, "one two", None, None, 3), ("a", 2, "", None, "E", 4), ("b", 0, "z", None, "", 5), ("q", 0, "", None, None, 6)],
@@ -189,9 +190,66 @@ def test_collection(spark):
     assert json.loads("".join(document(collect.results(scored).limit(0), 0))) == {"results": [], "missing_labels": 0}
 
 
+def test_records_that_repeat_an_id_and_a_text(spark):
+    groups = spark.createDataFrame([(n, "a", "one two", [(0, "0", "w")]) for n in range(2)], "record_index long, id string, text string, candidates array<struct<candidate_index int, candidate string, audio string>>")
+    labels = spark.createDataFrame([("a", 0, "one", None, None, 1)], "id string, candidate_index int, asr_text string, audio string, error string, seq long")
+    out = collect.results(collect.score(groups, labels)).collect()
+    assert sorted((r.record_index, len(r.detail), r.detail[0].wer) for r in out) == [(0, 1, 0.5), (1, 1, 0.5)]
+
+
+def test_array_items(tmp_path):
+    items = [{"a": [1, {"b": "]},["}]}, 12345, "é\"\\", None, [], {}, -1.5e3, True]
+    for indent in (None, 2):
+        path = put(tmp_path / "a.json", " \n" + json.dumps(items, indent=indent, ensure_ascii=False) + "\n ")
+        for size in (1, 2, 7, 1 << 20):
+            assert [json.loads(x) for x in array_items(path, size)] == items
+    assert list(array_items(put(tmp_path / "b.json", "[ ]"))) == []
+    for bad in ("[", "[1", "[1,", "[1 2]", "[1]x", "[,1]", "[1,]", '[{"a":1]'):
+        with pytest.raises(ValueError):
+            list(array_items(put(tmp_path / "c.json", bad)))
+
+
+def test_sniffing_reads_a_bounded_head(tmp_path):
+    long = '{"x":"' + "y" * 20000 + '"}'
+    for content, kind in ((long, "lines"), (long + "\n" + long, "lines"), ("[" + long + "]", "array"), ('\n\t{"a":1}', "lines"), ('{\n"a":1}', "object"), (" \n\t", "empty")):
+        assert sniff(put(tmp_path / "f", content)) == kind
+
+
+def test_models_of_other_interfaces():
+    each = type("Each", (), {"transcribe": lambda self, audio, language="": [{"text": language + audio}]})()
+    assert Adapted(each).transcribe(["a", "b"], "x", "ignored") == [{"text": "xa"}, {"text": "xb"}]
+    one = type("One", (), {"generate": lambda self, audio: {"text": audio[0]}})()
+    assert Adapted(one).transcribe(["a"], "de", "c") == [{"text": "a"}]
+    with pytest.raises(TypeError):
+        Adapted(object()).transcribe(["a"], None, "")
+    with pytest.raises(ValueError):
+        model_maker("a:B", "m", "other")
+    with pytest.raises(TypeError):
+        model_maker("collections:OrderedDict", "m", "transformers")()
+    with pytest.raises(ImportError):
+        model_maker("no.such.package:Model", "m")()
+
+
+def test_polyphase_is_the_filter_over_stuffed_zeros():
+    rng = np.random.default_rng(1)
+    for up, down, n in ((3, 2, 64), (160, 441, 900), (2, 1, 5), (1, 3, 100), (1, 6, 4)):
+        x = rng.normal(size=n).astype(np.float32)
+        wide = 10 * max(up, down)
+        t = np.arange(-wide, wide + 1)
+        taps = np.sinc(t / max(up, down)) * np.kaiser(len(t), 5.0)
+        stuffed = np.zeros(n * up)
+        stuffed[::up] = x
+        want = np.convolve(stuffed, taps * up / taps.sum())[wide : wide + n * up : down]
+        got = polyphase(x, up, down, 50)
+        assert len(got) == -(-n * up // down) and np.abs(got - want[: len(got)]).max() < 1e-5
+    tone = np.sin(2 * np.pi * 440 * np.arange(8000) / 8000).astype(np.float32)
+    made = resampled(tone, 8000, 16000)
+    assert np.abs(made[200:-200] - np.sin(2 * np.pi * 440 * np.arange(16000) / 16000)[200:-200]).max() < 10 ** (-(5 / 0.1102 + 8.7) / 20)  # the ripple of a Kaiser window of beta 5
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "é", None), (2, "b", "c")], "shard_id int, x string, y string")
-    assert [r[0] for r in df.select(compact_json("x", "y")).collect()] == ['{"x":"é"}', '{"x":"b","y":"c"}']
+    assert [r[0] for r in df.select(compact_json("x", "y")).collect()] == ['{"x":"é","y":null}', '{"x":"b","y":"c"}']
     write_jsonl(df, str(tmp_path / "o"))
     append_jsonl(df, str(tmp_path / "o"))
     assert spark.read.json(str(tmp_path / "o")).count() == 4
@@ -242,3 +300,14 @@ def test_label_stream(spark, tmp_path):
         stream_labels(spark, str(source), labels, str(tmp_path / "c"), EchoTranscriber).awaitTermination(120)
     got = spark.read.parquet(labels).collect()
     assert sorted(r.id for r in got) == ["r0", "r1", "r2"] and len({r.seq for r in got}) == 3
+
+
+def test_later_batches_outrank_earlier_ones_of_many_partitions(spark, tmp_path):
+    source, labels = tmp_path / "m", str(tmp_path / "labels")
+    source.mkdir()
+    row = lambda i, audio: json.dumps({"id": f"r{i}", "candidate_index": 0, "candidate": "0", "audio": audio, "text": "t", "source_json": "s", "num_segments": 1})
+    for turn, word in enumerate(("bad", "good")):
+        put(source / f"{turn}.json", "\n".join(row(i, word) for i in range(300)))
+        stream_labels(spark, str(source), labels, str(tmp_path / "c"), Fails, workers=150 if turn == 0 else 2).awaitTermination(120)
+    last = collect.latest(spark.read.parquet(labels), ["id", "candidate_index"]).collect()
+    assert len(last) == 300 and all(r.asr_text == "good" and r.error is None for r in last)
