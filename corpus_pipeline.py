@@ -12,13 +12,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from takepick.llm.common import fresh, shared_dir
+from takepick.llm.common import fresh
 from takepick.llm.line_dedup import dedup_lines, duplicate_lines
 from takepick.llm.minhash import near_duplicates
 from takepick.llm.packing import pack
 from takepick.llm.substring_dedup import dedup_substrings, duplicate_spans
 from takepick.llm.tokens import default_tokenizer
 from takepick.llm.toxicity import fit_toxicity, score_toxicity
+from takepick.sources.shared import checkpointed, delete, shared_dir, written
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -74,11 +75,24 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written down in the shared folder before the next."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over ``documents``, each written down before the next.
+
+    ``folder`` keeps the stages' tables, and a run that finds whole ones there goes
+    on after them.  Without it they are in the shared folder, and each goes
+    once the next is there, or when the run fails.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for n, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{n}")
-        docs = spark.read.parquet(f"{base}/{n}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    base = folder or f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    try:
+        for n, (_, stage) in enumerate(STAGES):
+            path = f"{base}/{n}"
+            if not written(spark, path):
+                stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+            docs = spark.read.parquet(path)
+            if n and not folder:
+                delete(spark, f"{base}/{n - 1}")
+        return docs if folder else checkpointed(docs)
+    finally:
+        if not folder:
+            delete(spark, base)
