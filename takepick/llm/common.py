@@ -3,13 +3,12 @@
 Scratch tables are Parquet below ``spark.checkpoint.dir``, the folder that the
 driver and all executors see, so a lost executor costs a re-read and nothing
 more.  They are deleted when the operator ends; what it returns is cut with
-``checkpoint()``, whose files Spark removes with the last reference.
+``checkpoint()``, whose files go with the last reference to it.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -17,23 +16,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from takepick.sources.shared import checkpointed, delete, shared_dir
+
 #: The white space bytes of the word contract, and A-Z.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, one of our own."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        own = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if not own:
-            local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
-            own = tempfile.mkdtemp(prefix="takepick-") if local else spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
-        sc.setCheckpointDir(own)
-    return sc.getCheckpointDir()
-
-
 class Scratch:
     """Tables of one operator run: ``table`` writes one, the end of the block deletes all."""
 
@@ -50,22 +39,17 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            self._delete(t._scratch_path)
+            delete(self.spark, t._scratch_path)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """The operator's result, free of the scratch tables."""
-        return df.checkpoint(eager=True)
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        return checkpointed(df)
 
     def __enter__(self) -> "Scratch":
         return self
 
     def __exit__(self, *_: object) -> None:
-        self._delete(self.base)
+        delete(self.spark, self.base)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
