@@ -1,17 +1,21 @@
 """Line dedup by pairwise alignment.
 
-Each run of lines of just ``min_bytes`` nominates the earliest document that holds
-the run as partner of every later one.  A common block of any two documents is
-made of such runs, so each part of it has a partner that holds that very part,
-not only its lines one by one.  A run of any frequency takes part, at one pair
-for each later document: no run is too common, and no group of copies makes
-pairs among its members.  A pair is aligned
-by patience diff over line hashes, and runs it leaves unmatched, repeated in one
+Documents that overlap are found by the hashes of rare shared lines, taken in runs
+of just ``min_bytes``: a common block of any two documents is made of such runs.
+Each run has an earliest holder.  A document's shared runs are looked at in two rounds.
+In the first, those that are rarer than the runs next to them nominate their
+earliest holders as partners; in the second, all runs that no
+alignment has covered so far.  So a frequent line makes a pair only where
+nothing rarer leads to it, no run is too common to be found, and a group of copies
+makes no pairs among its members.
+
+A pair is aligned by patience diff over line hashes, and runs it leaves unmatched, repeated in one
 of the two or in another order, are found by their hashes; common blocks of at
 least ``min_bytes`` are deleted from the later document.  The earliest holder of a line never loses it,
 so of every deleted line one copy stays.
 
-Hashes travel, a text only once, when its lines are deleted.
+Hashes travel, a text only once, when its lines are deleted.  A partner's hashes are
+there once for ``SHARE`` documents compared with it, whatever their number.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 from takepick.llm.common import Scratch, fresh, let, text_batches
 from takepick.llm.patience import align, blocks
 
+SHARE = 64  # documents compared with one copy of their partner's hashes
+
 
 def line_hashes(text: str) -> tuple[list[int], list[int]]:
     """Hash and bytes of each line without the white space at its ends; 0 for an empty line."""
@@ -48,18 +54,20 @@ def runs(hashes: list[int], sizes: list[int], min_bytes: int) -> list[tuple[int,
     return [(xxhash.xxh3_64_intdigest(raw[8 * i : 8 * j]) - (1 << 63), i, j) for i, j in sorted(cuts)]
 
 
-def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int) -> list[int]:
+def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int, held: set[int] | None = None) -> list[int]:
     """Lines of the later document within blocks of at least ``min_bytes`` that the earlier one holds (empty lines don't end a block).
 
-    Alignment matches a line once and in order; where it leaves lines, every run the earlier document holds counts.
+    Alignment matches a line once and in order; where it leaves lines, every run the earlier document holds
+    (``held``, if its runs are known) counts.
     """
     full_a, full_b = [i for i, x in enumerate(later) if x], [i for i, x in enumerate(earlier) if x]
     a, b, of_a = [later[p] for p in full_a], [earlier[p] for p in full_b], [sizes[p] for p in full_a]
     spans = [(i, i + n) for i, _, n in blocks(align(a, b)) if sum(of_a[i : i + n]) >= min_bytes]
     if sum(j - i for i, j in spans) < len(a):
-        size = dict(zip(a, of_a))
-        there = {k for k, _, _ in runs(b, [size.get(x, min_bytes) for x in b], min_bytes)}
-        spans += [(i, j) for k, i, j in runs(a, of_a, min_bytes) if k in there]
+        if held is None:
+            size = dict(zip(a, of_a))
+            held = {k for k, _, _ in runs(b, [size.get(x, min_bytes) for x in b], min_bytes)}
+        spans += [(i, j) for k, i, j in runs(a, of_a, min_bytes) if k in held]
     return sorted({r for i, j in spans for r in range(full_a[i], full_a[j - 1] + 1)})
 
 
@@ -75,39 +83,78 @@ def duplicate_lines(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id"
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
-            made = [line_hashes(t) for t in batch.column("text").to_pylist()]
-            full = [([h for h in m[0] if h], [n for h, n in zip(*m) if h]) for m in made]
-            keys = [sorted({k for k, _, _ in runs(h, n, min_bytes)}) for h, n in full]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "hashes", "sizes", "keys"],
-            )
+            made, found = [line_hashes(t) for t in batch.column("text").to_pylist()], []
+            for h, n in made:
+                full = [i for i, x in enumerate(h) if x]
+                found.append([(k, full[i], full[j - 1]) for k, i, j in runs([h[i] for i in full], [n[i] for i in full], min_bytes)])
+            arrays = [pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32()))]
+            arrays += [pa.array([[r[c] for r in f] for f in found], pa.list_(t)) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *arrays], ["doc_id", "text_hash", "hashes", "sizes", "keys", "starts", "ends"])
+
+    def nominate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Partners for the runs not yet covered: in the first round (no lines known) of the rarest among their neighbours."""
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                lost, marks = set(row["lines"] or ()), row["marks"]
+                if row["lines"] is not None:
+                    chosen = [m for m in marks if not lost.issuperset(range(m["start"], m["end"] + 1))]
+                else:
+                    near = [a["end"] >= b["start"] for a, b in zip(marks, marks[1:])]  # runs that share lines
+                    chosen = [
+                        m
+                        for i, m in enumerate(marks)
+                        if not (i and near[i - 1] and marks[i - 1]["holders"] < m["holders"]) and not (i < len(near) and near[i] and marks[i + 1]["holders"] <= m["holders"])
+                    ]
+                rows += [(row["doc_id"], row["text_hash"], first) for first in sorted({m["first"] for m in chosen})]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["doc_id", "text_hash", "first"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            lost = [common_lines(a, n, b, min_bytes) for a, n, b in zip(c["hashes"], c["sizes"], c["other"])]
-            rows = [i for i, x in enumerate(lost) if x]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([c[n][i] for i in rows], pa.int64()) for n in ("doc_id", "text_hash", "first")), pa.array([lost[i] for i in rows], pa.list_(pa.int32()))],
-                ["doc_id", "text_hash", "first", "lines"],
-            )
+        """Rows come partner first (all texts of its id), then the documents compared with it."""
+        at, heads = None, []
+        for whole in batches:
+            for cut in range(0, whole.num_rows, 256):
+                out = []
+                for row in whole.slice(cut, 256).to_pylist():
+                    if at != (at := (row["first"], row["share"])):
+                        heads = []
+                    if row["doc_id"] is None:
+                        full = [(h, n) for h, n in zip(row["hashes"], row["sizes"]) if h]
+                        heads.append((row["hashes"], {k for k, _, _ in runs([h for h, _ in full], [n for _, n in full], min_bytes)}))
+                        continue
+                    lost = sorted({x for hashes, held in heads for x in common_lines(row["hashes"], row["sizes"], hashes, min_bytes, held)})
+                    out.append((row["doc_id"], row["text_hash"], row["first"], lost))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)], ["doc_id", "text_hash", "first", "lines"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).where("doc_id is not null")
     with Scratch(docs.sparkSession) as s:
-        described = s.table(source.mapInArrow(describe, "doc_id long, text_hash long, hashes array<long>, sizes array<int>, keys array<long>").dropDuplicates(["doc_id", "text_hash"]))
-        held = described.select("doc_id", "text_hash", F.explode("keys").alias("key"))
-        shared = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-        pairs = s.table(held.join(shared, "key").where("doc_id > first").select("doc_id", "text_hash", "first").distinct())
-        both = pairs.join(described.select("doc_id", "text_hash", "hashes", "sizes"), ["doc_id", "text_hash"])
-        other = described.select(F.col("doc_id").alias("first"), F.col("hashes").alias("other"))
-        lost = both.join(other, "first").select("doc_id", "text_hash", "first", "hashes", "sizes", "other").mapInArrow(compare, "doc_id long, text_hash long, first long, lines array<int>")
-        return s.keep(
-            lost.groupBy("doc_id", "text_hash").agg(
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"), F.array_sort(F.collect_set("first")).alias("sources")
-            )
-        )
+        described = source.mapInArrow(describe, "doc_id long, text_hash long, hashes array<long>, sizes array<int>, keys array<long>, starts array<int>, ends array<int>")
+        described = s.table(described.dropDuplicates(["doc_id", "text_hash"]))
+        held = described.select("doc_id", "text_hash", F.inline(F.arrays_zip("keys", "starts", "ends")).alias("key", "start", "end"))
+        shared = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders")).where("first < last")
+        shared = s.table(shared.select("key", "first", "holders"))  # written down, so that the join may split a frequent run
+        marks = held.join(shared, "key").where("doc_id > first").groupBy("doc_id", "text_hash")
+        marks = s.table(marks.agg(F.array_sort(F.collect_list(F.struct("start", "end", "first", "holders"))).alias("marks")))
+
+        def lost(known: DataFrame) -> DataFrame:
+            pairs = s.table(known.mapInArrow(nominate, "doc_id long, text_hash long, first long"))
+            shares = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+            other = described.select(F.col("doc_id").alias("first"), "hashes", "sizes")
+            heads = shares.join(other, "first").select("first", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("text_hash"), "hashes", "sizes")
+            rows = pairs.join(shares, "first").withColumn("share", F.pmod(F.xxhash64("doc_id", "text_hash"), "shares").cast("int"))
+            rows = rows.join(described.select("doc_id", "text_hash", "hashes", "sizes"), ["doc_id", "text_hash"]).select(*heads.columns)
+            dealt = heads.unionAll(rows).repartition("first", "share").sortWithinPartitions("first", "share", "doc_id")  # null first: the partner
+            return s.table(dealt.mapInArrow(compare, "doc_id long, text_hash long, first long, lines array<int>"))
+
+        def together(found: DataFrame) -> DataFrame:
+            lines, sources = F.array_distinct(F.flatten(F.collect_list("lines"))), F.collect_set(F.when(F.size("lines") > 0, F.col("first")))
+            return found.groupBy("doc_id", "text_hash").agg(F.array_sort(lines).alias("lines"), F.array_sort(sources).alias("sources"))
+
+        found = lost(marks.withColumn("lines", F.lit(None).cast("array<int>")))
+        found = found.unionAll(lost(marks.join(together(found).select("doc_id", "text_hash", "lines"), ["doc_id", "text_hash"])))
+        return s.keep(together(found).where(F.size("lines") > 0))
 
 
 def dedup_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", report: bool = False) -> DataFrame:
