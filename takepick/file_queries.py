@@ -260,7 +260,7 @@ def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON document of all results, read back: null rates are written, errors only where there is one."""
     groups, labels = q._groups_and_labels(spark, sf_dir)
-    scored = checkpointed(collect.score(groups, labels, compatibility=False))
+    scored = checkpointed(collect.score(groups, labels))
     with _folder(spark) as f:
         sinks.write_document(collect.results(scored), collect.missing_labels(scored).first()[0], f"{f}/result.json")
         whole = spark.read.text(f"{f}/result.json", wholetext=True).select(F.parse_json("value").alias("v"))
@@ -283,7 +283,7 @@ def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = first.select(
         F.col("conv_id").cast("string").alias("id"), F.posexplode(F.array(F.lit(""), F.col("text"))).alias("candidate_index", "asr_text"), F.lit(None).cast("string").alias("audio"), F.lit(None).cast("string").alias("error"), F.lit(1).cast("long").alias("seq")
     )
-    done = collect.results(collect.score(groups, labels, compatibility=False))
+    done = collect.results(collect.score(groups, labels))
     return done.select("record_index", "id", "best_candidate", F.size("detail").cast("long").alias("candidates"), F.get("detail", F.lit(1))["wer"].alias("wer"))
 
 

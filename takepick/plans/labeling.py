@@ -28,13 +28,29 @@ class LabelingRun:
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def _marked(self, name: str) -> bool:
+        """Whether the mark is there, of the same settings."""
+        mark = self._path(name)
+        if not os.path.exists(mark):
+            return False
+        with open(mark, encoding="utf-8") as f:
+            return f.read() == self.config.fingerprint()
+
+    def _mark(self, name: str) -> None:
+        os.makedirs(self.folder, exist_ok=True)
+        with open(self._path(name), "w", encoding="utf-8") as f:
+            f.write(self.config.fingerprint())
+
     def prepared(self) -> bool:
         """Whether manifests of the same settings are there."""
-        mark = self._path("fingerprint")
-        return os.path.exists(mark) and open(mark, encoding="utf-8").read() == self.config.fingerprint()
+        return self._marked("fingerprint")
 
     def prepare(self, inputs: list[str]) -> dict[str, int]:
-        """Read, validate and write groups, candidates and errors, and each candidate's WAV."""
+        """Read, validate and write groups, candidates and errors, and each candidate's WAV.
+
+        Recordings that a run of the same settings has written before, even one
+        that was cut short, are kept; those of other settings go first.
+        """
         files = expand_paths(inputs)
         if not files:
             raise FileNotFoundError("no input files")
@@ -45,22 +61,19 @@ class LabelingRun:
         valid = self.spark.read.parquet(self._path("validated"))
         wavs = self._path("prepared_audio")
         rows = prepare.candidates(valid, wavs)
-        again = self.config.overwrite_audio or not self.prepared()
-        made = concat_candidate_audio(not_yet_written(rows, again), self.config.sample_rate, self.config.gap_ms, self.config.resample)
-        made.write.mode("overwrite").parquet(self._path("audio_made"))
-        made = self.spark.read.parquet(self._path("audio_made"))
-        write_wavs(made.where("wav is not null"), overwrite=again).agg(F.count_if("written")).collect()
-        made = checkpointed(made.drop("wav", "audio_paths").withColumn("built", F.col("error").isNull()))
-        delete(self.spark, self._path("audio_made"))
+        if self.config.overwrite_audio or not self._marked("audio"):
+            delete(self.spark, wavs)
+            self._mark("audio")
+        made = concat_candidate_audio(not_yet_written(rows), self.config.sample_rate, self.config.gap_ms, self.config.resample)
+        made = checkpointed(write_wavs(made).select("record_index", "id", "source_json", "candidate_index", "error"))
         # a record with a candidate that can't be built is an error as a whole: its first one
-        failed = made.where("not built").groupBy("record_index", "id", "source_json").agg(F.min_by("error", "candidate_index").alias("error"))
+        failed = made.where("error is not null").groupBy("record_index", "id", "source_json").agg(F.min_by("error", "candidate_index").alias("error"))
         good = valid.where("error is null").join(failed, "record_index", "left_anti")
         prepare.groups(good, wavs).write.mode("overwrite").parquet(self._path("groups"))
         sharded = shard.round_robin(prepare.candidates(good, wavs).drop("audio_paths"), self.config.workers, ["record_index", "candidate_index"])
         sharded.write.mode("overwrite").partitionBy("shard_id").parquet(self._path("manifest"))
         prepare.errors(valid).unionByName(failed.drop("record_index")).write.mode("overwrite").parquet(self._path("errors"))
-        with open(self._path("fingerprint"), "w", encoding="utf-8") as f:
-            f.write(self.config.fingerprint())
+        self._mark("fingerprint")
         counts = {n: self.spark.read.parquet(self._path(n)).count() for n in ("groups", "manifest", "errors")}
         if not counts["manifest"]:
             raise RuntimeError("no candidate could be prepared")

@@ -35,12 +35,12 @@ def _joined(c: F.Column) -> F.Column:
 
 
 def tokenize_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = text.tokens(F.col("text"), compatibility=False)
+    words = text.tokens(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.size(words).cast("long").alias("n_tokens"), F.md5(_joined(words)).alias("tokens_md5"))
 
 
 def tokenize_char(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chars = text.tokens(F.col("text"), tokenizer="char", compatibility=False)
+    chars = text.tokens(F.col("text"), tokenizer="char")
     return table(spark, sf_dir, "benchmark").select("item_id", F.size(chars).cast("long").alias("n_tokens"), F.md5(_joined(chars)).alias("tokens_md5"))
 
 
@@ -56,13 +56,13 @@ def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn against the next."""
-    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", metrics.wer(F.col("text"), F.col("next"), compatibility=False).alias("wer"))
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", metrics.wer(F.col("text"), F.col("next")).alias("wer"))
 
 
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark passage against its own first half, by characters."""
     half = F.expr("substring(text, 1, length(text) div 2)")
-    rate = metrics.wer(F.col("text"), half, tokenizer="char", compatibility=False)
+    rate = metrics.wer(F.col("text"), half, tokenizer="char")
     return table(spark, sf_dir, "benchmark").select("item_id", rate.alias("cer"))
 
 
@@ -96,7 +96,7 @@ def _groups_and_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: labels joined back, rated, the best candidate of each record, its rate and how many are missing."""
     groups, labels = _groups_and_labels(spark, sf_dir)
-    scored = collect.score(groups, labels, compatibility=False)
+    scored = collect.score(groups, labels)
     return scored.groupBy("id").agg(
         collect.best().alias("best_candidate"), F.min("wer").alias("best_wer"), F.count_if("missing").alias("missing"), F.count_if(F.col("wer").isNull()).alias("unrated")
     )
@@ -104,7 +104,7 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidate_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups, labels = _groups_and_labels(spark, sf_dir)
-    done = collect.results(collect.score(groups, labels, compatibility=False))
+    done = collect.results(collect.score(groups, labels))
     return done.select("id", F.explode("detail").alias("d")).select("id", "d.candidate", "d.wer", F.md5("d.transcript").alias("transcript_md5"), "d.audio", "d.error")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from takepick.functions.audio import concat_wavs
 
@@ -42,17 +42,19 @@ def concat_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: floa
 
 
 def write_wavs(rows: DataFrame, path_col: str = "audio", data_col: str = "wav", overwrite: bool = False) -> DataFrame:
-    """Write each row's bytes to its path (a file system that all executors share) and return (path, written).
+    """Write each row's bytes to its path (a file system that all executors share); the rows without the bytes, and ``written``.
 
     A file gets its name once it is whole, so a repeated task is harmless; an
-    existing one is kept unless ``overwrite``.
+    existing one is kept unless ``overwrite``, and null bytes make none.
     """
+    kept = [f for f in rows.schema.fields if f.name != data_col]
+    schema = StructType([*kept, StructField("written", BooleanType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             written = []
             for path, data in zip(pdf[path_col], pdf[data_col]):
-                if not overwrite and os.path.exists(path):
+                if data is None or not overwrite and os.path.exists(path):
                     written.append(False)
                     continue
                 os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -61,9 +63,9 @@ def write_wavs(rows: DataFrame, path_col: str = "audio", data_col: str = "wav",
                     f.write(data)
                 os.replace(part, path)
                 written.append(True)
-            yield pd.DataFrame({"path": pdf[path_col], "written": written})
+            yield pdf.drop(columns=data_col).assign(written=written)
 
-    return rows.select(path_col, data_col).mapInPandas(run, "path string, written boolean")
+    return rows.mapInPandas(run, schema)
 
 
 def read_audio(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -71,10 +73,8 @@ def read_audio(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", "content")
 
 
-def not_yet_written(candidates: DataFrame, overwrite: bool = False) -> DataFrame:
+def not_yet_written(candidates: DataFrame) -> DataFrame:
     """Candidates whose WAV is still to be made."""
-    if overwrite:
-        return candidates
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -289,6 +289,16 @@ def test_run_from_files_to_document(spark, tmp_path):
     whole = json.loads((tmp_path / "result.json").read_text())
     assert whole["missing_labels"] == 0 and whole["results"][0]["best_candidate"] == 1
     assert not LabelingRun(spark, run.folder, LabelingConfig(gap_ms=5)).prepared()
+    # a run cut short goes on with the recordings there are; other settings make them anew
+    wavs = sorted(str(p) for p in (tmp_path / "run" / "prepared_audio").rglob("*.wav"))
+    assert len(wavs) == 2
+    os.remove(f"{run.folder}/fingerprint")
+    os.remove(wavs[1])
+    os.utime(wavs[0], (1, 1))
+    assert run.prepare(inputs) == {"groups": 1, "manifest": 2, "errors": 2}
+    assert os.path.getmtime(wavs[0]) == 1 and os.path.exists(wavs[1])
+    LabelingRun(spark, run.folder, LabelingConfig(workers=2, gap_ms=5)).prepare(inputs)
+    assert os.path.getmtime(wavs[0]) > 1
 
 
 def test_label_stream(spark, tmp_path):
