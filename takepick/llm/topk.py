@@ -1,12 +1,14 @@
 """Exact top-k search by exhaustive term-at-a-time accumulation.
 
 Candidates become blocks of postings (for each term the rows that hold it, with
-their weights), queries blocks of sparse rows.  Every block of queries meets
-every block of candidates; there, for one term after another, the queries that
-hold it scatter weight times posting into dense score arrays, from which the k
-best are selected.  A task merges the selections of its candidate blocks, one
-window per query merges those of the tasks.  Blocks have a fixed size, so memory
-does not depend on the data; nothing is gathered on the driver.
+their weights), queries blocks of sparse rows.  Blocks are dealt into bundles of a
+few, and each pair of bundles is a cell of a grid: all blocks of queries in a cell
+meet all its blocks of candidates, as any exhaustive search asks for.  There, for one term
+after another, the queries that hold it scatter weight times posting into dense
+score arrays, from which the k best are selected.  A cell merges the selections of its
+candidate blocks, one window per query merges those of the cells.  Blocks and
+bundles have a fixed size, so memory does not depend on the data, nothing is
+broadcast, and nothing is gathered on the driver.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from takepick.llm.common import Scratch
 
 TILE = 64  # queries whose score arrays are held at once
+BUNDLE = {"candidate": 4, "query": 16}  # blocks
 BLOCK = "id binary, ptr binary, at binary, weight binary"
 
 
@@ -116,7 +119,8 @@ def exact_topk(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        """Rows come cell by cell, a cell's query blocks first."""
+        held, size, cell, asked = [], 0, None, []
         kinds = {"id": np.int64, "ptr": np.int64, "at": np.int32, "weight": np.int64}
 
         def give() -> pa.RecordBatch:
@@ -125,9 +129,15 @@ def exact_topk(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256
 
         for batch in batches:
             for at in range(batch.num_rows):
-                pair = {c: np.frombuffer(batch.column(c)[at].as_py(), kinds[c[1:]]) for c in batch.schema.names}
-                held.append(_accumulate({c: pair["q" + c] for c in kinds}, {c: pair["c" + c] for c in kinds}, k))
-                size += len(held[-1][0])
+                row = {c: np.frombuffer(batch.column(c)[at].as_py(), kinds[c]) for c in kinds}
+                mine = batch.column("row")[at].as_py(), batch.column("col")[at].as_py()
+                if mine != cell:
+                    cell, asked = mine, []
+                if batch.column("kind")[at].as_py() == 0:
+                    asked.append(row)
+                    continue
+                held += [_accumulate(x, row, k) for x in asked]
+                size += sum(len(x[0]) for x in held[len(held) - len(asked) :])
                 if size > 1 << 20:
                     held = [_top(tuple(np.concatenate(x) for x in zip(*held)), k)]
                     size = len(held[0][0])
@@ -143,7 +153,14 @@ def exact_topk(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256
     with Scratch(rows.sparkSession) as s:
         c = s.table(_blocks(sparse(rows), block, True))
         q = s.table(_blocks(sparse(queries), block, False))
-        pairs = c.select(*(F.col(x).alias("c" + x) for x in c.columns)).crossJoin(q.select(*(F.col(x).alias("q" + x) for x in q.columns)))
-        found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+        rows_of, cols_of = (max(1, -(-x.count() // BUNDLE[n])) for x, n in ((q, "query"), (c, "candidate")))
+
+        def dealt(blocks: DataFrame, kind: int, mine: str, bundles: int, other: str, cells: int) -> DataFrame:
+            """Each block in its bundle, once for each bundle of the other side."""
+            placed = blocks.withColumn(mine, F.pmod(F.xxhash64("id"), F.lit(bundles)).cast("int")).withColumn("kind", F.lit(kind))
+            return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).select("row", "col", "kind", *blocks.columns)
+
+        grid = dealt(q, 0, "row", rows_of, "col", cols_of).unionAll(dealt(c, 1, "col", cols_of, "row", rows_of))
+        found = grid.repartition("row", "col").sortWithinPartitions("row", "col", "kind").mapInArrow(run, "query_id long, vec_id long, score long")
         w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return s.keep(found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
