@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from takepick.__main__ import main
 from takepick.config import LabelingConfig
 from takepick.functions.audio import encode_pcm16, polyphase, resampled
 from takepick.operators import collect, prepare, shard
@@ -301,6 +302,49 @@ def test_run_from_files_to_document(spark, tmp_path):
     assert os.path.getmtime(wavs[0]) > 1
 
 
+class Loaded:
+    """Stands for a package's model class."""
+
+    def __init__(self, model, **options):
+        self.model, self.options = model, options
+
+    @classmethod
+    def from_pretrained(cls, model, max_inference_batch_size, max_new_tokens):
+        return cls(model, size=max_inference_batch_size, tokens=max_new_tokens)
+
+    @classmethod
+    def LLM(cls, model, max_inference_batch_size, max_new_tokens, gpu_memory_utilization, tensor_parallel_size):
+        return cls(model, size=max_inference_batch_size, memory=gpu_memory_utilization, parallel=tensor_parallel_size)
+
+    def generate(self, audio, context=""):
+        return [{"text": "w w", "context": context, "model": self.model} for _ in audio]
+
+
+def test_loading_models(monkeypatch):
+    monkeypatch.delenv("VLLM_ATTENTION_BACKEND", raising=False)
+    made = model_maker("test_labeling:Loaded", "m", "vllm", batch_size=3)()
+    assert made.model.model == "m" and made.model.options == {"size": 3, "memory": 0.7, "parallel": 1} and os.environ["VLLM_ATTENTION_BACKEND"] == "FLASH_ATTN"
+    made = model_maker("test_labeling:Loaded", "m", "transformers", max_new_tokens=9)()
+    assert made.model.options == {"size": 8, "tokens": 9}
+    assert made.transcribe(["a"], "de", "c") == [{"text": "w w", "context": "c", "model": "m"}]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "a.wav").write_bytes(encode_pcm16(np.zeros(1600, np.float32), 16000))
+    put(tmp_path / "in.jsonl", json.dumps({"key": "k", "output": [{"text": "w w", "candidate_audio_path": ["a.wav"]}]}))
+    given = ["--input-json", str(tmp_path / "in.jsonl"), "--output_dir", str(tmp_path / "run"), "--id-key", "key", "--workers", "1"]
+    assert main([*given, "--prepare-only"]) == 0 and LabelingRun(spark, str(tmp_path / "run")).manifest().count() == 1
+    assert main([*given, "--factory", "test_labeling:Loaded", "--backend", "transformers", "--context", "c"]) == 0
+    assert main([*given, "--collect-only", "--result-name", "again.json"]) == 0
+    for name in ("result.json", "again.json"):
+        whole = json.loads((tmp_path / "run" / name).read_text())
+        assert whole["results"][0]["id"] == "k" and whole["results"][0]["detail"][0]["wer"] == 0.0
+    for bad in (["--batch-size", "0"], [], ["--prepare-only", "--collect-only"]):
+        with pytest.raises(SystemExit):
+            main([*given, *bad])
+    assert "batch_size must be > 0" in capsys.readouterr().err
+
+
 def test_label_stream(spark, tmp_path):
     source, labels = tmp_path / "m", str(tmp_path / "labels")
     source.mkdir()
