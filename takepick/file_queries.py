@@ -21,7 +21,7 @@ from takepick import queries as q
 from takepick.config import LabelingConfig
 from takepick.functions import audio, text
 from takepick.operators import collect, prepare, shard
-from takepick.operators.models import Adapted
+from takepick.operators.models import Adapted, model_maker
 from takepick.operators.transcribe import transcribe
 from takepick.plans import progress
 from takepick.plans.labeling import LabelingRun
@@ -232,7 +232,7 @@ def transcribe_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcribe(manifest, Moody, 8, "en", isolate=True)
 
 
-class Callable1:
+class Calls:
     def __call__(self, audio: str) -> dict:
         return {"text": "call " + os.path.basename(audio)}
 
@@ -252,11 +252,39 @@ def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = q.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn").alias("audio"))
     parts = [
         transcribe(manifest.where(F.col("turn") % 3 == n), lambda kind=kind: Adapted(kind()), 8, "de", "about").select("conv_id", "turn", "asr_text", "error")
-        for n, kind in enumerate((Transcribes, Generates, Callable1))
+        for n, kind in enumerate((Transcribes, Generates, Calls))
     ]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+class Package:
+    """Stands for the model class of another package, with both ways to load a model."""
+
+    def __init__(self, said: str):
+        self.said = said
+
+    @classmethod
+    def LLM(cls, model: str, max_inference_batch_size: int, max_new_tokens: int, **memory: float) -> Package:
+        return cls(f"LLM {model} {max_inference_batch_size} {max_new_tokens} " + " ".join(f"{k}={v}" for k, v in sorted(memory.items())))
+
+    @classmethod
+    def from_pretrained(cls, model: str, max_inference_batch_size: int, max_new_tokens: int) -> Package:
+        return cls(f"pretrained {model} {max_inference_batch_size} {max_new_tokens}")
+
+    def transcribe(self, audio: list[str]) -> list[dict]:
+        return [{"text": f"{self.said} {a}"} for a in audio]
+
+
+def loaded_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models that their class loads, by either backend, where the task runs."""
+    manifest = q.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn").alias("audio"))
+    parts = []
+    for n, (backend, options) in enumerate((("vllm", {"max_model_len": 99}), ("transformers", {"batch_size": 4}))):
+        make = model_maker(f"{__name__}:Package", "m", backend, **options)
+        parts.append(transcribe(manifest.where(F.col("turn") % 2 == n), make).select("conv_id", "turn", "asr_text", "error"))
+    return parts[0].unionAll(parts[1])
+
+
 def result_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON document of all results, read back: null rates are written, errors only where there is one."""
     groups, labels = q._groups_and_labels(spark, sf_dir)
@@ -366,6 +394,7 @@ QUERIES = (
     argument_checks,
     transcribe_failures,
     model_calls,
+    loaded_models,
     result_document,
     repeated_ids,
     nfkc_texts,
@@ -419,6 +448,8 @@ FROM (SELECT conv_id, string_agg(CASE turn % 9 WHEN 5 THEN '1.5' WHEN 6 THEN 'Tr
   CASE WHEN turn % 10 = 3 THEN NULL WHEN d = 0 THEN 'xx' ELSE 'en' END AS language, CASE WHEN turn % 10 = 3 THEN 'RuntimeError: no signal' END AS error,
   CASE WHEN turn % 10 <> 3 AND d = 0 THEN '{"score": 1}' END AS asr_extra FROM (SELECT *, turn % 10 % 4 AS d FROM conversations)""",
         "model_calls": """SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'about ' WHEN 1 THEN 'de ' ELSE 'call ' END || conv_id || '-' || turn AS asr_text, NULL::VARCHAR AS error FROM conversations""",
+        "loaded_models": """SELECT conv_id, turn, CASE turn % 2 WHEN 0 THEN 'LLM m 8 1024 gpu_memory_utilization=0.7 max_model_len=99 tensor_parallel_size=1 ' ELSE 'pretrained m 4 1024 ' END
+  || conv_id || '-' || turn AS asr_text, NULL::VARCHAR AS error FROM conversations""",
         "result_document": f"""WITH RECURSIVE {q.CANDIDATES}, {q._distance(q.RATED)}
 SELECT l.id, l.candidate_index AS candidate, rated.rate AS wer, rated.rate IS NULL AS wer_is_null, missing OR failed IS NOT NULL AS has_error,
   CASE WHEN missing THEN 'missing worker output' ELSE failed END AS error, (SELECT count(*) FROM l WHERE missing) AS missing_labels
