@@ -5,7 +5,8 @@ the text near them alone and an insertion changes the chunks around it, no more.
 A byte ends a chunk if its hash is below a threshold (a chunk in ``mean`` bytes),
 no other byte of the 8 before it does so, and a character ends there.
 
-A chunk's 64-bit digest is grouped once over the corpus: the document of least id
+Texts are chunked once; each document's digests are written down.  A chunk's
+96-bit digest (of 10^12 distinct chunks any two share one with probability 10^-5) is grouped once over the corpus: the document of least id
 holds the original.  Chunks that have an original elsewhere are joined into runs,
 and a run of at least ``min_bytes`` is a duplicate span; short chunks alone,
 which any two texts may share, are not.  Both exchanges carry digests and places,
@@ -30,7 +31,7 @@ GEAR = (stream(256, 53) >> np.uint64(20)).astype(np.uint16)
 
 
 def chunk(texts: list[str | None], mean: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, length, digest) of all chunks, in bytes, in order."""
+    """(text, start, length, digest) of all chunks, in bytes, in order; a digest is two words."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     gap = bytes(WINDOW)
     data = np.frombuffer(gap.join(raw) + gap, np.uint8)
@@ -53,7 +54,7 @@ def chunk(texts: list[str | None], mean: int = 24) -> tuple[np.ndarray, np.ndarr
     ends = np.unique(np.concatenate((at + 1, (base + sizes)[sizes > 0])))
     if not len(ends):
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return empty, empty, empty, np.zeros((0, 2), np.uint64)
     doc = np.searchsorted(base, ends - 1, "right") - 1
     first = np.ones(len(ends), bool)
     first[1:] = doc[1:] != doc[:-1]
@@ -61,51 +62,59 @@ def chunk(texts: list[str | None], mean: int = 24) -> tuple[np.ndarray, np.ndarr
     length = ends - start
     held = np.flatnonzero(inside)
     pos = held - np.repeat(start, length)
-    terms = (data[held].astype(np.uint64) + np.uint64(1)) * stream(int(length.max()), 59)[pos]
-    digest = mix(np.add.reduceat(terms, np.concatenate(([0], np.cumsum(length)[:-1]))) ^ mix(length.astype(np.uint64)))
+    value, first_of, size = data[held].astype(np.uint64) + np.uint64(1), np.cumsum(length) - length, mix(length.astype(np.uint64))
+    longest = int(length.max())
+    digest = np.stack([mix(np.add.reduceat(value * stream(longest, seed)[pos], first_of) ^ size) for seed in (59, 61)], axis=1)
     return doc, start - base[doc], length, digest
 
 
-def duplicate_spans(docs: DataFrame, mean: int = 24, min_bytes: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_spans(docs: DataFrame, mean: int = 24, min_bytes: int = 100, id_col: str = "doc_id", text_col: str = "text", within: bool = False) -> DataFrame:
     """One row per duplicate span: doc_id, text_hash, start, length (bytes of UTF-8), n_chunks, first_doc_id.
 
-    The original of a chunk is its first place in the document of least id; the
+    The original of a chunk is in the document of least id; the
     span's ``first_doc_id`` is the document with the originals of most of its
-    chunks.  A document without duplicates has no row.  Null and empty texts have
+    chunks.  Text that one document repeats (a refrain, a heading) is no duplicate,
+    unless ``within`` asks for it: then only the first place in that document is the
+    original.  A document without duplicates has no row.  Null and empty texts have
     no chunks.  Rows with a null id take no part.  Rows of one id are not compared
-    with one another (but each with itself).  No rows give no rows; other columns
+    with one another.  No rows give no rows; other columns
     are ignored.  ``text_hash`` (xxhash64) tells rows of one id apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
             doc, start, length, digest = chunk(batch.column("text").to_pylist(), mean)
-            order = np.lexsort((start, digest, doc))
+            order = np.lexsort((start, digest[:, 1], digest[:, 0], doc))
             again = np.zeros(len(doc), bool)
-            again[order[1:]] = (doc[order[1:]] == doc[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
-            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
-            for at in range(0, len(doc), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                place = (start[part] << 1) | again[part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (digest[part].view(np.int64), ids[doc[part]], hashes[doc[part]], place, length[part])],
-                    ["digest", "doc_id", "text_hash", "place", "length"],
-                )
+            again[order[1:]] = within & (doc[order[1:]] == doc[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
+            cuts = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32())
+            columns = (digest[:, 0].view(np.int64), (digest[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32), again, start.astype(np.int32), length.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in columns]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), batch.column("text_hash"), *lists], ["rid", "doc_id", "text_hash", "a", "b", "again", "start", "length"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).where("doc_id is not null")
     with Scratch(docs.sparkSession) as s:
-        chunks = source.mapInArrow(run, "digest long, doc_id long, text_hash long, place long, length long")
-        grouped = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.max(F.col("place") % 2).alias("again"))
-        twice = s.table(grouped.where("first_doc_id < last or again = 1").select("digest", "first_doc_id"))
-        found = chunks.join(twice, "digest").where("doc_id > first_doc_id or place % 2 = 1")
-        found = found.select("doc_id", "text_hash", F.expr("place div 2").alias("start"), "length", "first_doc_id").distinct()
-        w = Window.partitionBy("doc_id", "text_hash").orderBy("start")
-        new = F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("length")).over(w), F.lit(-1))
-        runs = found.withColumn("run", F.sum(new.cast("long")).over(w)).groupBy("doc_id", "text_hash", "run").agg(
-            F.min("start").alias("start"), F.sum("length").alias("length"), F.count(F.lit(1)).alias("n_chunks"), F.mode("first_doc_id", True).alias("first_doc_id")
+        source = source.withColumn("rid", F.monotonically_increasing_id())
+        described = s.table(source.mapInArrow(run, "rid long, doc_id long, text_hash long, a array<long>, b array<int>, again array<boolean>, start array<int>, length array<int>"))
+        # rows of a chunk are its digest, its text's number and its own number there: all that both exchanges carry
+        chunks = described.select("rid", "doc_id", F.posexplode(F.arrays_zip("a", "b", "again")).alias("n", "c")).select("rid", "doc_id", "n", "c.*")
+        repeated, mine = (F.max("again"), ["again"]) if within else (F.lit(False), [])
+        grouped = chunks.groupBy("a", "b").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), repeated.alias("again"))
+        twice = s.table(grouped.where("first_doc_id < last or again").select("a", "b", "first_doc_id"))
+        found = chunks.select("rid", "n", "a", "b", *mine).join(twice, ["a", "b"]).drop("a", "b").join(described.select("rid", "doc_id"), "rid")
+        found = found.where("doc_id > first_doc_id" + " or again" * within)
+        run = F.col("n") - F.row_number().over(Window.partitionBy("rid").orderBy("n"))
+        runs = found.withColumn("run", run).groupBy("rid", "run").agg(
+            F.min("n").alias("from"), F.max("n").alias("to"), F.count(F.lit(1)).alias("n_chunks"), F.mode("first_doc_id", True).alias("first_doc_id")
         )
-        return s.keep(runs.where(F.col("length") >= min_bytes).select("doc_id", "text_hash", "start", "length", "n_chunks", "first_doc_id"))
+        place = lambda array, n: F.get(array, F.col(n)).cast("long")
+        spans = runs.join(described.select("rid", "doc_id", "text_hash", F.col("start").alias("starts"), F.col("length").alias("lengths")), "rid")
+        spans = spans.withColumn("start", place("starts", "from")).withColumn("length", place("starts", "to") + place("lengths", "to") - F.col("start"))
+        # equal rows have one result
+        owners = described.groupBy("doc_id", "text_hash").agg(F.min("rid").alias("rid")).select("rid")
+        spans = spans.where(F.col("length") >= min_bytes).select("rid", "doc_id", "text_hash", "start", "length", "n_chunks", "first_doc_id")
+        return s.keep(spans.join(owners, "rid").drop("rid"))
 
 
 def without_spans(text: Column, spans: Column) -> Column:

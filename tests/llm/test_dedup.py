@@ -9,11 +9,11 @@ import numpy as np
 from takepick.llm import exact_dedup as exact_module
 from takepick.llm.exact_dedup import exact_dedup
 from takepick.llm.graph import components
-from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines, line_hashes
+from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines
 from takepick.llm.common import Scratch, Words, sets_of_shingles
 from takepick.llm.minhash import _differences, near_duplicates, sketch
 from takepick.llm.patience import align, blocks, longest_increasing
-from takepick.llm.substring_dedup import chunk, dedup_substrings, duplicate_spans
+from takepick.llm.substring_dedup import GEAR, chunk, dedup_substrings, duplicate_spans
 
 LONG = "Wörd %d ﬁ " * 900
 ROWS = [
@@ -196,7 +196,7 @@ def test_chunks_cover_texts_and_resist_shifts():
         assert length[mine].sum() == len(raw) and (start[mine][1:] == ends[:-1]).all()
         for a, b in zip(start[mine], ends):
             raw[a:b].decode()
-    same = set(digest[doc == 0]) & set(digest[doc == 1])
+    same = set(map(tuple, digest[doc == 0])) & set(map(tuple, digest[doc == 1]))
     assert len(same) >= (doc == 0).sum() - 3
     alone = chunk([text])[3]
     assert (alone == digest[doc == 0]).all()
@@ -236,6 +236,49 @@ def test_planted_passages_are_cut_and_clean_texts_left(spark):
     assert duplicate_spans(frame(spark, [])).collect() == []
 
 
+def brute_spans(rows, within, mean=24, least=100):
+    """Spans by a plain table of chunk bytes: byte after byte, a 16-byte hash of the last ones, then runs of chunks held before."""
+    gear, table = [int(x) for x in GEAR], {}
+    cut = {}
+    for i, t in rows:
+        raw, ends, last = (t or "").encode(), [], None
+        for p in range(len(raw)):
+            h = sum(gear[raw[p - k]] << k for k in range(16) if p >= k) & 0xFFFF
+            if h < (1 << 16) // mean and (p + 1 == len(raw) or raw[p + 1] & 0xC0 != 0x80):
+                if last is None or p - last > 8:
+                    ends.append(p + 1)
+                last = p
+        ends = sorted({*ends, len(raw)} - {0})
+        cut[i, t] = [(a, raw[a:b]) for a, b in zip([0, *ends], ends)]
+    for i, t in rows:
+        for _, c in cut[i, t] if i is not None else ():
+            table.setdefault(c, set()).add(i)
+    out = set()
+    for i, t in rows:
+        runs, mine = [], set()
+        for a, c in cut[i, t] if i is not None else ():
+            if min(table[c]) < i or within and c in mine:
+                if runs and runs[-1][0] + runs[-1][1] == a:
+                    runs[-1] = (runs[-1][0], runs[-1][1] + len(c), runs[-1][2] + 1)
+                else:
+                    runs.append((a, len(c), 1))
+            mine.add(c)
+        out |= {(i, *r) for r in runs if r[1] >= least}
+    return out
+
+
+def test_spans_brute_force(spark):
+    rng = random.Random(47)
+    words = ["w%d" % i for i in range(400)] + ["é", "日本語", "🙂", "ab", ". "]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    shared = [some(40) for _ in range(6)]
+    rows = [(i, " ".join(rng.choice([some(rng.randrange(30)), rng.choice(shared), rng.choice(shared)[rng.randrange(40) :]]) for _ in range(4))) for i in range(40)]
+    rows += [(50, rows[3][1]), (51, "la " * 300), (52, "x" + "la " * 200), (53, None), (54, ""), (None, rows[4][1]), (55, "ß" * 2000)]
+    for within in (False, True):
+        got = {(r.doc_id, r.start, r.length, r.n_chunks) for r in duplicate_spans(frame(spark, rows), within=within).collect()}
+        assert got == brute_spans(rows, within) and len(got) > 30
+
+
 def test_a_hot_passage_and_one_document_repeated(spark):
     rng = random.Random(13)
     hot = passage(rng, 70, "h")
@@ -244,6 +287,25 @@ def test_a_hot_passage_and_one_document_repeated(spark):
     assert got == set(range(1, 50))
 
 
+def test_very_long_texts(spark):
+    """Texts of a megabyte beside short ones: each operator still finds what they share."""
+    rng = random.Random(53)
+    lines = [passage(rng, 8, "L") for _ in range(12000)]
+    whole = "\n".join(lines)
+    rows = [(1, whole), (2, whole), (3, "\n".join(["own line of the third document, long enough to be a run of its own", *lines[4000:4010]])), (4, "\n".join(lines[:11900])), (5, "q" * 1_000_000), (6, "q" * 1_000_000 + "r")]
+    docs = frame(spark, rows)
+    left = {r.doc_id: len(full_lines(r.text)) for r in dedup_lines(docs, duplicate_lines(docs)).collect()}
+    assert left == {1: 12000, 2: 0, 3: 1, 4: 0, 5: 1, 6: 1}
+    near = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert near == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 6}
+    spans = {}
+    for r in duplicate_spans(docs).collect():
+        spans[r.doc_id] = spans.get(r.doc_id, 0) + r.length
+    assert set(spans) == {2, 3, 4} and spans[2] == len(whole.encode()) and spans[4] > 0.99 * len(rows[3][1])
+    kept = {r.doc_id: (r.kept, r.group_size) for r in exact_dedup(docs).collect()}
+    assert kept == {1: (False, 2), 2: (True, 2), 3: (True, 1), 4: (True, 1), 5: (True, 1), 6: (True, 1)}
+
+
 def test_longest_increasing_and_alignment():
     rng = random.Random(17)
     for _ in range(200):
@@ -267,25 +329,28 @@ def subsequences(v):
             yield c
 
 
-def brute_lines(rows, min_line=24, min_bytes=64):
-    """Every later document against the earliest holder of each of its lines."""
-    first = {}
-    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        for h, n in zip(*line_hashes(t or "")):
-            if n >= min_line:
-                first.setdefault(h, i)
-    out = []
-    for i, t in rows:
-        lines = (t or "").split("\n")
-        h, n = line_hashes(t or "")
+def full_lines(text):
+    return [x.strip() for x in (text or "").split("\n") if x.strip()]
+
+
+def held_before(rows, min_bytes=64):
+    """(id, lines left) of each text, all its lines but those in a run of at least ``min_bytes`` that a document of smaller id holds: all pairs."""
+    full, out = [(i, full_lines(t)) for i, t in rows], []
+    for i, a in full:
         lost = set()
-        if i is not None:
-            for other in {first[x] for x, s in zip(h, n) if s >= min_line} - {i}:
-                for j, u in rows:
-                    if j == other:
-                        lost |= set(common_lines(h, n, line_hashes(u or "")[0], min_bytes))
-        out.append((str(i), "\n".join(x for k, x in enumerate(lines) if k not in lost), len(lost)))
-    return sorted(out)
+        for _, b in [r for r in full if None not in (i, r[0]) and r[0] < i]:
+            places = {}
+            for n, x in enumerate(b):
+                places.setdefault(x, []).append(n)
+            for p in range(len(a)):
+                for k in places.get(a[p], ()):
+                    n = 0
+                    while p + n < len(a) and k + n < len(b) and a[p + n] == b[k + n]:
+                        n += 1
+                    if sum(len(x.encode()) for x in a[p : p + n]) >= min_bytes:
+                        lost |= set(range(p, p + n))
+        out.append((i, [x for k, x in enumerate(a) if k not in lost]))
+    return out
 
 
 def test_line_dedup_brute_force(spark):
@@ -300,31 +365,13 @@ def test_line_dedup_brute_force(spark):
     rows += [(100, rows[3][1]), (100, rows[3][1]), (101, "  " + rows[4][1].replace("\n", "  \n")), (102, None), (103, ""), (104, "\n\n\n"), (None, rows[3][1]), (50, rows[3][1])]
     docs = frame(spark, rows)
     out = dedup_lines(docs, duplicate_lines(docs), report=True).collect()
-    assert sorted((str(r.doc_id), r.text or "", r.removed_lines) for r in out) == brute_lines(rows)
+    assert sorted((str(r.doc_id), full_lines(r.text)) for r in out) == sorted((str(i), x) for i, x in held_before(rows))
     kept = [x.strip() for r in out for x in (r.text or "").split("\n")]
     assert all(x.strip() in kept for _, t in rows for x in (t or "").split("\n"))  # one copy of every line stays
     none = frame(spark, [])
     assert dedup_lines(none, duplicate_lines(none)).collect() == []
 
 
-def held_before(rows, min_bytes=64):
-    """Lines of each text within a run of at least ``min_bytes`` that some document of smaller id holds."""
-    full = [(i, [x.strip() for x in (t or "").split("\n") if x.strip()]) for i, t in rows]
-    found = {}
-    for i, a in full:
-        lost = set()
-        for _, b in [r for r in full if r[0] < i]:
-            for p in range(len(a)):
-                for q in range(len(b)):
-                    n = 0
-                    while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
-                        n += 1
-                    if sum(len(x.encode()) for x in a[p : p + n]) >= min_bytes:
-                        lost |= set(range(p, p + n))
-        found[i] = [x for k, x in enumerate(a) if k not in lost]
-    return found
-
-
 def kept_lines(spark, rows):
     docs = frame(spark, rows)
     return {r.doc_id: [x.strip() for x in r.text.split("\n") if x.strip()] for r in dedup_lines(docs, duplicate_lines(docs)).collect()}
@@ -337,7 +384,7 @@ def test_a_passage_whose_lines_an_earlier_document_scatters(spark):
     rows = [(1, "\n".join(x for b in block for x in (b, one()))), (2, "\n".join([one(), *block, one()])), (3, "\n".join([*block, one()]))]
     rows += [(4, "\n".join([one(), *block[:2], one(), *block[3:9], one()])), (5, "\n".join([*block[6:], "tail"])), (6, "\n".join(["head", *block[6:], "tail"]))]
     got = kept_lines(spark, rows)
-    assert got == held_before(rows)
+    assert got == dict(held_before(rows))
     assert len(got[2]) == 14 and len(got[3]) == 1 and got[6] == ["head"]
 
 
@@ -353,7 +400,7 @@ def test_passages_repeated_in_either_document_or_moved(spark):
     rng = random.Random(29)
     lines = [passage(rng, n, "r") for n in (4, 4, 5, 5, 12)]
     rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.8 else passage(rng, 5, "n") for _ in range(12))) for i in range(60)]
-    assert kept_lines(spark, rows) == held_before(rows)
+    assert kept_lines(spark, rows) == dict(held_before(rows))
 
 
 def test_documents_that_share_short_lines_only(spark):
@@ -362,4 +409,4 @@ def test_documents_that_share_short_lines_only(spark):
     rows = [(1, "\n".join(verse)), (2, "\n".join(verse)), (3, "\n".join(verse[5:20])), (4, "\n".join(verse[:3])), (5, "\n".join(["own", *verse[10:16], "", *verse[16:18], "words"]))]
     assert all(len(x) < 24 for x in verse)
     got = kept_lines(spark, rows)
-    assert got == held_before(rows) and [len(got[i]) for i in range(1, 6)] == [30, 0, 0, 3, 2]
+    assert got == dict(held_before(rows)) and [len(got[i]) for i in range(1, 6)] == [30, 0, 0, 3, 2]
