@@ -131,9 +131,10 @@ def once(key: tuple, make: Callable):
 
 
 def cuts_at_marks(spec: dict) -> bool:
-    """Whether the rules of a tokenizer file end a pre-token between letters and the marks after them."""
+    """Whether the rules of a tokenizer file ignore case and end a pre-token between letters and the marks after them."""
+    kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
     words = str(((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex"))
-    return r"[\p{L}]+" in words and r"[^\s\p{L}\p{N}]+" in words
+    return "Lowercase" in kinds and r"[\p{L}]+" in words and r"[^\s\p{L}\p{N}]+" in words
 
 
 class LibraryWords:
