@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import warnings
 from collections.abc import Iterable
 
 import numpy as np
@@ -27,6 +28,8 @@ class Scratch:
     """Tables of one operator run: ``table`` writes one, the end of the block deletes all."""
 
     def __init__(self, spark: SparkSession):
+        if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            warnings.warn("spark.sql.adaptive.enabled is off: joins on frequent keys will not be split", stacklevel=3)
         self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}", 0
 
     def table(self, df: DataFrame) -> DataFrame:

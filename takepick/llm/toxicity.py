@@ -4,17 +4,20 @@ The lexicon is learned from labelled documents: words, and beginnings of words,
 that toxic documents hold more often than chance allows (likelihood ratio).  A
 trie of its terms is walked together with their Levenshtein automata, so a word
 is compared with all terms at once; the intersection is made deterministic as it
-is used.  The first letter of a word must be right; terms of five letters and
-more may have one edit, of nine and more two.  Words that clean documents hold
-are no misspellings.
-
-Each hit is read in its context: within quotation marks, or near a word that
-reports speech, it counts as quotation and not as abuse.  A logistic model of the
-evidence (exact hits, misspelled hits, quoted hits) gives the score.
+is used.  Terms of five letters and more may have one edit, of nine and more two, after
+the first letter; or the first letter alone may be another.  Shorter terms are an
+edit away from many words and must be spelled right.  Words that clean documents
+hold are no misspellings.
+
+Each hit is read in its context: quotation marks around it and words before it that
+report speech speak for a quotation, words that address somebody for abuse; the
+score of the window divides the hit's weight between the two.  A logistic model of the
+evidence (exact hits, misspelled hits, quoted hits) gives the document's score.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import Scratch, Words, sets_of_shingles, text_batches
-from takepick.llm.minhash import sketch
 
 WORD = re.compile(r"[^\W_]+")
 #: Marks that open or close a quotation, and words that report speech in the four languages of the documents.
@@ -34,6 +36,11 @@ QUOTES = frozenset("\"“”„«»‹›‘’'`")
 REPORTS = frozenset(
     "said says wrote writes called quote quoted quotes quoting termed sagte schrieb nannte zitat zitiert dit écrit citation cite appelé dijo escribió cita citado llamó".split()
 )
+#: Words that address somebody, in the same languages.
+ADDRESS = frozenset("you your yours you're youre u ur du dich dir dein deine ihr euch euer tu te toi ton ta vous votre tú ti eres usted ustedes vosotros".split())
+#: What marks, reports and addresses in a window add to the log odds of a quotation, and its start.
+MARKED, REPORTED, ADDRESSED, START = 3.0, 2.5, -3.0, -1.0
+FIRST = 9  # the errors of a state whose first letter is another: one, and no more may follow
 STEMS = range(3, 9)  # lengths of word beginnings that may become terms
 
 
@@ -101,9 +108,11 @@ class TrieAutomaton:
         for node, errors in self.sets[state]:
             if letter in self.child[node]:
                 child = self.child[node][letter]
-                if errors <= self.limit[child] or not errors:
+                if errors % 8 <= self.limit[child]:
                     out.add((child, errors))
-            if node and errors < self.limit[node]:
+            if not node:
+                out.update((c, FIRST) for x, c in self.child[0].items() if x != letter and self.limit[c])
+            elif errors < self.limit[node]:
                 out.add((node, errors + 1))
                 out.update((c, errors + 1) for c in self.child[node].values() if errors + 1 <= self.limit[c])
         row = self.next[state]
@@ -125,8 +134,9 @@ class TrieAutomaton:
                 best = (0, min(stems)) if stems else None
         for node, errors in self.sets[state]:
             term = self.whole[node]
-            if term >= 0 and errors <= self.edits(self.terms[term]) and abs(len(word) - len(self.terms[term])) <= errors:
-                best = min(best, (errors, term)) if best else (errors, term)
+            edits = errors % 8
+            if term >= 0 and edits <= self.edits(self.terms[term]) and abs(len(word) - len(self.terms[term])) <= edits:
+                best = min(best, (edits, term)) if best else (edits, term)
         return (best[1], best[0]) if best else None
 
 
@@ -155,8 +165,8 @@ class Matcher:
                 found.append((*m, word))
         return tuple(found)
 
-    def hits(self, text: str) -> list[tuple[int, int, str, bool]]:
-        """(term, edits, word, quoted) of every hit in a whole text."""
+    def hits(self, text: str) -> list[tuple[int, int, str, float]]:
+        """(term, edits, word, share of quotation) of every hit in a whole text."""
         chunks = text.lower().split()
         seen = self.seen
         if len(seen) > 200_000:
@@ -181,25 +191,28 @@ class Matcher:
                 del seen[c]
         return out
 
-    def _quoted(self, chunks: list[str], i: int) -> bool:
+    def _quoted(self, chunks: list[str], i: int) -> float:
+        """How far the window around a hit speaks for a quotation, from 0 to 1."""
         w = self.model.window
         before, after = chunks[max(0, i - w) : i + 1], chunks[i : i + w + 1]
         opened = any(c[0] in QUOTES for c in before)
         closed = any(c.rstrip(".,;:!?")[-1:] in QUOTES for c in after)
-        reported = any(c.strip(".,;:!?\"'") in REPORTS for c in before)
-        return (opened and closed) or reported
+        words = {c.strip(".,;:!?\"'") for c in before}
+        marked, reported = opened and closed, not words.isdisjoint(REPORTS)
+        if not marked and not reported:
+            return 0.0
+        return 1 / (1 + math.exp(-(START + MARKED * marked + REPORTED * reported + ADDRESSED * (not words.isdisjoint(ADDRESS)))))
 
     def evidence(self, text: str | None) -> np.ndarray:
         """1, exact, misspelled and quoted evidence."""
         exact = fuzzy = quoted = 0.0
         for term, edits, _, q in self.hits(text or ""):
             weight = self.model.weights[term]
-            if q:
-                quoted += weight
-            elif edits:
-                fuzzy += weight
+            quoted += q * weight
+            if edits:
+                fuzzy += (1 - q) * weight
             else:
-                exact += weight
+                exact += (1 - q) * weight
         return np.array([1.0, np.log1p(exact), np.log1p(fuzzy), np.log1p(quoted)])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -231,7 +244,7 @@ def _g2(a: float, b: float, of_a: int, of_b: int) -> float:
     return 2 * ((a * np.log(a / (n * share)) if a else 0) + (b * np.log(b / (n * (1 - share))) if b else 0))
 
 
-def _choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: float, most: int) -> tuple[list[str], list[float]]:
+def _choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: float) -> tuple[list[str], list[float]]:
     """Terms far more frequent in toxic documents; a word's beginning stands for its continuations."""
     odds = {t: float(np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))) for t, a, b in counts}
     df = {t: a for t, a, _ in counts}
@@ -246,32 +259,40 @@ def _choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, least: f
         if any(letters[:n] + "*" in chosen for n in STEMS if n <= len(letters)):
             continue
         chosen[t] = odds[t]
-    best = sorted(chosen, key=lambda t: (-_g2(df[t], 0, toxic, clean) * chosen[t], t))[:most]
+    best = sorted(chosen, key=lambda t: (-_g2(df[t], 0, toxic, clean) * chosen[t], t))
     return best, [chosen[t] for t in best]
 
 
-def _unlike(drawn: DataFrame) -> list[int]:
-    """Ids of drawn documents of which none is a near copy of one before it.
+def _one_each(drawn: DataFrame, percent: int = 80) -> DataFrame:
+    """Of the drawn documents (id, y, text: a bounded number) those not nearly equal to one before them of the same label.
 
-    Copies of one toxic document would make terms of its other words.  Each has
-    four MinHash values of five-word shingles; one seen before marks a copy.
+    Copies of one toxic document would make terms of its other words.  Sets of
+    five-word shingles are compared in full; of two that are similar enough one
+    shingle is among the first hashes of both, where candidates are looked up.
     """
 
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: list[np.ndarray] = []
+        known: dict[tuple[int, int], list[int]] = {}
         for batch in text_batches(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            doc, shingles = sets_of_shingles(Words(texts), 5)
-            four = sketch(doc, shingles, len(texts), 4).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(four[:, i]) for i in range(4))], ["id", "a", "b", "c", "d"])
-
-    seen: set[tuple[int, int]] = set()
-    out = []
-    for i, *four in sorted(map(tuple, drawn.mapInArrow(values, "id long, a long, b long, c long, d long").collect())):
-        keys = set(enumerate(four))
-        if not keys & seen:
-            out.append(i)
-        seen |= keys
-    return out
+            kept = []
+            doc, shingles = sets_of_shingles(Words(batch.column("text").to_pylist()), 5)
+            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            for i, y in enumerate(batch.column("y").to_pylist()):
+                mine = shingles[cuts[i] : cuts[i + 1]].copy()
+                first = [(y, h) for h in mine[: len(mine) - -(-len(mine) * percent // 100) + 1].tolist()]
+                near = [sets[x] for x in {x for h in first for x in known.get(h, ())}]
+                if any(100 * (both := len(np.intersect1d(mine, x, True))) >= percent * (len(mine) + len(x) - both) for x in near):
+                    continue
+                kept.append(i)
+                for h in first:
+                    known.setdefault(h, []).append(len(sets))
+                sets.append(mine)
+            part = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("y"), part.column("text")], ["y", "text"])
+
+    one = drawn.select("y", "id", "text").repartition(1).sortWithinPartitions("y", "id", F.xxhash64("text"))  # as many rows as are drawn, whatever the input
+    return one.mapInArrow(pick, "y int, text string").repartition(32)
 
 
 def fit_toxicity(
@@ -281,25 +302,26 @@ def fit_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_per_label: int = 4000,
-    lexicon: int = 400,
     least_g2: float = 25.0,
 ) -> ToxicityModel:
     """Learn from labelled documents outside the held-out fold.
 
     The documents learned from are bounded by ``sample_per_label`` of each label
-    (those whose hashed ids are least, near copies once), the terms by ``lexicon``.  Labels other
+    (those whose hashed ids are least, near copies once); all their words may
+    become terms.  Labels are drawn at different rates, for which the model's start is
+    corrected: it stands for all labelled documents.  Labels other
     than 0 and 1 are ignored; of several labels of one document the largest
     counts.  Without labelled documents of both kinds every score is 0.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     marked = marked.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
+    totals = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
     one = lambda y: marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample_per_label)
     with Scratch(docs.sparkSession) as s:
         chosen = s.table(one(0).unionAll(one(1)))  # at most 2 * sample_per_label rows of 12 bytes: small enough to broadcast
         source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         drawn = s.table(source.join(F.broadcast(chosen), "id"))
-        one_each = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in _unlike(drawn)], "id long"))
-        sample = s.table(drawn.join(one_each, "id").select("y", "text"))
+        sample = s.table(_one_each(drawn))
         sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
         toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
         if not toxic or not clean:
@@ -309,18 +331,17 @@ def fit_toxicity(
             for batch in text_batches(batches, "text"):
                 both = Counter(), Counter()
                 for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-                    words = {w for w in WORD.findall((text or "").lower()) if len(w) <= 40}
+                    words = set(WORD.findall((text or "").lower()))
                     both[y].update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
                 terms = list(both[0] | both[1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (both[1], both[0]))], ["term", "a", "b"]
                 )
 
-        total = sample.repartition(32).mapInArrow(count, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        total = sample.mapInArrow(count, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         # a term needs least_g2 at the least, and must stand out at most 1 in 20: few do
         strong = total.where((F.col("a") >= 3) & (F.col("b") * toxic <= 0.05 * clean * F.col("a")) & (2 * F.col("a") * float(np.log((toxic + clean) / toxic)) >= least_g2))
-        counts = [tuple(r) for r in strong.orderBy(F.desc("a"), "term").limit(50 * lexicon).collect()]
-        terms, weights = _choose(counts, toxic, clean, least_g2, lexicon)
+        terms, weights = _choose(sorted(map(tuple, strong.collect())), toxic, clean, least_g2)
         model = ToxicityModel(terms, weights, frozenset())
 
         def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,6 +362,7 @@ def fit_toxicity(
         rows = np.array([tuple(r) for r in sample.mapInArrow(evidence, "y int, a double, b double, c double").collect()], float)
         model.coef = logistic(np.column_stack((np.ones(len(rows)), rows[:, 1:])), rows[:, 0])
         model.coef[1:3] = np.maximum(model.coef[1:3], 0)  # a hit is never a sign of a clean text
+        model.coef[0] += np.log(totals[1] / totals[0]) - np.log(toxic / clean)
     return model
 
 

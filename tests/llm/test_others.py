@@ -1,5 +1,6 @@
 """Top-k, chat formatting, toxicity, licenses and the pipeline against brute force."""
 
+import os
 import random
 import re
 
@@ -12,7 +13,8 @@ from takepick.llm.chat_format import format_chats, loss_text
 from takepick.llm.license_scan import TEMPLATES, Template, apart, scan, scan_licenses, words
 from takepick.llm.queries import op7_topk, op9_toxicity
 from takepick.llm.topk import exact_topk, quantised
-from takepick.llm.toxicity import Matcher, ToxicityModel, TrieAutomaton, fit_toxicity, held_out, score_toxicity
+from takepick.llm.toxicity import Matcher, ToxicityModel, TrieAutomaton, _one_each, fit_toxicity, held_out, score_toxicity
+from takepick.sources.shared import shared_dir
 
 
 def test_topk_brute_force(spark):
@@ -57,6 +59,13 @@ def test_chat_round_trip(spark):
     assert format_chats(df.limit(0)).collect() == []
 
 
+def test_chat_of_a_very_long_text(spark):
+    text = "a</s>[INST] b\\" * 60_000
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    got = format_chats(df).withColumn("loss", loss_text(F.col("rendered"), F.col("loss_spans"))).first()
+    assert [t.text for t in got.turns] == [text, text] and got.loss == text
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -84,9 +93,10 @@ def test_automaton_brute_force():
             if t.endswith("*"):
                 if word.startswith(t[:-1]):
                     want.append((0, n))
-            # edits leave the first letter alone
             elif word[:1] == t[:1] and (d := levenshtein(word[1:], t[1:])) <= TrieAutomaton.edits(t):
                 want.append((d, n))
+            elif word[1:] == t[1:] and word and TrieAutomaton.edits(t):
+                want.append((1, n))
         got = m.match(word)
         assert (got is None) == (not want), word
         if want:
@@ -95,8 +105,10 @@ def test_automaton_brute_force():
 
 def test_context_separates_quotation():
     m = Matcher(ToxicityModel(["idiot"], [5.0], frozenset({"idiom"}), np.array([-3.0, 3.0, 2.0, 0.0])))
-    clean, abuse, typo, quoted, said, word = m.scores([None, "you idiot go", "you idiott go", 'he wrote "you idiot" there', "she said idiot once", "an idiom"])
-    assert abuse > 0.7 and typo > 0.5 and quoted == said == word == clean < 0.1
+    clean, abuse, typo, first, quoted, said, word = m.scores([None, "you idiot go", "you idiott go", "you 1diot go", 'he wrote "you idiot" there', "she said idiot once", "an idiom"])
+    assert abuse > 0.7 and typo == first > 0.5 and word == clean < 0.1 and max(quoted, said) < 0.5
+    called, scare, both = m.scores(["you are called an idiot", 'you "idiot" go', "du wurdest Idiot genannt sagte er"])
+    assert min(called, scare, both) > 0.7
     assert m.scores(["x " * 30000 + "idiot"])[0] == abuse and m.scores(["q" * 500 + " idiot!"])[0] == abuse
 
 
@@ -108,6 +120,23 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_near_copies_are_learned_from_once_for_each_label(spark):
+    base = ["w%d" % i for i in range(100)]
+    rows = [(1, 0, " ".join(base)), (2, 0, " ".join(base)), (3, 1, " ".join(base)), (4, 1, " ".join(base[:95])), (5, 0, " ".join(base[:40] + ["x%d" % i for i in range(60)])), (6, 0, ""), (7, 0, None), (8, 1, "a b")]
+    got = _one_each(spark.createDataFrame(rows, "id long, y int, text string")).collect()
+    assert sorted((r.y, len((r.text or "").split())) for r in got) == [(0, 0), (0, 0), (0, 100), (0, 100), (1, 2), (1, 100)]
+
+
+def test_score_does_not_depend_on_how_many_documents_are_drawn(spark):
+    """Labels drawn at different rates leave the model's start at the share of all labelled documents."""
+    rng = random.Random(43)
+    rows = [(i, " ".join(["z%d" % rng.randrange(3000) for _ in range(30)] + (["horrid"] if i % 10 == 0 and i % 70 else []))) for i in range(1, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    whole, part = (score_toxicity(docs.where("doc_id = 1"), fit_toxicity(docs, labels, sample_per_label=n)).first().score for n in (4000, 120))
+    assert abs(whole - part) < 0.02
+
+
 def test_toxicity_without_labels_and_with_clashes(spark):
     docs = spark.createDataFrame([(1, "a", 9.0), (1, None, 1.0), (None, "", 2.0)], "doc_id long, text string, score double")
     model = fit_toxicity(docs, spark.createDataFrame([(1, None), (None, 1), (1, 5)], "doc_id long, toxic int"))
@@ -223,10 +252,10 @@ def test_pipeline_stages(spark, tmp_path):
     toxic = {r.doc_id for r in score_toxicity(spark.read.parquet(f"{sf}/documents.parquet"), fit_toxicity(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))).where("predicted = 1").collect()}
     assert set(seen[1]) == set(seen[0]) - toxic
     assert set(seen[2]) == set(seen[1]) and set(seen[4]) == set(seen[3])
-    from test_dedup import brute_lines, brute_near
+    from test_dedup import brute_near, full_lines, held_before
 
     rows = list(seen[1].items())
-    assert sorted((str(i), t) for i, t in seen[2].items()) == [(i, t) for i, t, _ in brute_lines(rows)]
+    assert {i: full_lines(t) for i, t in seen[2].items()} == dict(held_before(rows))
     rows = list(seen[2].items())
     assert set(seen[3]) == {i for (i, _), (n, c) in zip(rows, brute_near(rows, 5)) if not n or c == i}
     whole = corpus_pipeline.run(spark, sf).groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("all")).collect()
@@ -246,6 +275,32 @@ def test_pipeline_stage_with_nulls_and_extra_columns(spark, stage):
         assert out.count() >= 5
 
 
+def test_pipeline_goes_on_after_a_failure_and_leaves_nothing(spark, tmp_path, monkeypatch):
+    calls, broken = [], [True]
+
+    def stage(name):
+        def run(spark, docs, sf_dir):
+            calls.append(name)
+            if name == "c" and broken[0]:
+                raise RuntimeError("lost")
+            return docs.withColumn("text", F.concat("text", F.lit(name)))
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, stage(n)) for n in "abcd"])
+    sf, kept = "/root/testdata/sf0.001", str(tmp_path / "kept")
+    for folder in (None, kept):
+        with pytest.raises(RuntimeError):
+            corpus_pipeline.run(spark, sf, folder)
+    shared = shared_dir(spark).removeprefix("file:")
+    assert not [p for p in os.listdir(shared) if p.startswith("pipeline-")]
+    broken[0] = False
+    calls.clear()
+    out = corpus_pipeline.run(spark, sf, kept)
+    assert calls == ["c", "d"] and out.where(~F.endswith("text", F.lit("abcd"))).count() == 0
+    assert corpus_pipeline.run(spark, sf).count() == out.count() and not [p for p in os.listdir(shared) if p.startswith("pipeline-")]
+
+
 def test_near_dedup_keeps_one_row_of_a_repeated_document(spark):
     words = " ".join("w%d" % i for i in range(100))
     rows = [(1, words), (1, words), (2, words), (3, words + " x"), (None, words), (4, "alone in this text"), (4, "alone in this text"), (5, "unlike all others"), (6, ""), (6, ""), (None, "no id"), (None, "no id")]
