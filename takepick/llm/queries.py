@@ -12,8 +12,11 @@ from takepick.llm.chat_format import format_chats, loss_text
 from takepick.llm.exact_dedup import exact_dedup
 from takepick.llm.license_scan import scan_licenses
 from takepick.llm.line_dedup import dedup_lines, duplicate_lines
+from takepick.llm.lloyd import cluster
 from takepick.llm.minhash import near_duplicates
 from takepick.llm.packing import pack
+from takepick.llm.quality import fit_quality, score_quality
+from takepick.llm.rope import fill_in_middle
 from takepick.llm.substring_dedup import duplicate_spans
 from takepick.llm.tokens import default_tokenizer
 from takepick.llm.topk import exact_topk
@@ -100,6 +103,23 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hashed = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", *hashed)
+
+
 OPERATORS = (
     op1_packing,
     op2_substring_dedup,
@@ -111,6 +131,9 @@ OPERATORS = (
     op8_chat_format,
     op9_toxicity,
     op10_minhash,
+    op11_quality,
+    op12_clusters,
+    op13_fill_in_middle,
 )
 
 
@@ -119,7 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op7_topk": OP7_SQL, "op8_chat_format": OP8_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op7_topk": OP7_SQL, "op8_chat_format": OP8_SQL, "op12_clusters": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
 
 
 OP6_SQL = """
@@ -159,3 +182,33 @@ SELECT conv_id, count(*) AS n_turns,
   sum(22 + CASE WHEN hit OR role_hit THEN esc_role + esc0 + marks ELSE length(role) + length(text) END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+_ASSIGNED = """a{0} AS MATERIALIZED (
+  SELECT v.vec_id, v.row, v.q, min({{'d': list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT, 'k': c.k}}) AS m
+  FROM v, c{0} c GROUP BY ALL)"""
+_MOVED = """s{0} AS (SELECT m.k AS k, i, floor_div(sum(x), count(*)) AS x FROM (SELECT m, unnest(q)::HUGEINT AS x, generate_subscripts(q, 1) AS i FROM a{0}) GROUP BY ALL),
+c{1} AS MATERIALIZED (SELECT c.k, coalesce(n.q, c.q) AS q FROM c{0} c LEFT JOIN (SELECT k, list(x::BIGINT ORDER BY i) AS q FROM s{0} GROUP BY k) n ON n.k = c.k)"""
+_ROUNDS = ",\n".join(_ASSIGNED.format(i) + ",\n" + _MOVED.format(i, i + 1) for i in range(10)) + ",\n" + _ASSIGNED.format(10)
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), q) - 1)::INT AS k, q FROM v QUALIFY k < 8),
+{_ROUNDS}
+SELECT vec_id, m.k AS cluster, m.d::BIGINT AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a10 JOIN c10 c ON c.k = m.k
+""".replace("floor_div(sum(x), count(*))", "(sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*)")
+
+OP13_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w, [('0x' || substr(h, 1 + 8 * i, 8))::BIGINT for i in range(4)] AS r FROM t),
+x AS (
+  SELECT *, len(w) AS n, least(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) AS a, greatest(r[1] % (len(w) + 1), r[2] % (len(w) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+y AS (SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:], '') AS suffix FROM x)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM y
+"""

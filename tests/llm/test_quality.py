@@ -1,0 +1,169 @@
+"""The field over lines: measures against plain Python, marginals against all labelings, held-out accuracy."""
+
+from itertools import product
+
+import numpy as np
+import pytest
+
+from takepick.llm import queries
+from takepick.llm.quality import BINS, MEASURES, RUN, Chains, Field, QualityModel, describe, fit_quality, score_quality
+
+SF = "/root/testdata/sf0.01"
+COMMON = ".,;:?!'\"-()"
+
+
+def plain_measures(text):
+    """(number, size, ranges) of each line that is not blank."""
+    out, before, lines = [], set(), set()
+    for number, line in enumerate(text.split("\n")):
+        words = [w for w in line.replace("\t", " ").replace("\x0b", " ").replace("\x0c", " ").replace("\r", " ").split(" ") if w]
+        if not words:
+            continue
+        body = line.strip(" \t\r\x0b\x0c")
+        runs = [tuple(words[i : i + RUN]) for i in range(len(words) - RUN + 1)]
+        letter = lambda c: ord(c) > 127 or c.isalpha()
+        odd = lambda c: 32 < ord(c) < 127 and not c.isalnum() and c not in COMMON
+        share = lambda f: sum(map(f, body)) / len(body)
+        letters = sum(map(letter, body))
+        again, earlier, seen = 0, 0, set()
+        for x in runs:
+            again += x in seen
+            earlier += x in before and x not in seen
+            seen.add(x)
+        last = body[-1]
+        values = (
+            len(body),
+            len(words),
+            share(letter),
+            share(lambda c: "0" <= c <= "9"),
+            share(lambda c: c in COMMON),
+            share(odd),
+            sum("A" <= c <= "Z" for c in body) / max(letters, 1),
+            sum(map(len, words)) / len(words),
+            max(map(len, words)),
+            sum(odd(w[-1]) for w in words) / len(words),
+            sum(len(w) == 1 for w in words) / len(words),
+            len(set(words)) / len(words),
+            again / max(len(runs), 1),
+            earlier / max(len(runs), 1),
+            tuple(words) in lines,
+            0 if letter(last) or last.isdigit() else 1 if last in ".!?" else 2 if last in COMMON else 3,
+        )
+        before |= seen
+        lines.add(tuple(words))
+        out.append((number, len(body), [sum(v >= e for e in cuts) for v, cuts in zip(values, MEASURES.values())]))
+    return out
+
+
+def test_measures(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(150).collect()]
+    texts += [None, "", " \n\t\n", "a", "\n\nb b b b\r\n c\n\nb b b b \n", "é" * 30 + "!\n本 本,", "x\n" * 50, "1 2 3 4 1 2 3 4\n1 2 3 9"]
+    lines = describe(texts)
+    want = [(i, *x) for i, t in enumerate(texts) for x in plain_measures(t or "")]
+    assert list(zip(lines.text.tolist(), lines.number.tolist(), lines.size.tolist(), lines.bins.tolist())) == want
+
+
+def by_enumeration(lean, pairs):
+    """Log of the sum over all labelings, probability of good, and of pairs of labels."""
+    n = len(lean)
+    weight = {}
+    for y in product((0, 1), repeat=n):
+        weight[y] = np.exp(sum(e * (v - 0.5) for e, v in zip(lean, y)) + sum(pairs[a, b] for a, b in zip(y, y[1:])))
+    total = sum(weight.values())
+    good = [sum(w for y, w in weight.items() if y[i]) / total for i in range(n)]
+    joint = [[[sum(w for y, w in weight.items() if (y[i - 1], y[i]) == (a, b)) / total for b in (0, 1)] for a in (0, 1)] for i in range(1, n)]
+    return np.log(total), good, joint
+
+
+def test_marginals_equal_all_labelings():
+    r = np.random.default_rng(1)
+    counts = [1, 5, 2, 8, 1, 3]
+    text = np.repeat(np.arange(6), counts)
+    lean, pairs = r.normal(size=len(text)) * 3, r.normal(size=(2, 2))
+    good, joint = Chains(text).marginals(lean, pairs)
+    want = [by_enumeration(lean[text == i], pairs) for i in range(6)]
+    assert np.allclose(good, np.concatenate([w[1] for w in want]))
+    assert np.allclose(joint, np.concatenate([np.array(w[2]).reshape(-1, 2, 2) for w in want]))
+
+
+def test_fit_climbs_the_likelihood():
+    """At the fitted weights the likelihood, by enumeration, has no slope left."""
+    r = np.random.default_rng(2)
+    text = np.repeat(np.arange(30), 4)
+    bins = r.integers(0, 3, (len(text), len(MEASURES))).astype(np.uint8)
+    label = (bins[:, 0] + r.integers(0, 2, len(text)) > 1).astype(np.int64)
+    chains, field = Chains(text), Field()
+    places = field.places(bins, chains)
+    field.fit(places, chains, label, np.ones(len(text)), 1500, 3.0)
+
+    def likelihood(w):
+        lean, pairs, out = w[places].sum(axis=1), w[field.size :].reshape(2, 2), 0.0
+        for i in range(30):
+            mine = text == i
+            y = label[mine]
+            out += (lean[mine] * (y - 0.5)).sum() + sum(pairs[a, b] for a, b in zip(y, y[1:])) - by_enumeration(lean[mine], pairs)[0]
+        return out / len(text) - 3.0 / 30 / 2 * (w * w).sum()
+
+    for at in [*np.unique(places)[:6], field.size, field.size + 3]:
+        up, down = field.weights.copy(), field.weights.copy()
+        up[at] += 1e-4
+        down[at] -= 1e-4
+        assert abs(likelihood(up) - likelihood(down)) / 2e-4 < 2e-4
+
+
+def test_query_equals_brute_force(spark):
+    """Scores of all documents: plain measures, and a plain recursion instead of steps in all chains at once."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_quality(docs, labels)
+    table, pairs = model.weights[:-4].reshape(3, len(MEASURES), BINS + 1), model.weights[-4:].reshape(2, 2)
+    got = {r.doc_id: r for r in queries.op11_quality(spark, SF).collect()}
+    every = docs.select("doc_id", "text").collect()
+    assert len(got) == len(every)
+    for doc_id, text in every[::3]:
+        lines = plain_measures(text or "")
+        lean = np.zeros(len(lines))
+        for t in range(len(lines)):
+            for side, u in enumerate((t, t - 1, t + 1)):
+                for m in range(len(MEASURES)):
+                    lean[t] += table[side, m, lines[u][2][m] if 0 <= u < len(lines) else BINS]
+        forward, backward = [None] * len(lines), [(0.0, 0.0)] * len(lines)
+        for t, e in enumerate(lean):
+            came = (0.0, 0.0) if not t else tuple(np.logaddexp(forward[t - 1][0] + pairs[0, b], forward[t - 1][1] + pairs[1, b]) for b in (0, 1))
+            forward[t] = (came[0] - e / 2, came[1] + e / 2)
+        for t in range(len(lines) - 2, -1, -1):
+            go = (backward[t + 1][0] - lean[t + 1] / 2, backward[t + 1][1] + lean[t + 1] / 2)
+            backward[t] = tuple(np.logaddexp(pairs[a, 0] + go[0], pairs[a, 1] + go[1]) for a in (0, 1))
+        good = [1 / (1 + np.exp(f[0] + b[0] - f[1] - b[1])) for f, b in zip(forward, backward)]
+        share = (model.prior * model.prior_size + sum(n * g for (_, n, _), g in zip(lines, good))) / (model.prior_size + sum(n for _, n, _ in lines))
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        want = 1 / (1 + np.exp(-(model.start + model.slope * np.log(share / (1 - share)))))
+        assert got[doc_id].score == pytest.approx(want, abs=1e-6)
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.5)
+
+
+def test_held_out_accuracy(spark):
+    rows = queries.op11_quality(spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").select("predicted", "quality").collect()
+    bad, good = [r for r in rows if r.quality == 0], [r for r in rows if r.quality == 1]
+    assert sum(r.predicted == 0 for r in bad) >= 0.85 * len(bad)
+    assert sum(r.predicted == 1 for r in good) >= 0.98 * len(good)
+
+
+def test_labels_of_the_held_out_fold_are_not_learned(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    other = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 1 - quality, quality) as quality")
+    assert np.array_equal(fit_quality(docs, labels).weights, fit_quality(docs, other).weights)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 1), (1, "", 2), (None, " \n ", 3), (2, "a b c.\n\n### ###", 4), (2, "a b c.\n\n### ###", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    model = QualityModel(np.random.default_rng(3).normal(size=Field().size + 4), 0.8)
+    out = score_quality(docs, model, lines=True).orderBy("score").collect()
+    assert [r.score for r in out] == [1, 2, 3, 4, 5]  # a column of that name stays
+    assert all(r["_score"] == pytest.approx(0.8) and r.lines == [] for r in out[:3])
+    assert [(x.line, x["size"]) for x in out[3].lines] == [(0, 6), (2, 7)] and out[3]["_score"] == out[4]["_score"]
+    assert score_quality(docs.limit(0), model).count() == 0
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r["_score"] for r in score_quality(docs, fit_quality(docs, none)).collect()] == [0.5] * 5
+    one = spark.createDataFrame([(2, 1), (1, 7), (None, 0)], "doc_id long, quality int")
+    assert len({r["_score"] for r in score_quality(docs, fit_quality(docs, one)).collect()}) == 1
