@@ -332,7 +332,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5,
     column of the documents that has one of the new names keeps it, and the new one gets an underscore in front.
     """
     score, predicted, told, t = fresh(docs, "score", "predicted", "lines", "tp_text")
-    detail = ArrayType(StructType().add("line", "int").add("size", "int").add("good", "double"))
+    detail = ArrayType(StructType().add("line", "integer").add("size", "integer").add("good", "double"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, t, owner="quality"):
