@@ -345,7 +345,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5,
                 more.append(pa.ListArray.from_arrays(ends, each))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], [*batch.schema.names[:-1], *([score, told] if lines else [score])])
 
-    schema = docs.schema.add(score, "double")
+    schema = StructType(list(docs.schema.fields)).add(score, "double")
     schema = schema.add(told, detail) if lines else schema
     scored = docs.select("*", F.col(text_col).cast("string").alias(t)).mapInArrow(run, schema)
     return scored.withColumn(predicted, (F.col(score) >= threshold).cast("int"))

@@ -23,6 +23,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from takepick.llm.common import fresh, text_batches
 
@@ -157,7 +158,7 @@ def fill_in_middle(docs: DataFrame, plain: int = 10, spm: int = 20, id_col: str
     names = fresh(docs, "n_units", "form", "output", "restored", "prefix_chars", "middle_chars")
     kinds = ("long", "string", "string", "string", "long", "long")
     i, t = fresh(docs, "tp_id", "tp_text")
-    schema = docs.schema
+    schema = StructType(list(docs.schema.fields))
     for name, kind in zip(names, kinds):
         schema = schema.add(name, kind)
 
