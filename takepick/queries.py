@@ -96,10 +96,7 @@ def _groups_and_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: labels joined back, rated, the best candidate of each record, its rate and how many are missing."""
     groups, labels = _groups_and_labels(spark, sf_dir)
-    scored = collect.score(groups, labels)
-    return scored.groupBy("id").agg(
-        collect.best().alias("best_candidate"), F.min("wer").alias("best_wer"), F.count_if("missing").alias("missing"), F.count_if(F.col("wer").isNull()).alias("unrated")
-    )
+    return collect.best_of(groups, labels).drop("record_index")
 
 
 def candidate_detail(spark: SparkSession, sf_dir: str) -> DataFrame:

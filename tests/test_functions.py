@@ -2,6 +2,7 @@
 
 import io
 import math
+import random
 import unicodedata
 import wave
 
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from takepick.functions import audio, metrics, text
+from takepick.functions import audio, distances, metrics, text
 
 TEXTS = ["", " ", "Hello, World!", "don't", "a_b", "ﬁne ＡＢＣ ½", "ΟΔΟΣ", "İstanbul", "éá", "tab\tnew\nline\x1cfs em\xa0nb", "日本 語", "...", "x²", "A­B"]
 
@@ -56,19 +57,85 @@ def dp(r, h):
     return row[-1]
 
 
+def of_pairs(pairs, limit=None):
+    """``distances`` of pairs of lists."""
+    lists = [x for p in pairs for x in p]
+    length = np.array([len(x) for x in lists], np.int64)
+    start = np.cumsum(length) - length
+    codes = np.array([c for x in lists for c in x], np.int64)
+    return distances.distances(codes, start[::2], length[::2], start[1::2], length[1::2], limit)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=12), st.lists(st.integers(0, 4), max_size=12), st.lists(st.integers(0, 4), max_size=12))
 def test_distance_is_a_metric(a, b, c):
-    d = lambda x, y: metrics.distance_of(np.array(x, np.int64), np.array(y, np.int64))
-    assert d(a, b) == dp(a, b) == d(b, a) and d(a, a) == 0
-    assert abs(len(a) - len(b)) <= d(a, b) <= max(len(a), len(b)) and d(a, c) <= d(a, b) + d(b, c)
+    ab, ba, aa, bc, ac = of_pairs([(a, b), (b, a), (a, a), (b, c), (a, c)])
+    assert ab == dp(a, b) == ba and aa == 0
+    assert abs(len(a) - len(b)) <= ab <= max(len(a), len(b)) and ac <= ab + bc
+
+
+@pytest.mark.parametrize("few", [0, 10**9])  # all steps together, or every pair in long integers
+@pytest.mark.parametrize("lengths", [range(6), (62, 63, 64, 65), (0, 5, 127, 128, 129, 190)])
+def test_distances_equal_the_programme(monkeypatch, few, lengths):
+    monkeypatch.setattr(distances, "FEW", few)
+    r = random.Random(len(lengths) + few)
+    pairs = []
+    for _ in range(120):
+        a = [r.randrange(4) for _ in range(r.choice(lengths))]
+        b = [x if r.random() < 0.8 else r.randrange(4) for x in a if r.random() < 0.9] if r.random() < 0.7 else [r.randrange(4) for _ in range(r.choice(lengths))]
+        pairs.append((a, b))
+    want = np.array([dp(*p) for p in pairs])
+    assert of_pairs(pairs).tolist() == want.tolist()
+    limit = np.array([r.randrange(0, 60) for _ in pairs])
+    got, within = of_pairs(pairs, limit), want <= limit
+    assert (got[within] == want[within]).all() and (got[~within] > limit[~within]).all() and (got[~within] <= want[~within]).all()
+    assert of_pairs([]).tolist() == []
+
+
+def by_vectors(r, h):
+    """The programme with one vector step per item: for texts too long for ``dp``."""
+    r, h = np.array(r), np.array(h)
+    steps = np.arange(len(h) + 1)
+    row = steps.copy()
+    for i, x in enumerate(r, 1):
+        best = row + 1
+        best[0] = i
+        np.minimum(best[1:], row[:-1] + (h != x), out=best[1:])
+        row = np.minimum.accumulate(best - steps) + steps
+    return int(row[-1])
+
+
+def test_texts_of_ten_thousand_tokens(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    ref = [r.choice(words) for _ in range(10_000)]
+    near = [w if r.random() < 0.9 else r.choice(words) for w in ref if r.random() < 0.97]
+    far = [r.choice(words) for _ in range(9_000)]
+    rows = [(ref, near), (near, ref), (ref, far), (ref, []), (None, ref), (ref, None), ([], [])]
+    got = run(spark, rows, "a array<string>, b array<string>", metrics.edit_distance("a", "b"), metrics.error_rate("a", "b"))
+    d, e = by_vectors(ref, near), by_vectors(ref, far)
+    assert got == [(d, d / 10_000), (d, d / len(near)), (e, e / 10_000), (10_000, 1.0), (None, None), (None, None), (0, 0.0)]
+    best, = run(spark, [(ref, [far, None, near, ref, near, ref])], "a array<string>, b array<array<string>>", metrics.least_error_rate("a", "b"))
+    assert tuple(best[0]) == (3, 0.0)
+
+
+def test_least_error_rate_equals_all_rates(spark):
+    r = random.Random(8)
+    say = lambda: [r.choice("abc") for _ in range(r.randrange(7))]
+    rows = [(say(), [None if r.random() < 0.2 else say() for _ in range(r.randrange(6))]) for _ in range(400)]
+    rows += [([], [["a", "b"], ["a"], [], []]), ([], [["a", "b"], ["c"]]), (["a"], []), (["a"], None), (None, [["a"]])]
+    got = [tuple(x[0]) for x in run(spark, rows, "a array<string>, b array<array<string>>", metrics.least_error_rate("a", "b"))]
+    for (ref, hyps), found in zip(rows, got):
+        rates = [(dp(ref, h) / len(ref) if ref else float(bool(h)), i) for i, h in enumerate(hyps or []) if h is not None and ref is not None]
+        best = min(rates, default=(None, None))
+        assert found == (best[1], best[0])
 
 
 def test_error_rates(spark):
     rows = [("Hello, world!", "hello world"), ("don't", "dont"), ("...", ""), ("...", "a"), ("a", "a b c"), ("a b c d", "a x c"), ("日本語", "日本"), ("x y z " * 50, "y z x " * 50)]
     want = [0.0, 1.0, 0.0, 1.0, 2.0, 0.5, 1.0, dp(("x y z " * 50).split(), ("y z x " * 50).split()) / 150]
-    got = run(spark, rows, "a string, b string", metrics.wer(F.col("a"), F.col("b")), metrics.wer(F.col("a"), F.col("b"), long=True))
-    assert [g[0] for g in got] == want and [g[1] for g in got] == want
+    got = run(spark, rows, "a string, b string", metrics.wer(F.col("a"), F.col("b")))
+    assert [g[0] for g in got] == want
     assert run(spark, rows[6:7], "a string, b string", metrics.wer(F.col("a"), F.col("b"), tokenizer="char")) == [(1 / 3,)]
 
 

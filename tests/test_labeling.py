@@ -185,6 +185,8 @@ def test_collection(spark):
     assert [(d.candidate, d.wer, d.transcript, d.audio, d.error) for d in out["a"].detail] == [(0, 0.5, "one", "w0", None), (1, 0.5, "one", "moved", None), (2, None, "", "w2", "E")]
     assert out["b"].detail[0].wer == 1.0 and out["b"].detail[0].error is None and out["b"].detail[1].error == "missing worker output"
     assert collect.missing_labels(scored).first()[0] == 2
+    short = {r.id: tuple(r)[2:] for r in collect.best_of(groups, labels).collect()}
+    assert short == {"a": (0, 0.5, 0, 1), "b": (0, 1.0, 1, 1), "c": (None, None, 1, 1)}
     whole = json.loads("".join(document(collect.results(scored), 2)))
     first = next(r for r in whole["results"] if r["id"] == "a")["detail"]
     assert whole["missing_labels"] == 2 and "error" not in first[0] and first[2]["wer"] is None and first[2]["error"] == "E"
