@@ -14,6 +14,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ from takepick.plans.labeling import LabelingRun
 from takepick.schemas import LABEL
 from takepick.sources import sinks
 from takepick.sources.audio_files import read_audio, write_wavs
-from takepick.sources.records import expand_paths, label_files, read_jsonl, read_records
+from takepick.sources.listing import expand_paths
+from takepick.sources.records import label_files, read_jsonl, read_records
 from takepick.sources.shared import checkpointed, delete, shared_dir
 from takepick.streaming.labels import stream_labels
 
@@ -43,13 +45,6 @@ def _folder(spark: SparkSession) -> Iterator[str]:
         delete(spark, base)
 
 
-def _put(path: str, content: str) -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(content)
-    return path
-
-
 def _turn(record: str = "record") -> list[Column]:
     get = lambda name, kind: F.variant_get(record, f"$.{name}", kind)
     return [get("conv_id", "long").alias("conv_id"), get("turn", "long").alias("turn"), get("role", "string").alias("role"), F.md5(get("text", "string")).alias("text_md5")]
@@ -59,49 +54,51 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of JSON Lines files, numbered over all files."""
     with _folder(spark) as f:
         q.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").orderBy("conv_id", "turn").write.json(f"{f}/in")
-        return checkpointed(read_records(spark, expand_paths([f"{f}/in"])).select("record_index", *_turn()))
+        return checkpointed(read_records(spark, expand_paths(spark, [f"{f}/in"])).select("record_index", *_turn()))
+
+
+def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's rows as the lines of one JSON array."""
+    n = 0
+    for batch in batches:
+        lines = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([(", " if n + i else "[\n") + x for i, x in enumerate(lines)], pa.string())], ["value"])
+        n += len(lines)
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if n else "[]"])], ["value"])
 
 
 def scan_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files of one JSON array each, read item by item."""
-    turns = q.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("json"))
+    """Files of one JSON array each, read by as many tasks as they have splits."""
+    turns = q.table(spark, sf_dir, "conversations").orderBy("conv_id", "turn").select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("json"))
     with _folder(spark) as f:
-        for odd in (0, 1):
-            with open(f"{f}/{odd}.json", "w", encoding="utf-8") as out:
-                out.write("[\n ")
-                for n, row in enumerate(turns.where(F.col("conv_id") % 2 == odd).orderBy("conv_id", "turn").toLocalIterator()):
-                    out.write((" ,\n" if n else "") + row.json)
-                out.write("\n]\n")
-        return checkpointed(read_records(spark, [f"{f}/0.json", f"{f}/1.json"]).select("record_index", *_turn()))
+        turns.mapInArrow(_as_arrays, "value string").write.text(f"{f}/in")
+        return checkpointed(read_records(spark, expand_paths(spark, [f"{f}/in/part-*"])).select("record_index", *_turn()))
 
 
 def record_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with blanks and tabs around them, an array, one indented object, an empty file."""
+    """Benchmark items as files of different forms: lines with blanks around them, arrays, indented objects, and blank files."""
+    name = F.lpad(F.col("item_id").cast("string"), 9, "0")
+    one = F.to_json(F.struct(F.col("item_id").alias("id"), "text"))
+    other = F.to_json(F.struct((F.col("item_id") + 1000000).alias("id"), "text"))
+    indented = F.concat(F.lit("{\n \"id\":"), F.col("item_id").cast("string"), F.lit(",\n \"text\":[\"}\\\"]\"]\n}"))
+    blank = F.when(F.col("item_id") % 2 == 0, F.lit(" \t\n")).otherwise("[ ]")
+    forms = (F.concat(F.lit("\n\t\n  "), one, F.lit("\t\n"), other), F.concat(F.lit(" ["), one, F.lit(",\n"), other, F.lit("] ")), indented, blank)
+    made = F.get(F.array(*forms), (F.col("item_id") % 4).cast("int"))
     with _folder(spark) as f:
-        files = [
-            _put(f"{f}/{name}", content)
-            for name, content in (
-                ("1.jsonl", '{"id":1}\n\t\n  {"id":2}\t\n \n'),
-                ("2.json", ' [{"id":3},\n {"id":4, "x": [1, {"y": "]"}]}] '),
-                ("3.json", '{\n "id": 5\n}'),
-                ("4.json", " \t\n"),
-                ("5 +%.jsonl", '{"id":6}\n{"id":7}'),
-                ("6.json", "[]"),
-                ("7.json", '{"id":8,"long":"' + "x" * 9000 + '"}'),
-            )
-        ]
-        rows = read_records(spark, files)
-        name = F.regexp_extract("source_json", "[^/]*$", 0).alias("file")
-        return checkpointed(rows.select("record_index", name, F.variant_get("record", "$.id", "long").alias("id")))
+        q.table(spark, sf_dir, "benchmark").select(name.alias("item"), made.alias("value")).repartition(8).write.partitionBy("item").text(f"{f}/in")
+        rows = read_records(spark, expand_paths(spark, [f"{f}/in/item=*/part-*"]))
+        file = F.regexp_extract("source_json", "item=([0-9]+)", 1).cast("long").alias("item_id")
+        return checkpointed(rows.select("record_index", file, F.variant_get("record", "$.id", "long").alias("id")))
 
 
 def expanded_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder, a glob, a detour and a path that isn't there: each file once, in order."""
+    """Folders, a glob of files named before, a detour and a path that isn't there: each file once, in order."""
+    name = F.lpad(F.col("item_id").cast("string"), 9, "0")
     with _folder(spark) as f:
-        for name in ("b.json", "a.json", "c.jsonl", "d.txt", "sub/e.json"):
-            _put(f"{f}/{name}", "")
-        found = expand_paths([f, f"{f}/*.json", f"{f}/sub/../d.txt", f"{f}/sub", f"{f}/none.json"])
-        return spark.createDataFrame([(i, os.path.basename(p)) for i, p in enumerate(found)], "place long, name string")
+        q.table(spark, sf_dir, "benchmark").select(name.alias("item"), "text").repartition(8).write.partitionBy("item").json(f"{f}/in")
+        found = expand_paths(spark, [f"{f}/in/item=*[02468]", f"{f}/in/item=*", f"{f}/in/../in/item=*/*.json", f"{f}/none.json"])
+        places = spark.createDataFrame(list(enumerate(found)), "place long, path string")
+        return checkpointed(places.select("place", F.coalesce(F.expr("try_cast(regexp_extract(path, 'item=([0-9]+)', 1) as long)"), F.lit(-1)).alias("item_id")))
 
 
 def label_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +108,7 @@ def label_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     with _folder(spark) as f:
         rows.orderBy("event_id").write.json(f"{f}/labels", ignoreNullFields=False)
-        read = read_jsonl(spark, label_files(f"{f}/labels", "part-*.json"), "id string, candidate_index int, asr_text string, error string, event_id long")
+        read = read_jsonl(spark, label_files(spark, f"{f}/labels", "part-*.json"), "id string, candidate_index int, asr_text string, error string, event_id long")
         return checkpointed(collect.latest(read, ["id", "candidate_index"]).select("id", "candidate_index", "asr_text", "error", "event_id", F.col("seq")))
 
 
@@ -137,7 +134,7 @@ def jsonl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         for part in (rows, rows.where("item_id % 2 = 0")):
             sinks.write_jsonl(part, f"{f}/rows")
         sinks.append_jsonl(rows, f"{f}/rows")
-        read = read_jsonl(spark, label_files(f"{f}/rows", "part-*.json"), "item_id long, text string, note string")
+        read = read_jsonl(spark, label_files(spark, f"{f}/rows", "part-*.json"), "item_id long, text string, note string")
         return checkpointed(read.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.md5(F.max("text")).alias("text_md5"), F.count("note").alias("notes")))
 
 
@@ -206,14 +203,21 @@ def falsy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def argument_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a wrong setting is refused with."""
-    said = []
-    for name, value in (("workers", 0), ("batch_size", -1), ("sample_rate", 0), ("normalize", "x"), ("tokenizer", "x"), ("resample", "x")):
+    """Every part's size, less 25, as the number of workers or the batch size: what it is refused with."""
+    parts = q.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 25).cast("int").alias("value"), F.when(F.col("p_partkey") % 2 == 0, "workers").otherwise("batch_size").alias("name"))
+
+    def refused(name: str, value: int) -> str | None:
         try:
             LabelingConfig(**{name: value})
         except ValueError as e:
-            said.append((name, str(e)))
-    return spark.createDataFrame(said, "name string, message string")
+            return str(e)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = [refused(n, v) for n, v in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.string())], [*batch.schema.names, "message"])
+
+    return parts.mapInArrow(check, "p_partkey long, value int, name string, message string")
 
 
 class Moody:
@@ -416,9 +420,11 @@ PCM = "greatest(-32768.0, least(32767.0, round_even((v * 32767::FLOAT)::DOUBLE,
 def oracle_sql() -> dict[str, str]:
     return {
         "scan_jsonl": f"SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS record_index, {TURNS}",
-        "scan_arrays": f"SELECT row_number() OVER (ORDER BY conv_id % 2, conv_id, turn) - 1 AS record_index, {TURNS}",
-        "record_forms": "SELECT i::BIGINT AS record_index, f AS file, (i + 1)::BIGINT AS id FROM (VALUES (0, '1.jsonl'), (1, '1.jsonl'), (2, '2.json'), (3, '2.json'), (4, '3.json'), (5, '5 +%.jsonl'), (6, '5 +%.jsonl'), (7, '7.json')) t(i, f)",
-        "expanded_paths": "SELECT i::BIGINT AS place, f AS name FROM (VALUES (0, 'a.json'), (1, 'b.json'), (2, 'c.jsonl'), (3, 'd.txt'), (4, 'e.json'), (5, 'none.json')) t(i, f)",
+        "scan_arrays": f"SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS record_index, {TURNS}",
+        "record_forms": """SELECT row_number() OVER (ORDER BY item_id, id) - 1 AS record_index, item_id, id
+FROM (SELECT item_id, unnest(CASE item_id % 4 WHEN 0 THEN [item_id, item_id + 1000000] WHEN 1 THEN [item_id, item_id + 1000000] WHEN 2 THEN [item_id] ELSE [] END) AS id FROM benchmark)""",
+        "expanded_paths": """SELECT row_number() OVER (ORDER BY o, item_id) - 1 AS place, item_id
+FROM (SELECT item_id % 2 AS o, item_id FROM benchmark UNION ALL SELECT 2, -1)""",
         "label_log": """SELECT user_id::VARCHAR AS id, (event_id % 3)::INT AS candidate_index, event_type AS asr_text, CASE WHEN value < 10 THEN 'E' END AS error, event_id, seq
 FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS seq FROM events) QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) = 1""",
         "shard_files": """SELECT (p % 8)::INT AS shard_id, count(*) AS n, min(doc_id) AS first_doc, sum(doc_id)::BIGINT AS total, max(p) AS last_position
@@ -442,8 +448,8 @@ y AS (SELECT vec_id, (3 * i + t) // 2 AS k, sum(x * h) AS y FROM e, taps WHERE (
 SELECT vec_id, count(*) AS samples, round(sum(y), 2) + 0.0 AS total, round(sum(y * y), 2) AS power FROM y GROUP BY 1""",
         "falsy_texts": """SELECT conv_id::VARCHAR AS id, j AS text, CASE WHEN j IS NULL THEN 'ValueError: concatenated reference text is empty' END AS error
 FROM (SELECT conv_id, string_agg(CASE turn % 9 WHEN 5 THEN '1.5' WHEN 6 THEN 'True' WHEN 8 THEN conv_id || ' x' END, ' ' ORDER BY turn) AS j FROM conversations GROUP BY conv_id)""",
-        "argument_checks": """SELECT * FROM (VALUES ('workers', 'workers must be > 0'), ('batch_size', 'batch_size must be > 0'), ('sample_rate', 'sample_rate must be > 0'),
-('normalize', 'normalize must be one of basic, none'), ('tokenizer', 'tokenizer must be one of word, char'), ('resample', 'resample must be one of linear, polyphase')) t(name, message)""",
+        "argument_checks": """SELECT p_partkey, (p_size - 25)::INT AS value, CASE WHEN p_partkey % 2 = 0 THEN 'workers' ELSE 'batch_size' END AS name,
+  CASE WHEN p_size <= 25 THEN CASE WHEN p_partkey % 2 = 0 THEN 'workers' ELSE 'batch_size' END || ' must be > 0' END AS message FROM part""",
         "transcribe_failures": """SELECT conv_id, turn, conv_id || '/' || turn AS audio, CASE WHEN turn % 10 = 3 THEN '' WHEN d IN (0, 3) THEN 't' ELSE '' END AS asr_text,
   CASE WHEN turn % 10 = 3 THEN NULL WHEN d = 0 THEN 'xx' ELSE 'en' END AS language, CASE WHEN turn % 10 = 3 THEN 'RuntimeError: no signal' END AS error,
   CASE WHEN turn % 10 <> 3 AND d = 0 THEN '{"score": 1}' END AS asr_extra FROM (SELECT *, turn % 10 % 4 AS d FROM conversations)""",

@@ -14,7 +14,8 @@ from takepick.operators.transcribe import Transcriber, transcribe
 from takepick.plans.progress import Progress
 from takepick.schemas import LABEL
 from takepick.sources.audio_files import concat_candidate_audio, not_yet_written, write_wavs
-from takepick.sources.records import expand_paths, read_records
+from takepick.sources.listing import expand_paths
+from takepick.sources.records import read_records
 from takepick.sources.shared import checkpointed, delete
 from takepick.sources.sinks import write_document
 
@@ -51,7 +52,7 @@ class LabelingRun:
         Recordings that a run of the same settings has written before, even one
         that was cut short, are kept; those of other settings go first.
         """
-        files = expand_paths(inputs)
+        files = expand_paths(self.spark, inputs)
         if not files:
             raise FileNotFoundError("no input files")
         valid = prepare.validate(read_records(self.spark, files), self.config)

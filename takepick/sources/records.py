@@ -1,175 +1,119 @@
-"""Record sources: path expansion, JSON arrays and JSON Lines, label logs."""
+"""Record sources: JSON arrays and JSON Lines of any file system that Spark knows, label logs."""
 
 from __future__ import annotations
 
-import glob
-import json
-import os
-from collections.abc import Iterator
-from itertools import islice
-from pathlib import Path
+from functools import reduce
 
-import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from takepick.functions.text import py_strip
+from takepick.sources import json_arrays
+from takepick.sources.json_arrays import HEAD
+from takepick.sources.listing import exists, literal, matching, pin_splits, resolved
 from takepick.sources.shared import checkpointed
 
 
-def expand_paths(values: list[str]) -> list[str]:
-    """Files of globs, folders (their .json, then .jsonl files) and literal paths, each once, first place kept."""
-    out: dict[str, str] = {}
-    for value in values:
-        for path in sorted(glob.glob(value)) or [value]:
-            path = os.path.expanduser(path)
-            inside = [f for kind in ("json", "jsonl") for f in sorted(glob.glob(f"{glob.escape(path)}/*.{kind}"))] if os.path.isdir(path) else [path]
-            for f in inside:
-                out.setdefault(os.path.realpath(f), f)
-    return list(out.values())
-
-
-def sniff(path: str, size: int = 4096) -> str:
-    """``empty``, ``array``, ``object`` (one, over several lines) or ``lines``, from the first characters of a file."""
-    with open(path, encoding="utf-8") as f:
-        head = f.read(size).lstrip()
-    if not head:
-        return "empty"
-    if head[0] == "[":
-        return "array"
-    line, end, _ = head.partition("\n")
-    try:
-        json.loads(line)
-    except ValueError:
-        return "object" if end or len(head) < size // 2 else "lines"  # a line longer than the head is no indented object
-    return "lines"
-
-
-def array_items(path: str, size: int = 1 << 20) -> Iterator[str]:
-    """The items of a file that holds one JSON array, as compact JSON, with one item and ``size`` characters in memory."""
-    decoder, buffer, at, more, state = json.JSONDecoder(), "", 0, True, "["
-    with open(path, encoding="utf-8") as f:
-        while True:
-            while at < len(buffer) and buffer[at].isspace():
-                at += 1
-            if at == len(buffer) or state == "item" or state == "first" and buffer[at] != "]":
-                if at < len(buffer):
-                    try:
-                        item, end = decoder.raw_decode(buffer, at)
-                        if not more or end < len(buffer) and buffer[end] in " \t\r\n,]":  # else a number may go on
-                            yield json.dumps(item, ensure_ascii=False, separators=(",", ":"))
-                            at, state = end, ","
-                            continue
-                    except ValueError:
-                        if not more:
-                            raise
-                if not more:
-                    if state == "end":
-                        return
-                    raise ValueError(f"{path} starts with '[' but did not parse as a JSON array")
-                piece = f.read(max(size, len(buffer) - at))
-                more, buffer, at = bool(piece), buffer[at:] + piece, 0
-                continue
-            c, at = buffer[at], at + 1
-            if state == "[" and c == "[":
-                state = "first"
-            elif state in ("first", ",") and c == "]":
-                state = "end"
-            elif state == "," and c == ",":
-                state = "item"
-            else:
-                raise ValueError(f"{path} starts with '[' but did not parse as a JSON array")
-
-
-def _local(path: Column) -> Column:
-    """A file's path as it was given, of the URL that Spark states."""
-    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")
-
-
-def numbered(rows: DataFrame, rank: dict[str, int], number: str) -> DataFrame:
-    """Rows of text files with their position over all files, files in order of ``rank``.
-
-    Counted per file split: only one small row per split is gathered, so nothing
-    is sorted and files are read in parallel.
+def _file() -> Column:
+    """A row's file: a local one's path, any other's URL."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines that are not blank, with their file, split and row."""
+    rows = spark.read.text([literal(p) for p in paths]).select(py_strip(F.col("value")).alias("value"), _file().alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return rows.where("value <> ''").withColumn("row", F.monotonically_increasing_id())
+
+
+def _line_splits(lines: DataFrame) -> DataFrame:
+    """A row for each split: file, block, first row, number of rows, and the form that its first line speaks for."""
+    head = F.substring("value", 1, HEAD)
+    kind = F.when(head.startswith("["), "array").when((F.length("value") <= HEAD) & F.try_parse_json("value").isNull(), "object").otherwise("lines")
+    return checkpointed(lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"), F.min_by(kind, "row").alias("kind")))
+
+
+def _numbered(lines: DataFrame, splits: DataFrame, bases: DataFrame) -> DataFrame:
+    """Lines with ``n``, their position from the base of their file on.
+
+    Only one row for each split is gathered; no line is sorted or shuffled.
     """
-    ranks = F.create_map(*(F.lit(x) for p, r in rank.items() for x in (os.path.realpath(p), r)))
-    place = rows.select(
-        "*",
-        F.get(F.array(ranks[_local(F.col("_metadata.file_path"))]), F.lit(0)).alias("_rank"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    splits = place.groupBy("_rank", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_rank", "_block").rowsBetween(Window.unboundedPreceding, -1))
-    splits = splits.withColumn("_before", F.coalesce(before, F.lit(0)))
-    joined = place.join(F.broadcast(splits.select("_rank", "_block", "_first", "_before")), ["_rank", "_block"])
-    return joined.withColumn(number, F.col("_before") + F.col("_row") - F.col("_first")).drop("_rank", "_block", "_row", "_first", "_before")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = splits.select("file", "block", "first", before.alias("before")).join(bases, "file")
+    placed = placed.select("file", "block", (F.col("base") + F.col("before") - F.col("first")).alias("shift"))
+    joined = lines.join(F.broadcast(placed), ["file", "block"], "left")  # some 100 bytes for each split of the input
+    changed = F.raise_error(F.lit("a file was cut otherwise before: its size or Spark's settings have changed")).cast("long")
+    return joined.withColumn("n", F.when(F.col("shift").isNull(), changed).otherwise(F.col("row") + F.col("shift")))
 
 
-def _object(v: Column, message: str) -> Column:
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v).otherwise(F.raise_error(F.lit(message)).cast("variant"))
+def _bases(spark: SparkSession, paths: list[str], counts: DataFrame) -> DataFrame:
+    """(file, base): how many records the files before each one hold, in the order of ``paths``."""
+    rank = spark.createDataFrame(list(enumerate(paths)), "rank long, file string")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return checkpointed(counts.groupBy("file").agg(F.sum("n").alias("n")).join(rank, "file").select("file", before.cast("long").alias("base")))
 
 
-def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(r, i, file, value) of the items of arrays and of files that are one object."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            items = enumerate(array_items(row["file"]) if row["kind"] == "array" else [Path(row["file"]).read_text(encoding="utf-8")])
-            while part := list(islice(items, 256)):
-                n = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["r"]] * n, pa.int32()), pa.array([i for i, _ in part], pa.int64()), pa.array([row["file"]] * n), pa.array([x for _, x in part])], ["r", "i", "file", "value"]
-                )
+def _object(value: Column, message: str) -> Column:
+    """The JSON object that a text is as a whole; the parser by itself would take what begins with one."""
+    framed = F.parse_json(F.concat(F.lit('{"value":'), value, F.lit(',"_end":0}')))
+    v = F.variant_get(framed, "$.value", "variant")
+    whole = F.coalesce(F.variant_get(framed, "$._end", "int") == 0, F.lit(False)) & F.schema_of_variant(v).startswith("OBJECT")
+    return F.when(whole, v).otherwise(F.raise_error(F.lit(message)).cast("variant"))
+
+
+def _kinds(splits: DataFrame) -> dict[str, str]:
+    """The form of each file, told by its first split: one short row a file."""
+    return {r.file: r.kind for r in splits.groupBy("file").agg(F.min_by("kind", "block").alias("kind")).collect()}
 
 
 def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(record_index, source_json, record): all records of all files, in order.
 
-    The form of each file is found from its start.  Every record must be an
-    object; a bad line, item or a missing file stops the run.  JSON Lines are
-    read in parallel; a JSON array is read item by item in one task per file.
+    The form of each file is told from its start, where it is read: files named ``.jsonl`` first as lines, others
+    first as arrays, and those of another form once more.  Every record must be an object; a bad line,
+    item or a missing file stops the run.  Lines and arrays are read by as many tasks as a file has splits, a
+    file that is one object by one.
     """
-    for p in paths:
-        if not os.path.exists(p):
-            raise FileNotFoundError(p)
-    kinds = {p: sniff(p) for p in paths}
-    parts: list[DataFrame] = []
-    runs: list[tuple[str, list[str]]] = []
-    for p in paths:
-        kind = "lines" if kinds[p] == "lines" else "whole"
-        if kinds[p] == "empty":
-            continue
-        if runs and runs[-1][0] == kind:
-            runs[-1][1].append(p)
-        else:
-            runs.append((kind, [p]))
-    offset = F.lit(0).cast("long")
-    for kind, group in runs:
-        rank = {p: i for i, p in enumerate(group)}
-        if kind == "lines":
-            rows = spark.read.text(group).select(py_strip(F.col("value")).alias("value"), "_metadata").where("value <> ''")
-            rows = numbered(rows.select("value", "_metadata", _local(F.col("_metadata.file_path")).alias("file")), rank, "n")
-            made = rows.select("n", "file", _object(F.parse_json("value"), "JSONL line must be an object").alias("record"))
-        else:
-            pieces = spark.createDataFrame([(r, os.path.realpath(p), kinds[p]) for p, r in rank.items()], "r int, file string, kind string")
-            pieces = pieces.repartition(len(group), "r").mapInArrow(_whole_files, "r int, i long, file string, value string")
-            pieces = checkpointed(pieces).select("r", "i", "file", F.parse_json("value").alias("record"))
-            sizes = pieces.groupBy("r").agg(F.count(F.lit(1)).alias("c"))
-            before = F.coalesce(F.sum("c").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            made = pieces.join(F.broadcast(sizes.withColumn("b", before)), "r").select(
-                (F.col("b") + F.col("i")).alias("n"), "file", _object(F.col("record"), "array item must be an object").alias("record")
-            )
-        parts.append(made.select((F.col("n") + offset).alias("record_index"), F.col("file").alias("source_json"), "record"))
-        if len(runs) > 1:
-            offset = offset + F.lit(made.count())
-    if not parts:
-        return spark.createDataFrame([], "record_index long, source_json string, value string").select(
-            "record_index", "source_json", F.parse_json("value").alias("record")
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    paths = list(dict.fromkeys(resolved(spark, p) for p in paths))
+    pin_splits(spark)
+    named = [p for p in paths if p.endswith(".jsonl")]
+    other = [p for p in paths if not p.endswith(".jsonl")]
+    try:
+        lines = _line_splits(_lines(spark, named)) if named else None
+        arrays = json_arrays.describe(spark, other, _file()) if other else None
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(str(e)) from None
+        raise
+    kinds = {f: k for found in (lines, arrays) if found for f, k in _kinds(found).items()}
+    of = {kind: [p for p in paths if kinds.get(p) == kind] for kind in ("lines", "array", "object")}
+    # how files are cut depends on all that are read together
+    if of["lines"] and of["lines"] != named:
+        lines = _line_splits(_lines(spark, of["lines"]))
+    if of["array"] and of["array"] != other:
+        arrays = json_arrays.describe(spark, of["array"], _file())
+    counts, made = [], []
+    if of["lines"]:
+        counts.append(lines.select("file", "n"))
+    if of["array"]:
+        begins = checkpointed(json_arrays.states(arrays))
+        counts.append(begins.where("block = 0").select("file", F.col("items").alias("n")))
+    if of["object"]:
+        counts.append(spark.createDataFrame([(p, 1) for p in of["object"]], "file string, n long"))
+    if not counts:
+        empty = spark.createDataFrame([], "record_index long, source_json string, value string")
+        return empty.select("record_index", "source_json", F.parse_json("value").alias("record"))
+    bases = _bases(spark, paths, reduce(DataFrame.unionAll, counts))
+    if of["lines"]:
+        rows = _numbered(_lines(spark, of["lines"]), lines, bases)
+        made.append(rows.select("n", "file", _object(F.col("value"), "JSONL line must be an object").alias("record")))
+    if of["array"]:
+        rows = json_arrays.read_arrays(spark, of["array"], _file(), begins.join(bases, "file"))
+        made.append(rows.select("n", "file", _object(F.col("value"), "array item must be an object").alias("record")))
+    if of["object"]:
+        rows = spark.read.text([literal(p) for p in of["object"]], wholetext=True).select("value", _file().alias("file")).join(bases, "file")
+        made.append(rows.select(F.col("base").alias("n"), "file", _object(F.col("value"), "JSON file must be an object").alias("record")))
+    return reduce(DataFrame.unionAll, made).select(F.col("n").alias("record_index"), F.col("file").alias("source_json"), "record")
 
 
 def read_jsonl(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
@@ -177,18 +121,19 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
 
     ``seq`` is the position over all files, in the order given.
     """
-    there = [p for p in paths if os.path.exists(p)]
+    there = list(dict.fromkeys(resolved(spark, p) for p in paths if exists(spark, p)))
+    pin_splits(spark)
     fields = [f.strip() for f in schema.split(",")]
     if not there:
         return spark.createDataFrame([], ", ".join([*fields, "seq long"]))
-    rows = spark.read.text(there).select(py_strip(F.col("value")).alias("value"), "_metadata").where("value <> ''")
-    rows = numbered(rows, {p: i for i, p in enumerate(there)}, "seq")
-    v = _object(F.parse_json("value"), "line must be a JSON object")
-    return rows.select(v.alias("v"), "seq").select(
+    splits = _line_splits(_lines(spark, there))
+    rows = _numbered(_lines(spark, there), splits, _bases(spark, there, splits.select("file", "n")))
+    v = _object(F.col("value"), "line must be a JSON object")
+    return rows.select(v.alias("v"), F.col("n").alias("seq")).select(
         *(F.variant_get("v", "$." + f.split()[0], f.split()[1]).alias(f.split()[0]) for f in fields), "seq"
     )
 
 
-def label_files(folder: str, pattern: str = "*.labels.jsonl") -> list[str]:
+def label_files(spark: SparkSession, folder: str, pattern: str = "*.labels.jsonl") -> list[str]:
     """Label files in order of their names."""
-    return sorted(glob.glob(f"{glob.escape(folder)}/{pattern}"))
+    return matching(spark, f"{folder}/{pattern}")

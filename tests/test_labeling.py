@@ -16,7 +16,8 @@ from takepick.operators.models import Adapted, model_maker
 from takepick.operators.transcribe import label_batch, read_result, transcribe
 from takepick.plans.labeling import LabelingRun
 from takepick.queries import EchoTranscriber
-from takepick.sources.records import array_items, expand_paths, label_files, read_jsonl, read_records, sniff
+from takepick.sources.listing import expand_paths
+from takepick.sources.records import label_files, read_jsonl, read_records
 from takepick.sources.sinks import append_jsonl, compact_json, document, write_jsonl, write_shards
 from takepick.streaming.labels import stream_labels
 
@@ -26,10 +27,10 @@ def put(path, text):
     return str(path)
 
 
-def test_path_expansion(tmp_path):
+def test_path_expansion(spark, tmp_path):
     for name in ("b.json", "a.json", "c.jsonl", "d.txt"):
         put(tmp_path / name, "")
-    names = lambda v: [os.path.basename(p) for p in expand_paths(v)]
+    names = lambda v: [os.path.basename(p) for p in expand_paths(spark, v)]
     assert names([str(tmp_path)]) == ["a.json", "b.json", "c.jsonl"]
     assert names([f"{tmp_path}/*.json", f"{tmp_path}/a.json", "nowhere.json"]) == ["a.json", "b.json", "nowhere.json"]
 
@@ -68,7 +69,7 @@ def test_strict_label_log(spark, tmp_path):
     assert read_jsonl(spark, [str(tmp_path / "none")], schema).collect() == []
     a = put(tmp_path / "a.labels.jsonl", '{"id":"x","candidate_index":0,"error":null}\n\n{"id":"x","candidate_index":1,"error":"E"}\n')
     b = put(tmp_path / "b.labels.jsonl", '{"id":"x","candidate_index":0,"error":"late"}\n')
-    assert label_files(str(tmp_path)) == [a, b]
+    assert label_files(spark, str(tmp_path)) == [a, b]
     rows = read_jsonl(spark, [a, b], schema)
     assert sorted(map(tuple, rows.collect()), key=lambda r: r[3]) == [("x", 0, None, 0), ("x", 1, "E", 1), ("x", 0, "late", 2)]
     assert {(r.candidate_index, r.error) for r in collect.latest(rows, ["id", "candidate_index"]).collect()} == {(0, "late"), (1, "E")}
@@ -200,24 +201,6 @@ def test_records_that_repeat_an_id_and_a_text(spark):
     assert sorted((r.record_index, len(r.detail), r.detail[0].wer) for r in out) == [(0, 1, 0.5), (1, 1, 0.5)]
 
 
-def test_array_items(tmp_path):
-    items = [{"a": [1, {"b": "]},["}]}, 12345, "é\"\\", None, [], {}, -1.5e3, True]
-    for indent in (None, 2):
-        path = put(tmp_path / "a.json", " \n" + json.dumps(items, indent=indent, ensure_ascii=False) + "\n ")
-        for size in (1, 2, 7, 1 << 20):
-            assert [json.loads(x) for x in array_items(path, size)] == items
-    assert list(array_items(put(tmp_path / "b.json", "[ ]"))) == []
-    for bad in ("[", "[1", "[1,", "[1 2]", "[1]x", "[,1]", "[1,]", '[{"a":1]'):
-        with pytest.raises(ValueError):
-            list(array_items(put(tmp_path / "c.json", bad)))
-
-
-def test_sniffing_reads_a_bounded_head(tmp_path):
-    long = '{"x":"' + "y" * 20000 + '"}'
-    for content, kind in ((long, "lines"), (long + "\n" + long, "lines"), ("[" + long + "]", "array"), ('\n\t{"a":1}', "lines"), ('{\n"a":1}', "object"), (" \n\t", "empty")):
-        assert sniff(put(tmp_path / "f", content)) == kind
-
-
 def test_models_of_other_interfaces():
     each = type("Each", (), {"transcribe": lambda self, audio, language="": [{"text": language + audio}]})()
     assert Adapted(each).transcribe(["a", "b"], "x", "ignored") == [{"text": "xa"}, {"text": "xb"}]
