@@ -86,3 +86,9 @@ def pin_splits(spark: SparkSession) -> None:
     """From now on the session cuts files alike whenever it reads them, also when executors come and go."""
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
         spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, in folders made as needed."""
+    p, files = _system(spark, path)
+    files.createNewFile(p) if files.mkdirs(p.getParent()) else None

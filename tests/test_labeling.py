@@ -330,23 +330,72 @@ def test_command_line(spark, tmp_path, capsys):
     assert "batch_size must be > 0" in capsys.readouterr().err
 
 
-def test_label_stream(spark, tmp_path):
-    source, labels = tmp_path / "m", str(tmp_path / "labels")
-    source.mkdir()
-    row = lambda i: json.dumps({"id": f"r{i}", "candidate_index": 0, "candidate": "0", "audio": f"a{i}", "text": "t", "source_json": "s", "num_segments": 1})
-    for turn, rows in enumerate(([0, 1], [1, 2])):
-        put(source / f"{turn}.json", "\n".join(map(row, rows)))
-        stream_labels(spark, str(source), labels, str(tmp_path / "c"), EchoTranscriber).awaitTermination(120)
-    got = spark.read.parquet(labels).collect()
-    assert sorted(r.id for r in got) == ["r0", "r1", "r2"] and len({r.seq for r in got}) == 3
+def manifest_rows(*rows):
+    return "\n".join(json.dumps({"id": i, "candidate_index": c, "candidate": "0", "audio": audio, "text": "t", "source_json": "s", "num_segments": 1}) for i, c, audio in rows)
+
+
+class FailsOnce:
+    """Fails on some recordings; ends the whole task on a recording named for a file, the first time."""
+
+    def transcribe(self, audio, language, context):
+        out = []
+        for a in audio:
+            if a.startswith("/") and not os.path.exists(a):
+                open(a, "w").close()
+                raise SystemExit("the executor is lost")
+            out.append({"text": "" if a == "bad" else a})
+            if a == "bad":
+                raise RuntimeError("no signal")
+        return out
+
+
+def follow(spark, tmp_path, n, rows, **how):
+    put(tmp_path / f"m{n}.json", manifest_rows(*rows))
+    (tmp_path / "m").mkdir(exist_ok=True)
+    os.replace(tmp_path / f"m{n}.json", tmp_path / "m" / f"{n}.json")
+    q = stream_labels(spark, str(tmp_path / "m"), str(tmp_path / "labels"), str(tmp_path / "c"), FailsOnce, isolate=True, **how)
+    q.awaitTermination(120)
+    return sorted((r.id or "", r.candidate_index, r.seq, r.asr_text, r.error) for r in spark.read.parquet(str(tmp_path / "labels")).collect())
+
+
+def test_label_stream_over_restarts(spark, tmp_path):
+    """Every start is a new query on the checkpoint: what it knows comes from the state."""
+    error = "RuntimeError: no signal"
+    one = follow(spark, tmp_path, 1, [("a", 0, "x"), ("b", 0, "bad"), ("b", 1, "y"), (None, 0, "n")], buckets=1)
+    assert [(i, c, t, e) for i, c, _, t, e in one] == [("", 0, "n", None), ("a", 0, "x", None), ("b", 0, "", error), ("b", 1, "y", None)]
+    assert sorted(r[2] for r in one) == [0, 1, 2, 3]
+    two = follow(spark, tmp_path, 2, [("a", 0, "z"), ("b", 0, "bad"), ("b", 0, "again"), ("c", 0, "w"), (None, 0, "n")], buckets=7)  # the checkpoint keeps one bucket
+    assert [(i, c, t, e) for i, c, _, t, e in two if (i, c, _, t, e) not in one] == [("", 0, "n", None), ("b", 0, "", error), ("c", 0, "w", None)]
+    three = follow(spark, tmp_path, 3, [("b", 0, "good"), ("c", 0, "v"), ("a", 0, "u")])
+    assert [(i, t) for i, _, s, t, _ in three if s > max(r[2] for r in two)] == [("b", "good")]
+    assert [p.name for p in (tmp_path / "c").glob("buckets-*")] == ["buckets-1"]
+    last = {(r.id, r.candidate_index): r.asr_text for r in collect.latest(spark.read.parquet(str(tmp_path / "labels")).where("id is not null"), ["id", "candidate_index"]).collect()}
+    assert last == {("a", 0): "x", ("b", 0): "good", ("b", 1): "y", ("c", 0): "w"}
+
+
+def test_label_stream_goes_on_after_a_crash(spark, tmp_path):
+    """A batch that dies after some of its labels were made is made again, and no label is there twice."""
+    follow(spark, tmp_path, 1, [(f"r{i}", 0, f"a{i}") for i in range(20)], buckets=2, batch_size=4)
+    rows = [(f"r{i}", 0, f"b{i}") for i in range(10, 40)] + [("crash", 0, str(tmp_path / "crashed"))] + [(f"r{i}", 0, f"b{i}") for i in range(40, 50)]
+    with pytest.raises(Exception):
+        follow(spark, tmp_path, 2, rows, batch_size=4)
+    assert os.path.exists(tmp_path / "crashed")
+    got = follow(spark, tmp_path, 3, [("r49", 0, "c"), ("r50", 0, "c")], batch_size=4)
+    assert [r[0] for r in got] == sorted(["crash", *(f"r{i}" for i in range(51))])
+    assert {r[0]: r[3] for r in got} == {"crash": str(tmp_path / "crashed"), "r50": "c"} | {f"r{i}": f"{'a' if i < 20 else 'b'}{i}" for i in range(50)}
+
+
+def test_label_stream_takes_labels_over(spark, tmp_path):
+    known = spark.createDataFrame([("a", 0, "x", None, 5), ("b", 0, "", "E", 9), ("b", 0, "y", "", 3), (None, 0, "", None, 1)], "id string, candidate_index int, asr_text string, error string, seq long")
+    got = follow(spark, tmp_path, 1, [("a", 0, "z"), ("b", 0, "w"), ("c", 0, "v")], known=known, buckets=1)
+    assert [(i, s, t) for i, _, s, t, _ in got] == [("b", 10, "w"), ("c", 11, "v")]
 
 
-def test_later_batches_outrank_earlier_ones_of_many_partitions(spark, tmp_path):
+def test_later_labels_outrank_earlier_ones(spark, tmp_path):
     source, labels = tmp_path / "m", str(tmp_path / "labels")
     source.mkdir()
-    row = lambda i, audio: json.dumps({"id": f"r{i}", "candidate_index": 0, "candidate": "0", "audio": audio, "text": "t", "source_json": "s", "num_segments": 1})
     for turn, word in enumerate(("bad", "good")):
-        put(source / f"{turn}.json", "\n".join(row(i, word) for i in range(300)))
-        stream_labels(spark, str(source), labels, str(tmp_path / "c"), Fails, workers=150 if turn == 0 else 2).awaitTermination(120)
+        put(source / f"{turn}.json", manifest_rows(*((f"r{i}", 0, word) for i in range(300))))
+        stream_labels(spark, str(source), labels, str(tmp_path / "c"), Fails).awaitTermination(120)
     last = collect.latest(spark.read.parquet(labels), ["id", "candidate_index"]).collect()
     assert len(last) == 300 and all(r.asr_text == "good" and r.error is None for r in last)
