@@ -9,8 +9,9 @@ alignment has covered so far.  So a frequent line makes a pair only where
 nothing rarer leads to it, no run is too common to be found, and a group of copies
 makes no pairs among its members.
 
-A pair is aligned by patience diff over line hashes, and runs it leaves unmatched, repeated in one
-of the two or in another order, are found by their hashes; common blocks of at
+A pair is aligned by patience diff over line hashes; stretches without unique lines are aligned by
+their lines' occurrences.  Where that leaves a run that both documents hold, repeated in one
+of the two or in another order, the two are aligned once more from there on.  Aligned blocks of at
 least ``min_bytes`` are deleted from the later document.  The earliest holder of a line never loses it,
 so of every deleted line one copy stays.
 
@@ -54,20 +55,51 @@ def runs(hashes: list[int], sizes: list[int], min_bytes: int) -> list[tuple[int,
     return [(xxhash.xxh3_64_intdigest(raw[8 * i : 8 * j]) - (1 << 63), i, j) for i, j in sorted(cuts)]
 
 
-def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int, held: set[int] | None = None) -> list[int]:
-    """Lines of the later document within blocks of at least ``min_bytes`` that the earlier one holds (empty lines don't end a block).
+def starts(hashes: list[int], sizes: list[int], min_bytes: int) -> dict[int, int]:
+    """Where each run begins first."""
+    out: dict[int, int] = {}
+    for key, i, _ in runs(hashes, sizes, min_bytes):
+        out.setdefault(key, i)
+    return out
 
-    Alignment matches a line once and in order; where it leaves lines, every run the earlier document holds
-    (``held``, if its runs are known) counts.
+
+def common_lines(later: list[int], sizes: list[int], earlier: list[int], min_bytes: int, held: dict[int, int] | None = None) -> list[int]:
+    """Lines of the later document within aligned blocks of at least ``min_bytes`` (empty lines don't end a block).
+
+    The documents are aligned as wholes first, which matches each line of either once and in order.  A run of the later one with lines that are
+    left, and that the earlier one holds too (``held``: where each of its runs begins), is aligned from there on:
+    so passages that are repeated or in another order have blocks as well.
     """
     full_a, full_b = [i for i, x in enumerate(later) if x], [i for i, x in enumerate(earlier) if x]
     a, b, of_a = [later[p] for p in full_a], [earlier[p] for p in full_b], [sizes[p] for p in full_a]
-    spans = [(i, i + n) for i, _, n in blocks(align(a, b)) if sum(of_a[i : i + n]) >= min_bytes]
-    if sum(j - i for i, j in spans) < len(a):
+    lost = bytearray(len(a))
+
+    def take(at: int, pairs: list[tuple[int, int]]) -> None:
+        for i, _, n in blocks(pairs):
+            if sum(of_a[at + i : at + i + n]) >= min_bytes:
+                lost[at + i : at + i + n] = b"\1" * n
+
+    take(0, align(a, b, repeats=True))
+    if 0 in lost:
         if held is None:
             size = dict(zip(a, of_a))
-            held = {k for k, _, _ in runs(b, [size.get(x, min_bytes) for x in b], min_bytes)}
-        spans += [(i, j) for k, i, j in runs(a, of_a, min_bytes) if k in held]
+            held = starts(b, [size.get(x, min_bytes) for x in b], min_bytes)
+        for key, i, j in runs(a, of_a, min_bytes):
+            if key not in held or 0 not in lost[i:j]:
+                continue
+            k, n, pairs = held[key], j - i, []
+            while len(pairs) < n:  # as far as the block goes
+                pairs = align(a[i : i + n], b[k : k + n])
+                if len(pairs) < n or min(len(a) - i, len(b) - k) <= n:
+                    break
+                n = min(2 * n, len(a) - i, len(b) - k)
+            take(i, pairs)
+    spans, i = [], 0
+    while (i := lost.find(1, i)) >= 0:
+        j = lost.find(0, i)
+        j = len(lost) if j < 0 else j
+        spans.append((i, j))
+        i = j
     return sorted({r for i, j in spans for r in range(full_a[i], full_a[j - 1] + 1)})
 
 
@@ -120,7 +152,7 @@ def duplicate_lines(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id"
                         heads = []
                     if row["doc_id"] is None:
                         full = [(h, n) for h, n in zip(row["hashes"], row["sizes"]) if h]
-                        heads.append((row["hashes"], {k for k, _, _ in runs([h for h, _ in full], [n for _, n in full], min_bytes)}))
+                        heads.append((row["hashes"], starts([h for h, _ in full], [n for _, n in full], min_bytes)))
                         continue
                     lost = sorted({x for hashes, held in heads for x in common_lines(row["hashes"], row["sizes"], hashes, min_bytes, held)})
                     out.append((row["doc_id"], row["text_hash"], row["first"], lost))

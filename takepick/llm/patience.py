@@ -27,12 +27,14 @@ def longest_increasing(values: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
-def align(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
+def align(a: Sequence, b: Sequence, repeats: bool = False) -> list[tuple[int, int]]:
     """Matched positions (in a, in b), both increasing.
 
     Anchors are items found once in either range; the longest increasing
     subsequence of them is matched, and each gap is aligned in its turn.  Equal
-    items at the ends of a range match as they are.
+    items at the ends of a range match as they are.  With ``repeats``, a range without
+    anchors takes each item's first, second and further occurrences in one with those in the other
+    for anchors: a common subsequence in a time that repeated items don't square.
     """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -54,6 +56,8 @@ def align(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
             if once.get(b[q], -1) >= 0:
                 other[b[q]] = -1 if b[q] in other else q
         anchors = sorted((once[x], q) for x, q in other.items() if q >= 0)
+        if not anchors and repeats:
+            anchors = _by_rank(a, i, j, b, k, m)
         kept = [anchors[p] for p in longest_increasing([q for _, q in anchors])]
         if not kept:
             continue
@@ -65,6 +69,14 @@ def align(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _by_rank(a: Sequence, i: int, j: int, b: Sequence, k: int, m: int) -> list[tuple[int, int]]:
+    """The nth occurrence of each item in a's range with the nth in b's, in order of a."""
+    places: dict = {}
+    for q in range(m - 1, k - 1, -1):
+        places.setdefault(b[q], []).append(q)
+    return [(p, places[a[p]].pop()) for p in range(i, j) if places.get(a[p])]
+
+
 def blocks(pairs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start in a, start in b, length) of maximal runs of matches that follow one another in both."""
     out: list[tuple[int, int, int]] = []

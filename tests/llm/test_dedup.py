@@ -9,6 +9,7 @@ import numpy as np
 from takepick.llm import exact_dedup as exact_module
 from takepick.llm.exact_dedup import exact_dedup
 from takepick.llm.graph import components
+from takepick.llm import line_dedup
 from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines
 from takepick.llm.common import Scratch, Words, sets_of_shingles
 from takepick.llm.minhash import _differences, near_duplicates, sketch
@@ -333,6 +334,50 @@ def full_lines(text):
     return [x.strip() for x in (text or "").split("\n") if x.strip()]
 
 
+def by_blocks(later, sizes, earlier, min_bytes):
+    """Lines within equal blocks of both documents, for every pair of places: what alignments can find together."""
+    lost = set()
+    for i in range(len(later)):
+        for k in range(len(earlier)):
+            n = 0
+            while i + n < len(later) and k + n < len(earlier) and later[i + n] == earlier[k + n]:
+                n += 1
+            if sum(sizes[i : i + n]) >= min_bytes:
+                lost.update(range(i, i + n))
+    return sorted(lost)
+
+
+def test_alignments_find_every_common_block(monkeypatch):
+    r = random.Random(11)
+    some = 0
+    for _ in range(1500):
+        words = range(1, r.choice((3, 8, 30)))
+        a, b = ([r.choice(words) for _ in range(r.randrange(25))] for _ in range(2))
+        for _ in range(r.randrange(3)):  # passages, repeated and moved
+            i, n = r.randrange(len(b) + 1), r.randrange(1, 9)
+            at = r.randrange(len(a) + 1)
+            a[at:at] = b[i : i + n]
+        sizes = [5 + 7 * (x % 4) for x in a]
+        want = by_blocks(a, sizes, b, 40)
+        some += bool(want)
+        assert common_lines(a, sizes, b, 40) == want
+    assert some > 400
+    # all of it is the alignment's work
+    monkeypatch.setattr(line_dedup, "align", lambda a, b, repeats=False: [])
+    assert common_lines([1, 2, 3], [30] * 3, [1, 2, 3], 64) == []
+
+
+def test_a_passage_repeated_many_times_takes_no_squared_time():
+    passage = list(range(1, 40))
+    a = [x for n in range(3000) for x in (*passage, 10_000 + n)]
+    assert common_lines(a, [20] * len(a), [*passage, 7, *passage], 64) == [i for i, x in enumerate(a) if x < 10_000]
+
+
+def test_occurrences_align_where_nothing_is_unique():
+    assert align([1, 2, 1, 2, 3, 3], [9, 1, 2, 1, 2, 8, 3, 3, 9], repeats=True) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 6), (5, 7)]
+    assert align([5, 1, 1, 6], [7, 1, 1, 8]) == []
+
+
 def held_before(rows, min_bytes=64):
     """(id, lines left) of each text, all its lines but those in a run of at least ``min_bytes`` that a document of smaller id holds: all pairs."""
     full, out = [(i, full_lines(t)) for i, t in rows], []
