@@ -7,15 +7,18 @@ length: words of the template are aligned window after window, and the aligned w
 cut where they lie far apart.  Coverage is the matched share of the template.
 
 Licenses differ by a word or a number, so a template states in braces the phrases
-that tell it from others: each must be matched word for word.  Of
-templates that match at overlapping places the one with the most matched words is
-reported, so a notice that contains another's words has its own name.
+that tell it from others: each must be matched word for word.  In brackets it states phrases of other
+licenses that go on where it ends: none may be in the match or in the ``AFTER`` words after it, up to
+the next notice of its kind.  Of templates that match at overlapping places the one with the most matched words is
+reported, so a notice that contains another's words has its own name.  A statement in one
+sentence with a negation ("not released under ...") is none.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +27,19 @@ from pyspark.sql import functions as F
 from takepick.llm.common import text_batches
 from takepick.llm.patience import align
 
-#: License notices as they are commonly written; phrases in braces must be there word for word.
+AFTER = 150
+NEGATION = re.compile(r"\b(?:not|never|neither|nor|cannot|no longer|\w+n['’]t)\b", re.I)
+#: Phrases of licenses that begin as the BSD licenses do.
+OTHER_BSD = "[all advertising materials] [subject to the limitations in the disclaimer below] [each copyright holder and contributor hereby grants] [endorse or promote products]"
+#: Fixed value: the conditions that the BSD licenses share.
+BSD_CONDITIONS = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. "
+)
+#: License notices as they are commonly written; phrases in braces must be there word for word, those in brackets must not follow.
+#: What a name has after a slash tells variants of one license apart.
 TEMPLATES = {
     "MIT (statement)": "Released under the {MIT License}.",
     "BSD (statement)": "Released under the {BSD License}.",
@@ -47,30 +62,43 @@ TEMPLATES = {
     "CC-BY-NC-ND-4.0 (statement)": "Licensed under {CC BY-NC-ND 4.0}.",
     "reserved (statement)": "{All rights reserved}.",
     "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "{publish, distribute, sublicense}, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and {this permission notice shall be included} in all copies or "
+        "substantial portions of the Software. [used for good not evil] [except as contained in this notice the name] [visible changes]"
+    ),
+    "JSON": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
         "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."
+        "subject to the following conditions: The above copyright notice and {this permission notice shall be included} in all copies or "
+        "substantial portions of the Software. The Software shall be {used for Good, not Evil}."
     ),
-    "0BSD": "{Permission to use}, copy, modify, and/or distribute this software for any purpose with or without fee is {hereby granted}.",
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-        "the above copyright notice and this permission notice {appear in all copies}."
+    "MIT-0": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "{publish, distribute, sublicense}, and/or sell copies of the Software, and to permit persons to whom the Software is furnished {to do so}. "
+        "[subject to the following] [this permission notice] [redistributions of]"
     ),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."
+    "0BSD": "{Permission to use}, copy, modify, and/or distribute this software for any purpose {with or without fee is hereby granted}. [provided that] [appear in all copies]",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose {with or without fee is hereby granted}, provided that "
+        "the above copyright notice and {this permission notice appear in all copies}. [supporting documentation] [without specific written prior permission]"
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution. {Neither the name} of the copyright holder nor the names of its "
-        "contributors may be used to {endorse or promote products} derived from this software without specific prior written permission."
+    "HPND": (
+        "Permission to use, copy, modify and distribute {this software and its documentation for any purpose and without fee} is hereby granted, provided that the "
+        "above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in {supporting documentation}."
     ),
+    **{
+        name: BSD_CONDITIONS + rest
+        for name, rest in (
+            ("BSD-2-Clause", OTHER_BSD),
+            ("BSD-3-Clause", "{Neither the name} of the copyright holder nor the names of its contributors may be used to {endorse or promote products} derived from this software without specific prior written permission. " + OTHER_BSD.replace("[endorse or promote products]", "")),
+            ("BSD-3-Clause/author", "{The name of the author may not be used} to {endorse or promote products} derived from this software without specific prior written permission. " + OTHER_BSD.replace("[endorse or promote products]", "")),
+            ("BSD-4-Clause", "All {advertising materials} mentioning features or use of this software {must display the following acknowledgement}: This product includes software developed by the organization. Neither the name of the copyright holder nor the names of its contributors may be used to {endorse or promote products} derived from this software without specific prior written permission."),
+        )
+    },
     "Apache-2.0": (
         "Licensed under the {Apache License, Version 2.0} (the \"License\"); you may not use this file except in compliance with the License. You "
         "may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
@@ -104,11 +132,13 @@ def words(text: str) -> list[str]:
 
 
 class Template:
-    """A template's words, and the places of the phrases that must be matched word for word."""
+    """A template's words, the places of the phrases that must be matched word for word, and the phrases that must not follow."""
 
     def __init__(self, name: str, text: str):
-        self.name, self.words, self.phrases = name, [], []
-        for n, part in enumerate(re.split("[{}]", text)):
+        self.name, self.words, self.phrases = name.partition("/")[0], [], []
+        self.statement = name.endswith("(statement)")
+        self.forbidden = [tuple(words(x)) for x in re.findall(r"\[([^]]*)\]", text)]
+        for n, part in enumerate(re.split("[{}]", re.sub(r"\[[^]]*\]", "", text))):
             more = words(part)
             if n % 2 and more:
                 self.phrases.append(range(len(self.words), len(self.words) + len(more)))
@@ -121,6 +151,24 @@ class Template:
         place = {j: i for i, j in pairs}
         return all(place.get(p[0], -1) >= 0 and all(place.get(j) == place[p[0]] + j - p[0] for j in p) for p in self.phrases)
 
+    def stands(self, text: list[str], first: int, n: int, missed: int) -> bool:
+        """Whether no forbidden phrase is in the match, in what comes before it for the ``missed`` words of the template's start, or goes on after it."""
+        end = min(len(text), first + n + AFTER)
+        opening = self.words[:4]
+        for i in range(first + n, end) if self.forbidden else ():
+            if text[i : i + 4] == opening:  # the next notice
+                end = i
+                break
+        there = text[max(0, first - 2 * missed) : end]
+        return not any(tuple(there[i : i + len(x)]) == x for x in self.forbidden for i in range(len(there) - len(x) + 1))
+
+
+def negated(text: str, first: int, n: int) -> bool:
+    """Whether the sentence that words ``first`` to ``first + n`` are in says no before they end."""
+    found = list(islice(WORD.finditer(text), first, first + n))
+    start = max(text.rfind(c, 0, found[0].start()) for c in ".!?\n") + 1
+    return NEGATION.search(text, start, found[-1].end()) is not None
+
 
 def parts(pairs: list[tuple[int, int]], gap: int) -> list[list[tuple[int, int]]]:
     """Matches (in text, in template) cut where the text between them is longer than ``gap``."""
@@ -162,8 +210,9 @@ def scan(text: list[str], template: Template, least: float = 0.8) -> list[Match]
             for a in range(0, max(1, len(stretch) - size // 2), step):
                 rows = stretch[a : a + span]
                 for kept in parts([(rows[i], j) for i, j in align([text[r] for r in rows], template.words)], template.gap):
-                    if len(kept) >= least * size and template.holds(kept):
-                        found[len(kept), kept[0][0], kept[-1][0] - kept[0][0] + 1] = None
+                    match = len(kept), kept[0][0], kept[-1][0] - kept[0][0] + 1
+                    if len(kept) >= least * size and template.holds(kept) and template.stands(text, *match[1:], kept[0][1]):
+                        found[match] = None
     every = list(found)
     return [every[i] for i in apart(every)]
 
@@ -191,7 +240,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                 mine = words(text)
                 there = any_.intersection(mine)
                 near = [t for t in all_ if there and t.needed <= there and len(t.words) - len(t.distinct - there) >= least * len(t.words)]
-                found = [(m, t) for t in near for m in scan(mine, t, least)]
+                found = [(m, t) for t in near for m in scan(mine, t, least) if not (t.statement and negated(text, *m[1:]))]
                 for i in apart([m for m, _ in found]):
                     (matched, first, n), t = found[i]
                     out.append((doc, t.name, matched / len(t.words), first, n))

@@ -159,30 +159,36 @@ def lcs(a, b):
     return row[-1]
 
 
+def shown(template):
+    """A template's text as it stands in a document."""
+    return re.sub("[{}]", "", re.sub(r"\s*\[[^]]*\]", "", template))
+
+
 def brute_scan(text, templates, least=0.8):
     """Licenses of a short text by whole-text LCS: names whose phrases are there word for word, best coverage of words."""
     out = {}
     for name, t in templates.items():
-        plain, phrases = words(re.sub("[{}]", "", t)), [words(p) for p in re.findall("{(.*?)}", t)]
-        whole = all(any(text[i : i + len(p)] == p for i in range(len(text))) for p in phrases)
-        if whole and lcs(text, plain) >= least * len(plain):
-            out[name] = lcs(text, plain)
+        plain, phrases, others = words(shown(t)), [words(p) for p in re.findall("{(.*?)}", t)], [words(p) for p in re.findall(r"\[(.*?)\]", t)]
+        there = lambda p: any(text[i : i + len(p)] == p for i in range(len(text)))
+        if all(map(there, phrases)) and not any(map(there, others)) and lcs(text, plain) >= least * len(plain):
+            out[name.partition("/")[0]] = lcs(text, plain)
     return {n for n, x in out.items() if x == max(out.values())}
 
 
 def test_licenses(spark):
     rng = random.Random(29)
     noise = lambda n: " ".join("z%d" % rng.randrange(1000) for _ in range(n))
-    plain = {n: re.sub("[{}]", "", t) for n, t in TEMPLATES.items()}
+    plain = {n: shown(t) for n, t in TEMPLATES.items()}
     rows, want = [(0, None), (1, ""), (2, noise(500)), (None, plain["ISC"])], {(None, "ISC", 1.0): 1}
     for i, (name, text) in enumerate(plain.items()):
         w = text.split()
         rows += [(100 + i, noise(300) + "\n" + text.upper() + "\n" + noise(3000)), (200 + i, text + " " + noise(30) + " " + text + " " + text), (300 + i, " ".join(w[: len(w) // 2])), (300 + i, noise(5))]
+        name, gone = name.partition("/")[0], (4, 5) if name == "HPND" else (8, 9)
         want |= {(100 + i, name, 1.0): 1, (200 + i, name, 1.0): 3}
         if len(w) > 20:
-            cut = [x for k, x in enumerate(w) if k not in (8, 9)]
+            cut = [x for k, x in enumerate(w) if k not in gone]
             rows.append((400 + i, noise(10) + " " + " ".join(cut)))
-            want[400 + i, name, (len(words(text)) - len(words(w[8])) - len(words(w[9]))) / len(words(text))] = 1
+            want[400 + i, name, (len(words(text)) - sum(len(words(w[k])) for k in gone)) / len(words(text))] = 1
     got = {}
     for r in scan_licenses(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, license string")).collect():
         got[r.doc_id, r.license, r.coverage] = got.get((r.doc_id, r.license, r.coverage), 0) + 1
@@ -221,12 +227,58 @@ def test_licenses_that_differ_by_a_word():
         assert brute_scan(words(text), TEMPLATES) == ({name} if name else set())
 
 
+GRANT = shown(TEMPLATES["MIT"]).split(" subject to")[0]
+BSD = shown(TEMPLATES["BSD-2-Clause"])
+#: Notices that are another's but for a clause: each has its own name or none.
+OTHERS = {
+    "HPND": "Permission to use, copy, modify and distribute this software and its documentation for any purpose and without fee is hereby granted, provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation, and that the name of the author not be used in advertising.",
+    "BSD-4-Clause": BSD + " All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the University of California, Berkeley and its contributors. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-3-Clause": BSD + " The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE AUTHOR",
+    "JSON": shown(TEMPLATES["MIT"]) + " The Software shall be used for Good, not Evil.",
+    "MIT-0": GRANT + " THE SOFTWARE IS PROVIDED",
+    "MIT": shown(TEMPLATES["MIT"]) + " THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND",
+    "ISC": shown(TEMPLATES["ISC"]) + " THE SOFTWARE IS PROVIDED AS IS",
+    "BSD-2-Clause": BSD + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS",
+}
+OUTSIDE = [
+    "This is not released under the MIT License.",
+    "It isn’t licensed under the Apache License, Version 2.0.",
+    "Never released under the BSD License.",
+    shown(TEMPLATES["MIT"]) + " Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale.",  # X11
+    BSD.split(" Redistributions in binary")[0] + " THIS SOFTWARE IS PROVIDED",  # BSD-1-Clause
+    BSD.replace("are permitted provided", "are permitted (subject to the limitations in the disclaimer below) provided") + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",  # BSD-3-Clause-Clear
+    BSD + " The end-user documentation included with the redistribution, if any, must include the following acknowledgment: This product includes software developed by the Foundation. The names must not be used to endorse or promote products derived from this software without prior written permission.",  # Apache-1.1
+    BSD + " Subject to the terms and conditions of this license, each copyright holder and contributor hereby grants to those receiving rights under this license a perpetual patent license.",  # BSD-2-Clause-Patent
+    "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies.",  # PostgreSQL
+    "Permission to use, copy, modify, and distribute this software and its documentation for any purpose with or without fee is hereby granted, provided that the above copyright notice appears in all copies and that both the copyright notice and this permission notice appear in supporting documentation.",  # NTP
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of the fonts accompanying this license (Fonts) and associated documentation files (the Font Software), to reproduce and distribute the Font Software, including without limitation the rights to use, copy, merge, publish, distribute, and/or sell copies of the Font Software, and to permit persons to whom the Font Software is furnished to do so, subject to the following conditions: The above copyright and trademark notices and this permission notice shall be included in all copies of one or more of the Font Software typefaces.",  # Bitstream Vera
+    GRANT + " subject to the following conditions: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimers.",  # NCSA
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",  # BSL-1.0
+    "This software is provided as-is, without any express or implied warranty. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",  # Zlib
+    "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",  # WTFPL
+    "As long as you retain this notice you can do whatever you want with this stuff. If we meet some day, and you think this stuff is worth it, you can buy me a beer in return.",  # Beerware
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at this address.",  # EPL-2.0
+    "The contents of this file are subject to the terms of the Common Development and Distribution License, Version 1.0. You may not use this file except in compliance with the License.",  # CDDL-1.0
+    "Licensed under the Educational Community License, Version 2.0; you may not use this file except in compliance with the License.",  # ECL-2.0
+    "Licensed under the EUPL, Version 1.2.",
+]
+
+
+def test_notices_of_other_licenses(spark):
+    rows = [(i, "Copyright (c) 2001 A. Person\n\n" + t) for i, t in enumerate([*OTHERS.values(), *OUTSIDE])]
+    rows += [(100, BSD + " THIS SOFTWARE IS PROVIDED. Copyright 2002 B. " + OTHERS["BSD-3-Clause"]), (101, "This is not free. Released under the MIT License."), (102, "We do not care: it is Released under the MIT License.")]
+    got = {}
+    for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert got == {i: [n] for i, n in enumerate(OTHERS)} | {100: ["BSD-2-Clause", "BSD-3-Clause"], 101: ["MIT (statement)"]}
+
+
 def test_licenses_brute_force():
     """Notices with words dropped, changed and inserted: the same names as by whole-text LCS."""
     rng, templates = random.Random(31), [Template(*x) for x in TEMPLATES.items()]
     some = 0
     for _ in range(400):
-        w = words(re.sub("[{}]", "", rng.choice(list(TEMPLATES.values()))))
+        w = words(shown(rng.choice(list(TEMPLATES.values()))))
         for _ in range(rng.randrange(4)):
             at = rng.randrange(len(w))
             w[at : at + 1] = rng.choice(([], ["zz"], [w[at], "yy"]))
