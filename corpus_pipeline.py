@@ -29,7 +29,10 @@ def _measured(docs: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be toxic go; labels of the held-out fold are not learned from."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).where("predicted = 0").select(*docs.columns)
+    own = {c: fresh(docs, c)[0] for c in docs.columns if c.lower() in ("score", "predicted")}  # columns of the documents, not the score's
+    renamed = docs.withColumnsRenamed(own)
+    kept = score_toxicity(renamed, model).where("predicted = 0").select(*renamed.columns)
+    return kept.withColumnsRenamed({name: c for c, name in own.items()})
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,15 +78,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def made_of(spark: SparkSession, sf_dir: str) -> str:
+    """What a run's tables depend on: the stages, and name, size and time of every input file."""
+    said = [name for name, _ in STAGES]
+    for table in ("documents", "labels"):
+        files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
+        said += map(str, files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first())
+    return "; ".join(said)
+
+
 def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """All stages over ``documents``, each written down before the next.
 
-    ``folder`` keeps the stages' tables, and a run that finds whole ones there goes
-    on after them.  Without it they are in the shared folder, and each goes
+    ``folder`` keeps the stages' tables, and a run that finds whole ones there, made of the same input by the
+    same stages, goes on after them; others go.  Without it they are in the shared folder, and each goes
     once the next is there, or when the run fails.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = folder or f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    if folder:
+        mine, mark = made_of(spark, sf_dir), f"{folder}/made_of"
+        if not written(spark, mark) or spark.read.text(mark).first()[0] != mine:
+            delete(spark, folder)
+            spark.createDataFrame([(mine,)], "value string").coalesce(1).write.text(mark)
     try:
         for n, (_, stage) in enumerate(STAGES):
             path = f"{base}/{n}"
