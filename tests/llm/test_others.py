@@ -353,6 +353,24 @@ def test_pipeline_goes_on_after_a_failure_and_leaves_nothing(spark, tmp_path, mo
     assert corpus_pipeline.run(spark, sf).count() == out.count() and not [p for p in os.listdir(shared) if p.startswith("pipeline-")]
 
 
+def test_pipeline_keeps_columns_named_like_the_score(spark):
+    rows = [(i, "word%d and more of it" % i, 5.0 + i, "p", True) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, Predicted string, _score boolean")
+    out = corpus_pipeline.toxicity(spark, docs, "/root/testdata/sf0.001")
+    assert out.schema == docs.schema and sorted(map(tuple, out.collect())) == rows
+
+
+def test_a_kept_pipeline_is_bound_to_its_input(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", lambda spark, docs, sf_dir: docs.select("doc_id"))])
+    for n in (3, 5):
+        for table in ("documents", "labels"):
+            spark.range(n).withColumnRenamed("id", "doc_id").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / f"in{n}" / f"{table}.parquet"))
+    kept = str(tmp_path / "kept")
+    assert [corpus_pipeline.run(spark, str(tmp_path / f"in{n}"), kept).count() for n in (3, 3, 5)] == [3, 3, 5]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("b", lambda spark, docs, sf_dir: docs.limit(1))])
+    assert corpus_pipeline.run(spark, str(tmp_path / "in5"), kept).count() == 1
+
+
 def test_near_dedup_keeps_one_row_of_a_repeated_document(spark):
     words = " ".join("w%d" % i for i in range(100))
     rows = [(1, words), (1, words), (2, words), (3, words + " x"), (None, words), (4, "alone in this text"), (4, "alone in this text"), (5, "unlike all others"), (6, ""), (6, ""), (None, "no id"), (None, "no id")]
