@@ -343,6 +343,30 @@ def streamed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checkpointed(read.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("asr_text").alias("asr_text")))
 
 
+class Breaks:
+    """Stands for a model that takes its whole task down on some recordings."""
+
+    def transcribe(self, audio: list[str], language: str | None, context: str) -> list[dict]:
+        if any(a.startswith("broken") for a in audio):
+            raise SystemExit("out of memory")
+        return [{"text": a} for a in audio]
+
+
+def shard_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labeled shard by shard, each a job of its own, in order; the sixth breaks: what became of each, and its labels."""
+    shard_id = (F.col("doc_id") % 8).cast("int")
+    audio = F.concat(F.when(shard_id == 5, "broken").otherwise("a"), F.col("doc_id").cast("string"))
+    rows = q.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.lit(0).alias("candidate_index"), F.lit("0").alias("candidate"), audio.alias("audio"), F.col("lang").alias("text"), F.lit("s").alias("source_json"), F.lit(1).alias("num_segments"), F.col("doc_id").alias("record_index"), F.col("doc_id").alias("position"), shard_id.alias("shard_id")
+    )
+    with _folder(spark) as f:
+        run = LabelingRun(spark, f)
+        rows.write.partitionBy("shard_id").parquet(f"{f}/manifest")
+        states = spark.createDataFrame([(n, state) for n, (state, _) in run.transcribe_shards(Breaks, concurrent=1).items()], "shard_id int, state string")
+        labels = run.labels().groupBy((F.col("id").cast("long") % 8).cast("int").alias("shard_id")).agg(F.count(F.lit(1)).alias("labels"))
+        return checkpointed(states.join(labels, "shard_id", "left").select("shard_id", "state", F.coalesce("labels", F.lit(0)).alias("labels")))
+
+
 class CountsFrames:
     """Says one word for each tenth of a second."""
 
@@ -404,6 +428,7 @@ QUERIES = (
     nfkc_texts,
     normalize_exact,
     streamed_labels,
+    shard_jobs,
     labeling_run,
     preparation_rate,
 )
@@ -466,6 +491,8 @@ SELECT k AS record_index, (k // 1000)::VARCHAR AS id, (CASE WHEN rate < 1 THEN 1
         "nfkc_texts": f"SELECT conv_id, turn, {q.NORM.format('text')} AS normalized FROM conversations",
         "normalize_exact": f"SELECT doc_id, {q.NORM.format('nfc_normalize(text)')} AS normalized FROM documents",
         "streamed_labels": "SELECT doc_id::VARCHAR AS id, 1::BIGINT AS n, 'a' || doc_id AS asr_text FROM documents WHERE doc_id % 3 < 2",
+        "shard_jobs": """SELECT (doc_id % 8)::INT AS shard_id, CASE WHEN doc_id % 8 < 5 THEN 'ended' WHEN doc_id % 8 = 5 THEN 'failed' ELSE 'not begun' END AS state,
+  count(*) FILTER (WHERE doc_id % 8 < 5) AS labels FROM documents GROUP BY doc_id % 8""",
         "labeling_run": """WITH g AS (SELECT conv_id, sum(turn % 4 + 1) AS n0, sum((turn + 1) % 4 + 1) AS n1 FROM conversations GROUP BY conv_id)
 SELECT conv_id::VARCHAR AS id, CASE WHEN conv_id % 13 <> 5 THEN 0 END::INT AS best_candidate, CASE WHEN conv_id % 13 <> 5 THEN abs(n1 - n0)::DOUBLE / n0 END AS wer,
   CASE WHEN conv_id % 13 = 5 THEN 'FileNotFoundError' END AS error FROM g""",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from takepick.config import LabelingConfig
 from takepick.operators import collect, prepare, shard
 from takepick.operators.transcribe import Transcriber, transcribe
+from takepick.plans.jobs import ENDED, run_tagged
 from takepick.plans.progress import Progress
 from takepick.schemas import LABEL
 from takepick.sources.audio_files import concat_candidate_audio, not_yet_written, write_wavs
@@ -85,7 +86,9 @@ class LabelingRun:
 
     def labels(self) -> DataFrame:
         path = self._path("labels")
-        return self.spark.read.schema(LABEL).parquet(path) if os.path.exists(path) else self.spark.createDataFrame([], LABEL)
+        if not os.path.exists(path):
+            return self.spark.createDataFrame([], LABEL)
+        return self.spark.read.schema(LABEL).option("recursiveFileLookup", "true").parquet(path)  # shards run by themselves have folders of their own
 
     def status(self) -> DataFrame:
         return shard.shard_status(self.manifest(), self.labels())
@@ -108,6 +111,27 @@ class LabelingRun:
         made.write.mode("append").parquet(self._path("labels"))
         return n
 
+    def transcribe_shards(self, make: Callable[[], Transcriber], concurrent: int = 4, **how) -> dict[int, tuple[str, str | None]]:
+        """Label the shards with remaining work, each by a job of its own; (state, error) of every such shard.
+
+        ``concurrent`` shards run at a time.  A shard that fails, say because its model can't be loaded, leaves
+        no label; it cancels those that run and keeps the rest from beginning.  Labels of shards that ended stay.
+        """
+        c = self.config
+        start = (self.labels().agg(F.max("seq")).first()[0] or 0) + 1
+        todo = checkpointed(shard.todo(self.manifest(), self.labels(), c.overwrite_labels))
+
+        def label(number: int) -> Callable[[], None]:
+            def run() -> None:
+                rows = todo.where(F.col("shard_id") == number).coalesce(1).drop("shard_id", "position", "record_index")
+                made = transcribe(rows, make, c.batch_size, c.language, c.context, **how)
+                made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id()).write.mode("append").parquet(f"{self._path('labels')}/{number:05d}")
+
+            return run
+
+        shards = sorted(r.shard_id for r in todo.select("shard_id").distinct().collect())  # no more than there are workers
+        return run_tagged(self.spark, {n: label(n) for n in shards}, concurrent)
+
     def scored(self) -> DataFrame:
         return collect.score(self.spark.read.parquet(self._path("groups")), self.labels(), self.config.normalize, self.config.tokenizer)
 
@@ -124,8 +148,12 @@ class LabelingRun:
         finally:
             scored.unpersist()
 
-    def run(self, inputs: list[str], make: Callable[[], Transcriber], document: str | None = None) -> DataFrame:
+    def run(self, inputs: list[str], make: Callable[[], Transcriber], document: str | None = None, concurrent: int = 0) -> DataFrame:
+        """All three stages.  With ``concurrent`` each shard is a job of its own, and a failed one stops the run before collection."""
         if not self.prepared() or self.config.overwrite_audio:
             self.prepare(inputs)
-        self.transcribe(make)
+        if not concurrent:
+            self.transcribe(make)
+        elif failed := {n: e for n, (state, e) in self.transcribe_shards(make, concurrent).items() if state != ENDED}:
+            raise RuntimeError(f"{len(failed)} shards did not end: " + "; ".join(f"{n}: {e or 'not begun'}" for n, e in failed.items()))
         return self.collect(document)

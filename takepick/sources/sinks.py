@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from takepick.sources.shared import checkpointed
+
 
 def compact_json(*columns: str | Column) -> Column:
     """One row as JSON without spaces; null fields are written as null."""
@@ -45,17 +51,56 @@ def result_json(results: DataFrame) -> DataFrame:
     return results.select(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"detail":['), F.array_join(detail, ","), F.lit("]}")).alias("value"))
 
 
-def document(results: DataFrame, missing: int) -> Iterator[str]:
-    """Pieces of one indented JSON document with all results, streamed partition by partition."""
-    first = True
-    yield '{\n  "results": ['
-    for row in result_json(results).toLocalIterator():
-        body = json.dumps(json.loads(row.value), ensure_ascii=False, indent=2).replace("\n", "\n    ")
-        yield ("\n    " if first else ",\n    ") + body
-        first = False
-    yield ("" if first else "\n  ") + f'],\n  "missing_labels": {int(missing)}\n}}\n'
+def rendered(results: DataFrame) -> DataFrame:
+    """Each result as it stands in the document, a comma before it; in order of the records, if they are numbered."""
+
+    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [json.dumps(json.loads(x), ensure_ascii=False, indent=2).replace("\n", "\n    ") for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([",\n    " + b for b in bodies], pa.string())], ["value"])
+
+    ordered = results.sort("record_index") if "record_index" in results.columns else results
+    return result_json(ordered).mapInArrow(render, "value string")
 
 
 def write_document(results: DataFrame, missing: int, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        f.writelines(document(results, missing))
+    """One indented JSON document with all results, in a folder that driver and executors share.
+
+    Results are rendered and written down once; the lengths of their partitions say where each one's part
+    begins, and all tasks write their parts of the file at the same time.  A task that is repeated writes the same bytes to the
+    same place, and the file takes its name when it is whole.
+    """
+    head, tail = b'{\n  "results": [', f'],\n  "missing_labels": {int(missing)}\n}}\n'.encode()
+    pieces = checkpointed(rendered(results))
+    sizes = {r.p: r.n for r in pieces.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("value")).cast("long").alias("n")).collect()}
+    at, begins = len(head) - 1, {}  # no comma before the first result: the head is written over it
+    for p in sorted(sizes):
+        begins[p] = at
+        at += sizes[p]
+    tail = (b"\n  " if sizes else b"") + tail
+    at += not sizes
+    unfinished = f"{path}.{uuid.uuid4().hex}"
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        with open(unfinished, "r+b") as f:
+            f.seek(begins.get(TaskContext.get().partitionId(), 0))
+            for batch in batches:
+                n += f.write("".join(batch.column(0).to_pylist()).encode("utf-8"))
+            f.flush()
+            os.fsync(f.fileno())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    try:
+        open(unfinished, "wb").close()
+        done = pieces.mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+        if done != sum(sizes.values()):
+            raise RuntimeError(f"{path}: {done} bytes written of {sum(sizes.values())}")
+        with open(unfinished, "r+b") as f:
+            f.write(head)
+            f.seek(at)
+            f.write(tail)
+        os.replace(unfinished, path)
+    finally:
+        if os.path.exists(unfinished):
+            os.remove(unfinished)

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 import wave
 
 import numpy as np
@@ -14,11 +15,13 @@ from takepick.functions.audio import encode_pcm16, polyphase, resampled
 from takepick.operators import collect, prepare, shard
 from takepick.operators.models import Adapted, model_maker
 from takepick.operators.transcribe import label_batch, read_result, transcribe
+from takepick.plans.jobs import run_tagged
 from takepick.plans.labeling import LabelingRun
 from takepick.queries import EchoTranscriber
+from takepick.schemas import RESULT
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import label_files, read_jsonl, read_records
-from takepick.sources.sinks import append_jsonl, compact_json, document, write_jsonl, write_shards
+from takepick.sources.sinks import append_jsonl, compact_json, result_json, write_document, write_jsonl, write_shards
 from takepick.streaming.labels import stream_labels
 
 
@@ -171,6 +174,47 @@ def test_batches_and_failures(spark):
         transcribe(rows, Fails, 0)
 
 
+def document(results, missing):
+    """The document as one task would write it, row after row."""
+    rows = [json.dumps(json.loads(r.value), ensure_ascii=False, indent=2).replace("\n", "\n    ") for r in result_json(results).collect()]
+    return '{\n  "results": [' + ",".join("\n    " + x for x in rows) + ("\n  " if rows else "") + f'],\n  "missing_labels": {missing}\n}}\n'
+
+
+def test_document_is_written_by_many_tasks(spark, tmp_path):
+    rows = [(i, f"r{i}é本", "t\n" * (i % 5), None if i % 7 == 0 else 0, [(0, None if i % 7 == 0 else i / 3, "x\"\\", "w", "E" if i % 7 == 0 else None)] * (i % 4)) for i in range(500)]
+    results = spark.createDataFrame(rows, "record_index long, " + RESULT).repartition(13)
+    path = str(tmp_path / "result.json")
+    for part in (results, results.where("record_index = 250"), results.limit(0)):
+        write_document(part, 3, path)
+        whole = open(path, encoding="utf-8").read()
+        assert whole == document(part.sort("record_index"), 3)
+        assert [r["id"] for r in json.loads(whole)["results"]] == [r.id for r in part.sort("record_index").collect()]
+    assert os.listdir(tmp_path) == ["result.json"]
+
+
+def test_a_failed_shard_stops_the_others(spark, tmp_path):
+    running = str(tmp_path / "running")
+
+    def slow():
+        def wait(batches):
+            open(running, "w").close()
+            time.sleep(120)
+            yield from batches
+
+        spark.range(0, 1, 1, 1).mapInArrow(wait, "id long").collect()
+
+    def fail():
+        while not os.path.exists(running):
+            time.sleep(0.05)
+        spark.range(1).select(F.raise_error(F.lit("no model"))).collect()
+
+    began = time.monotonic()
+    got = run_tagged(spark, {"a": lambda: spark.range(3).count(), "b": slow, "c": fail, "d": lambda: spark.range(3).count()}, 2)
+    assert [got[x][0] for x in "abcd"] == ["ended", "cancelled", "failed", "not begun"] and "no model" in got["c"][1]
+    assert time.monotonic() - began < 60
+    assert run_tagged(spark, {}, 1) == {} and run_tagged(spark, {1: lambda: None}, 1) == {1: ("ended", None)}
+
+
 def test_collection(spark):
     nested = "record_index long, id string, text string, candidates array<struct<candidate_index int, candidate string, audio string>>"
     groups = spark.createDataFrame(
@@ -188,10 +232,10 @@ def test_collection(spark):
     assert collect.missing_labels(scored).first()[0] == 2
     short = {r.id: tuple(r)[2:] for r in collect.best_of(groups, labels).collect()}
     assert short == {"a": (0, 0.5, 0, 1), "b": (0, 1.0, 1, 1), "c": (None, None, 1, 1)}
-    whole = json.loads("".join(document(collect.results(scored), 2)))
+    whole = json.loads(document(collect.results(scored), 2))
     first = next(r for r in whole["results"] if r["id"] == "a")["detail"]
     assert whole["missing_labels"] == 2 and "error" not in first[0] and first[2]["wer"] is None and first[2]["error"] == "E"
-    assert json.loads("".join(document(collect.results(scored).limit(0), 0))) == {"results": [], "missing_labels": 0}
+    assert json.loads(document(collect.results(scored).limit(0), 0)) == {"results": [], "missing_labels": 0}
 
 
 def test_records_that_repeat_an_id_and_a_text(spark):
