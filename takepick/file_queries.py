@@ -405,6 +405,19 @@ def preparation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("user_id", F.round(progress.rate(F.col("n"), F.col("seconds")), 6).alias("rate"))
 
 
+def progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables written under watch: rows by the intervals noted while they were, and failed ones (events below 10, documents in German)."""
+    tables = {"events": F.col("value") < 10, "documents": F.col("lang") == "de"}
+    out = []
+    with _folder(spark) as f:
+        for name, failed in tables.items():
+            with progress.Progress(spark, name, 0.2) as watched:
+                watched.watch(q.table(spark, sf_dir, name), failed).write.parquet(f"{f}/{name}")
+            done = watched.done()
+            out.append((name, sum(n for _, n in watched.intervals), done["failed"]))
+    return spark.createDataFrame(out, "name string, completed long, failed long")
+
+
 QUERIES = (
     scan_jsonl,
     scan_arrays,
@@ -431,6 +444,7 @@ QUERIES = (
     shard_jobs,
     labeling_run,
     preparation_rate,
+    progress_counts,
 )
 
 
@@ -496,5 +510,7 @@ SELECT k AS record_index, (k // 1000)::VARCHAR AS id, (CASE WHEN rate < 1 THEN 1
         "labeling_run": """WITH g AS (SELECT conv_id, sum(turn % 4 + 1) AS n0, sum((turn + 1) % 4 + 1) AS n1 FROM conversations GROUP BY conv_id)
 SELECT conv_id::VARCHAR AS id, CASE WHEN conv_id % 13 <> 5 THEN 0 END::INT AS best_candidate, CASE WHEN conv_id % 13 <> 5 THEN abs(n1 - n0)::DOUBLE / n0 END AS wer,
   CASE WHEN conv_id % 13 = 5 THEN 'FileNotFoundError' END AS error FROM g""",
+        "progress_counts": """SELECT 'events' AS name, count(*) AS completed, count(*) FILTER (WHERE value < 10) AS failed FROM events
+UNION ALL SELECT 'documents', count(*), count(*) FILTER (WHERE lang = 'de') FROM documents""",
         "preparation_rate": "SELECT user_id, round(count(*) / greatest(0.001, max(value)), 6) AS rate FROM events GROUP BY user_id",
     }

@@ -57,8 +57,8 @@ class LabelingRun:
         if not files:
             raise FileNotFoundError("no input files")
         valid = prepare.validate(read_records(self.spark, files), self.config)
-        progress = Progress("validation")
-        progress.watch(valid, F.col("error").isNotNull()).write.mode("overwrite").parquet(self._path("validated"))
+        with Progress(self.spark, "validation") as progress:
+            progress.watch(valid, F.col("error").isNotNull()).write.mode("overwrite").parquet(self._path("validated"))
         progress.done()
         valid = self.spark.read.parquet(self._path("validated"))
         wavs = self._path("prepared_audio")
@@ -108,7 +108,9 @@ class LabelingRun:
         start = (self.labels().agg(F.max("seq")).first()[0] or 0) + 1
         made = transcribe(todo.repartition(min(c.workers, n)).drop("shard_id", "position", "record_index"), make, c.batch_size, c.language, c.context, **how)
         made = made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id())
-        made.write.mode("append").parquet(self._path("labels"))
+        with Progress(self.spark, "labels") as progress:
+            progress.watch(made, F.col("error").isNotNull()).write.mode("append").parquet(self._path("labels"))
+        progress.done()
         return n
 
     def transcribe_shards(self, make: Callable[[], Transcriber], concurrent: int = 4, **how) -> dict[int, tuple[str, str | None]]:

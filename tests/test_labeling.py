@@ -17,6 +17,7 @@ from takepick.operators.models import Adapted, model_maker
 from takepick.operators.transcribe import label_batch, read_result, transcribe
 from takepick.plans.jobs import run_tagged
 from takepick.plans.labeling import LabelingRun
+from takepick.plans.progress import Progress
 from takepick.queries import EchoTranscriber
 from takepick.schemas import RESULT
 from takepick.sources.listing import expand_paths
@@ -192,6 +193,24 @@ def test_document_is_written_by_many_tasks(spark, tmp_path):
     assert os.listdir(tmp_path) == ["result.json"]
 
 
+def test_progress_while_a_stage_runs(spark, tmp_path, caplog):
+    def slow(batches):
+        for b in batches:
+            time.sleep(0.5)
+            yield b
+
+    caplog.set_level("INFO", "takepick")
+    spark.range(5).write.parquet(str(tmp_path / "other"))  # rows of other jobs don't count
+    with Progress(spark, "slow", 0.1) as p:
+        p.watch(spark.range(0, 4000, 1, 16).mapInArrow(slow, "id long"), F.col("id") % 10 == 0).write.parquet(str(tmp_path / "t"))
+    done = p.done()
+    assert (done["completed"], done["failed"]) == (4000, 400) and sum(n for _, n in p.intervals) == 4000
+    assert sum(n > 0 for _, n in p.intervals) > 1 and [t for t, _ in p.intervals] == sorted(t for t, _ in p.intervals)
+    assert any("rows so far" in r.message for r in caplog.records) and "4000 rows, 400 failed" in caplog.records[-1].message
+    with pytest.raises(ValueError):
+        Progress(spark, "x", 0)
+
+
 def test_a_failed_shard_stops_the_others(spark, tmp_path):
     running = str(tmp_path / "running")
 
