@@ -3,10 +3,13 @@
 The gear hash of a byte covers the 16 bytes up to it, so a chunk's ends depend on
 the text near them alone and an insertion changes the chunks around it, no more.
 A byte ends a chunk if its hash is below a threshold (a chunk in ``mean`` bytes),
-no other byte of the 8 before it does so, and a character ends there.
+no other byte of the 8 before it does so, and a character ends there.  Text of a short
+period may have no such byte at all.  So a stretch of more than ``LONG`` bytes without one is cut where the hash is least
+among the ``NEAR`` bytes before and after, in steps of ``mean`` bytes at least: in periodic text that is one
+phase of the period, wherever the stretch begins.
 
 Texts are chunked once; each document's digests are written down.  A chunk's
-96-bit digest (of 10^12 distinct chunks any two share one with probability 10^-5) is grouped once over the corpus: the document of least id
+128-bit digest (of 10^12 distinct chunks any two share one with probability 10^-15) is grouped once over the corpus: the document of least id
 holds the original.  Chunks that have an original elsewhere are joined into runs,
 and a run of at least ``min_bytes`` is a duplicate span; short chunks alone,
 which any two texts may share, are not.  Both exchanges carry digests and places,
@@ -17,6 +20,7 @@ does not gather in one task.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +31,52 @@ from pyspark.sql import functions as F
 from takepick.llm.common import Scratch, fresh, let, mix, stream, text_batches
 
 WINDOW = 16
+LONG, NEAR = 160, 64
+GAP = max(WINDOW, NEAR)  # bytes between texts, so that none has a part in another's hashes
 GEAR = (stream(256, 53) >> np.uint64(20)).astype(np.uint16)
 
 
+def _least(h: np.ndarray) -> np.ndarray:
+    """The least of the ``NEAR`` values up to each place."""
+    m, k = h.copy(), 1
+    while k < NEAR:
+        m[k:] = np.minimum(m[k:], m[:-k])
+        k *= 2
+    return m
+
+
+def _within_stretches(h: np.ndarray, data: np.ndarray, at: np.ndarray, base: np.ndarray, sizes: np.ndarray, mean: int) -> np.ndarray:
+    """Last bytes of chunks within long stretches without a cut."""
+    bounds = np.unique(np.concatenate((base, at + 1, base + sizes)))  # with the gaps between texts, which are short
+    first, length = bounds[:-1], np.diff(bounds)
+    first, length = first[length > LONG], length[length > LONG]
+    if not len(first):
+        return np.zeros(0, np.int64)
+    stretch = np.zeros(len(data) + 1, np.int8)
+    np.add.at(stretch, first, 1)
+    np.add.at(stretch, first + length - 1, -1)  # but its last byte, which may be a cut
+    stretch = np.cumsum(stretch[:-1]).astype(bool)
+    v = np.where(stretch, h, np.uint16(0xFFFF))
+    cut = stretch & (v <= _least(v)) & (v <= _least(v[::-1])[::-1])
+    cut[:-1] &= (data[1:] & 0xC0) != 0x80
+    places, out = np.flatnonzero(cut), []
+    ends = np.searchsorted(places, first + length)
+    for a, z, i in zip(first.tolist(), ends.tolist(), np.searchsorted(places, first).tolist()):
+        mine = places[i:z].tolist()
+        k = bisect_left(mine, a + 8)
+        while k < len(mine):
+            out.append(mine[k])
+            k = bisect_left(mine, mine[k] + mean, k)
+    return np.array(out, np.int64)
+
+
 def chunk(texts: list[str | None], mean: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, start, length, digest) of all chunks, in bytes, in order; a digest is two words."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    gap = bytes(WINDOW)
+    gap = bytes(GAP)
     data = np.frombuffer(gap.join(raw) + gap, np.uint8)
     sizes = np.fromiter((len(r) for r in raw), np.int64, len(raw))
-    base = np.concatenate(([0], np.cumsum(sizes + WINDOW)))[:-1]
+    base = np.concatenate(([0], np.cumsum(sizes + GAP)))[:-1]
     inside = np.zeros(len(data) + 1, np.int8)
     np.add.at(inside, base, 1)
     np.add.at(inside, base + sizes, -1)
@@ -51,7 +91,8 @@ def chunk(texts: list[str | None], mean: int = 24) -> tuple[np.ndarray, np.ndarr
         lone = np.ones(len(at), bool)
         lone[1:] = np.diff(at) > 8
         at = at[lone]
-    ends = np.unique(np.concatenate((at + 1, (base + sizes)[sizes > 0])))
+    more = _within_stretches(h, data, at, base, sizes, mean)
+    ends = np.unique(np.concatenate((at + 1, more + 1, (base + sizes)[sizes > 0])))
     if not len(ends):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, np.zeros((0, 2), np.uint64)
@@ -88,7 +129,7 @@ def duplicate_spans(docs: DataFrame, mean: int = 24, min_bytes: int = 100, id_co
             again = np.zeros(len(doc), bool)
             again[order[1:]] = within & (doc[order[1:]] == doc[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
             cuts = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32())
-            columns = (digest[:, 0].view(np.int64), (digest[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32), again, start.astype(np.int32), length.astype(np.int32))
+            columns = (digest[:, 0].copy().view(np.int64), digest[:, 1].copy().view(np.int64), again, start.astype(np.int32), length.astype(np.int32))
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in columns]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), batch.column("text_hash"), *lists], ["rid", "doc_id", "text_hash", "a", "b", "again", "start", "length"])
 
@@ -96,7 +137,7 @@ def duplicate_spans(docs: DataFrame, mean: int = 24, min_bytes: int = 100, id_co
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).where("doc_id is not null")
     with Scratch(docs.sparkSession) as s:
         source = source.withColumn("rid", F.monotonically_increasing_id())
-        described = s.table(source.mapInArrow(run, "rid long, doc_id long, text_hash long, a array<long>, b array<int>, again array<boolean>, start array<int>, length array<int>"))
+        described = s.table(source.mapInArrow(run, "rid long, doc_id long, text_hash long, a array<long>, b array<long>, again array<boolean>, start array<int>, length array<int>"))
         # rows of a chunk are its digest, its text's number and its own number there: all that both exchanges carry
         chunks = described.select("rid", "doc_id", F.posexplode(F.arrays_zip("a", "b", "again")).alias("n", "c")).select("rid", "doc_id", "n", "c.*")
         repeated, mine = (F.max("again"), ["again"]) if within else (F.lit(False), [])

@@ -243,13 +243,25 @@ def brute_spans(rows, within, mean=24, least=100):
     cut = {}
     for i, t in rows:
         raw, ends, last = (t or "").encode(), [], None
+        h = [sum(gear[raw[p - k]] << k for k in range(16) if p >= k) & 0xFFFF for p in range(len(raw))]
+        whole = [p + 1 == len(raw) or raw[p + 1] & 0xC0 != 0x80 for p in range(len(raw))]
         for p in range(len(raw)):
-            h = sum(gear[raw[p - k]] << k for k in range(16) if p >= k) & 0xFFFF
-            if h < (1 << 16) // mean and (p + 1 == len(raw) or raw[p + 1] & 0xC0 != 0x80):
+            if h[p] < (1 << 16) // mean and whole[p]:
                 if last is None or p - last > 8:
                     ends.append(p + 1)
                 last = p
         ends = sorted({*ends, len(raw)} - {0})
+        long = [(a, b) for a, b in zip([0, *ends], ends) if b - a > 160]
+        v = [0xFFFF] * len(raw)
+        for a, b in long:
+            v[a : b - 1] = h[a : b - 1]
+        for a, b in long:
+            go = a + 8
+            for p in range(a, b - 1):
+                if p >= go and whole[p] and v[p] == min(v[max(0, p - 63) : p + 64]):
+                    ends.append(p + 1)
+                    go = p + mean
+        ends = sorted(ends)
         cut[i, t] = [(a, raw[a:b]) for a, b in zip([0, *ends], ends)]
     for i, t in rows:
         for _, c in cut[i, t] if i is not None else ():
@@ -280,6 +292,21 @@ def test_spans_brute_force(spark):
         assert got == brute_spans(rows, within) and len(got) > 30
 
 
+def test_periodic_passages_are_found(spark):
+    """Passages of one to four words over and over, at other places of two documents each."""
+    rng = random.Random(59)
+    rows, size = [], {}
+    for i in range(300):
+        period = " ".join("".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 5)))
+        text = " ".join([period] * 300)[: 60 * 8]
+        rows += [(i, passage(rng, 20, "u") + " " + text + " " + passage(rng, 20, "v")), (1000 + i, passage(rng, rng.randrange(9, 30), "x") + " " + text + " " + passage(rng, 9, "y"))]
+        size[1000 + i] = len(text)
+    found = {}
+    for r in duplicate_spans(frame(spark, rows)).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.length
+    assert sum(found.get(i, 0) >= 0.6 * n for i, n in size.items()) >= 0.9 * len(size)
+
+
 def test_a_hot_passage_and_one_document_repeated(spark):
     rng = random.Random(13)
     hot = passage(rng, 70, "h")
@@ -302,7 +329,7 @@ def test_very_long_texts(spark):
     spans = {}
     for r in duplicate_spans(docs).collect():
         spans[r.doc_id] = spans.get(r.doc_id, 0) + r.length
-    assert set(spans) == {2, 3, 4} and spans[2] == len(whole.encode()) and spans[4] > 0.99 * len(rows[3][1])
+    assert set(spans) == {2, 3, 4, 6} and spans[6] > 999_000 and spans[2] == len(whole.encode()) and spans[4] > 0.99 * len(rows[3][1])
     kept = {r.doc_id: (r.kept, r.group_size) for r in exact_dedup(docs).collect()}
     assert kept == {1: (False, 2), 2: (True, 2), 3: (True, 1), 4: (True, 1), 5: (True, 1), 6: (True, 1)}
 
