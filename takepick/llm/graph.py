@@ -31,3 +31,19 @@ def components(s: Scratch, links: DataFrame) -> DataFrame:
             break
         before = state
     return s.table(edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct())
+
+
+def merged(s: Scratch, labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, label) after more links: only they go through the rounds, between the components there are."""
+    if labels is None:
+        return components(s, links)
+    now = links
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), F.col("label").alias("known"))
+        now = now.join(known, end, "left").withColumn(end, F.coalesce("known", end)).drop("known")
+    now = s.table(now.where("a <> b").distinct())
+    if now.isEmpty():
+        return labels
+    new = components(s, now)
+    moved = labels.join(new.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return s.table(moved.unionAll(new.join(labels.select("node"), "node", "left_anti").select("node", "label")))

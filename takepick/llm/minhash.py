@@ -7,8 +7,10 @@ coordinate is filled for every set, agrees with probability equal to the Jaccard
 similarity, and has the concentration of t independent draws.
 
 Texts of equal words form one class (by a 128-bit digest of the word sequence), of
-which one row goes on.  A group (at first a bucket, that is an equal band) is never
-expanded into its pairs.  Each member is compared with the group's most central
+which one row goes on.  A group (at first a bucket, that is an equal band) is not
+expanded into its pairs, unless it is one of shared differences (below) with ``SMALL`` members at the most: there
+those of different components that may be linked at all are compared, which gives the same links in fewer rounds.
+In all others each member is compared with the group's most central
 member, its lead, on full shingle sets; connected components are formed.  In a group that then
 still holds several components, members are described by their differences from the
 lead: shingles added and shingles missing.  Of two members of different components one is not linked with
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from takepick.llm.common import Scratch, Words, mix, sets_of_shingles, stream, text_batches
-from takepick.llm.graph import components
+from takepick.llm.graph import merged
 
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 SMALL = 256  # largest group whose members are compared without a lead
@@ -199,10 +201,10 @@ def near_duplicates(
         leads = groups.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
         # first each member with the most central lead that it may be linked with at all
         tried = groups.join(leads, "key").select("rid", "n", "shared", "l", "l.*").where(F.col("lead") != F.col("rid")).where(possible("", "lead_"))
-        links = [linked(tried.groupBy(F.col("rid").alias("a")).agg(F.min("l.lead").alias("b")))]
+        labels, links = None, [linked(tried.groupBy(F.col("rid").alias("a")).agg(F.min("l.lead").alias("b")))]
         small = 1  # a bucket has no differences yet
         while True:
-            labels = components(s, reduce(DataFrame.unionAll, links))
+            labels, links = merged(s, labels, reduce(DataFrame.unionAll, links)), []
             named = groups.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
             open_ = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.min(central).alias("l")).where("low <> high")
             open_ = s.table(named.join(open_.select("key", "m", "l.lead"), "key"))
@@ -228,7 +230,8 @@ def near_duplicates(
             several = several.where("any_n > 1 or near_n > 0 and far_n > 0").select("key", "near_n")
             groups = s.table(held.join(several, "key").where("any or near_n > 0").drop("near_n").join(sizes, "rid"))
             small = SMALL
-        labels = components(s, reduce(DataFrame.unionAll, links))
+        for more in links:
+            labels = merged(s, labels, more)
         # back to all rows
         of_class = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("k1", "k2", F.coalesce("label", "rid").alias("label"))
         out = described.drop("bands").join(of_class, ["k1", "k2"], "left").withColumn("label", F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("rid")))

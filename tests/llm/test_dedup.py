@@ -8,7 +8,7 @@ import numpy as np
 
 from takepick.llm import exact_dedup as exact_module
 from takepick.llm.exact_dedup import exact_dedup
-from takepick.llm.graph import components
+from takepick.llm.graph import components, merged
 from takepick.llm import line_dedup
 from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines
 from takepick.llm.common import Scratch, Words, sets_of_shingles
@@ -186,6 +186,23 @@ def test_components_of_a_long_path_and_a_hub(spark):
         assert components(s, spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_links_that_come_later(spark):
+    """Components of links in parts equal those of all links at once."""
+    rng = random.Random(61)
+    parts = [[(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (15, 1, 12, 3)] + [[(70, 71), (71, 0)], [(70, 0)]]
+    with Scratch(spark) as s:
+        labels, every = None, []
+        for part in parts:
+            every += part
+            labels = merged(s, labels, spark.createDataFrame([x for x in part if x[0] != x[1]] or [(0, 0)], "a long, b long"))
+            root = {x: x for p in every for x in p}
+            for _ in root:
+                for a, b in every:
+                    root[a] = root[b] = min(root[a], root[b])
+            got = {r.node: r.label for r in labels.collect()}
+            assert labels.count() == len(got) and all(got.get(x, x) == root[x] for x in root)
+
+
 def test_chunks_cover_texts_and_resist_shifts():
     rng = random.Random(7)
     text = " ".join("wörd%d" % rng.randrange(10**4) for _ in range(400))
