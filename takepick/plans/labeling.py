@@ -13,8 +13,8 @@ from takepick.operators import collect, prepare, shard
 from takepick.operators.transcribe import Transcriber, transcribe
 from takepick.plans.jobs import ENDED, run_tagged
 from takepick.plans.progress import Progress
-from takepick.schemas import LABEL
 from takepick.sources.audio_files import concat_candidate_audio, not_yet_written, write_wavs
+from takepick.sources.label_store import LabelStore
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import read_records
 from takepick.sources.shared import checkpointed, delete
@@ -26,6 +26,7 @@ class LabelingRun:
 
     def __init__(self, spark: SparkSession, folder: str, config: LabelingConfig = LabelingConfig()):
         self.spark, self.folder, self.config = spark, os.path.abspath(folder), config
+        self.store = LabelStore(spark, self._path("labels"))
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -85,10 +86,7 @@ class LabelingRun:
         return self.spark.read.parquet(self._path("manifest"))
 
     def labels(self) -> DataFrame:
-        path = self._path("labels")
-        if not os.path.exists(path):
-            return self.spark.createDataFrame([], LABEL)
-        return self.spark.read.schema(LABEL).option("recursiveFileLookup", "true").parquet(path)  # shards run by themselves have folders of their own
+        return self.store.labels()
 
     def status(self) -> DataFrame:
         return shard.shard_status(self.manifest(), self.labels())
@@ -98,18 +96,18 @@ class LabelingRun:
 
         Labels are appended with a sequence number above all before, so the last
         label of a key is well defined and a run that was cut short is repeated
-        without harm.
+        without harm.  Labels are summed up by key first, so that none is read
+        twice to find what remains.
         """
         c = self.config
-        todo = shard.todo(self.manifest(), self.labels(), c.overwrite_labels)
+        self.store.compact()
+        todo = self.store.todo(self.manifest(), c.overwrite_labels)
         n = todo.count()
         if not n:
             return 0
-        start = (self.labels().agg(F.max("seq")).first()[0] or 0) + 1
         made = transcribe(todo.repartition(min(c.workers, n)).drop("shard_id", "position", "record_index"), make, c.batch_size, c.language, c.context, **how)
-        made = made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id())
         with Progress(self.spark, "labels") as progress:
-            progress.watch(made, F.col("error").isNotNull()).write.mode("append").parquet(self._path("labels"))
+            self.store.append(progress.watch(made, F.col("error").isNotNull()), self.store.begin())
         progress.done()
         return n
 
@@ -120,14 +118,15 @@ class LabelingRun:
         no label; it cancels those that run and keeps the rest from beginning.  Labels of shards that ended stay.
         """
         c = self.config
-        start = (self.labels().agg(F.max("seq")).first()[0] or 0) + 1
-        todo = checkpointed(shard.todo(self.manifest(), self.labels(), c.overwrite_labels))
+        start = self.store.begin()
+        self.store.compact()
+        todo = checkpointed(self.store.todo(self.manifest(), c.overwrite_labels))
 
         def label(number: int) -> Callable[[], None]:
             def run() -> None:
                 rows = todo.where(F.col("shard_id") == number).coalesce(1).drop("shard_id", "position", "record_index")
                 made = transcribe(rows, make, c.batch_size, c.language, c.context, **how)
-                made.withColumn("seq", F.lit(start) + F.monotonically_increasing_id()).write.mode("append").parquet(f"{self._path('labels')}/{number:05d}")
+                self.store.append(made, start, number)
 
             return run
 

@@ -53,6 +53,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(plain(x) for x in (_urls(spark, found) if found else []) if hidden or not os.path.basename(x).startswith("."))
 
 
+def inside(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder, sorted; nothing if it isn't there."""
+    p, files = _system(spark, folder)
+    return sorted(plain(x) for x in _urls(spark, files.listStatus(p))) if files.exists(p) else []
+
+
 def expand_paths(spark: SparkSession, values: list[str]) -> list[str]:
     """Files of globs, folders (their .json, then .jsonl files) and literal paths, each once, first place kept.
 
