@@ -29,6 +29,7 @@ from takepick.plans.labeling import LabelingRun
 from takepick.schemas import LABEL
 from takepick.sources import sinks
 from takepick.sources.audio_files import read_audio, write_wavs
+from takepick.sources.label_store import LabelStore
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import label_files, read_jsonl, read_records
 from takepick.sources.shared import checkpointed, delete, shared_dir
@@ -261,6 +262,34 @@ def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+class Single:
+    """Refuses lists of more than one recording, and in ``generate`` all lists."""
+
+    def transcribe(self, audio: list[str], language: str = "none") -> list:
+        (one,) = audio if len(audio) == 1 else (None,)
+        return [{"text": f"{language} single " + one}]
+
+    def generate(self, audio: str) -> dict:
+        return {"text": "generate " + os.path.basename(audio)}
+
+
+class Next:
+    """Its ``transcribe`` takes one recording, its ``generate`` lists."""
+
+    def transcribe(self, audio: str) -> dict:
+        return {"text": "transcribe " + os.path.basename(audio)}
+
+    def generate(self, audio: list[str], context: str = "") -> list:
+        return [{"text": f"{context} next {a}"} for a in audio]
+
+
+def refused_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models whose first method refuses a list: the next method gets it; if there is none that takes it, lists of one."""
+    manifest = q.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn").alias("audio"))
+    parts = [transcribe(manifest.where(F.col("turn") % 2 == n), lambda kind=kind: Adapted(kind()), 8, "de", "about").select("conv_id", "turn", "asr_text", "error") for n, kind in enumerate((Single, Next))]
+    return parts[0].unionAll(parts[1])
+
+
 class Package:
     """Stands for the model class of another package, with both ways to load a model."""
 
@@ -343,6 +372,36 @@ def streamed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checkpointed(read.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("asr_text").alias("asr_text")))
 
 
+def stored_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains after three batches of labels, two of them summed up by key, the third as it was written."""
+    labels = q.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), F.lit(0).alias("candidate_index"), F.when(F.col("quality") == 0, "RuntimeError: low").alias("error"), "doc_id")
+    with _folder(spark) as f:
+        store = LabelStore(spark, f"{f}/labels")
+        for n in range(3):
+            store.append(labels.where(F.pmod("doc_id", F.lit(3)) == n).drop("doc_id"), store.begin())
+            if n < 2:
+                store.compact()
+        return checkpointed(store.todo(q._manifest(spark, sf_dir)).select("doc_id"))
+
+
+def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as labels in batches, of users who come back: each key's success, last batch, and whether its number is the last one's."""
+    rows = q.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("id"), (F.col("event_id") % 3).cast("int").alias("candidate_index"), F.when(F.col("value") < 10, "E").alias("error"), F.col("event_type").alias("asr_text"), "event_id"
+    )
+    with _folder(spark) as f:
+        store, begun = LabelStore(spark, f"{f}/labels", 16), []
+        for n in range(4):
+            begun.append(store.begin())
+            store.append(rows.where(F.col("event_id") % 7 % 4 == n).drop("event_id"), begun[-1])
+            if n % 2:
+                store.compact()
+        batch = sum((F.when(F.col("seq") >= b, 1).otherwise(0) for b in begun), F.lit(-1))
+        numbers = store.labels().groupBy("id", "candidate_index").agg(F.max("seq").alias("highest"))
+        keys = store.last().join(numbers, ["id", "candidate_index"], "full_outer")
+        return checkpointed(keys.select("id", "candidate_index", "done", batch.alias("last_batch"), F.equal_null("seq", "highest").alias("is_last")))
+
+
 class Breaks:
     """Stands for a model that takes its whole task down on some recordings."""
 
@@ -435,12 +494,15 @@ QUERIES = (
     argument_checks,
     transcribe_failures,
     model_calls,
+    refused_lists,
     loaded_models,
     result_document,
     repeated_ids,
     nfkc_texts,
     normalize_exact,
     streamed_labels,
+    stored_todo,
+    stored_keys,
     shard_jobs,
     labeling_run,
     preparation_rate,
@@ -493,6 +555,7 @@ FROM (SELECT conv_id, string_agg(CASE turn % 9 WHEN 5 THEN '1.5' WHEN 6 THEN 'Tr
   CASE WHEN turn % 10 = 3 THEN NULL WHEN d = 0 THEN 'xx' ELSE 'en' END AS language, CASE WHEN turn % 10 = 3 THEN 'RuntimeError: no signal' END AS error,
   CASE WHEN turn % 10 <> 3 AND d = 0 THEN '{"score": 1}' END AS asr_extra FROM (SELECT *, turn % 10 % 4 AS d FROM conversations)""",
         "model_calls": """SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'about ' WHEN 1 THEN 'de ' ELSE 'call ' END || conv_id || '-' || turn AS asr_text, NULL::VARCHAR AS error FROM conversations""",
+        "refused_lists": "SELECT conv_id, turn, CASE turn % 2 WHEN 0 THEN 'de single ' ELSE 'about next ' END || conv_id || '-' || turn AS asr_text, NULL::VARCHAR AS error FROM conversations",
         "loaded_models": """SELECT conv_id, turn, CASE turn % 2 WHEN 0 THEN 'LLM m 8 1024 gpu_memory_utilization=0.7 max_model_len=99 tensor_parallel_size=1 ' ELSE 'pretrained m 4 1024 ' END
   || conv_id || '-' || turn AS asr_text, NULL::VARCHAR AS error FROM conversations""",
         "result_document": f"""WITH RECURSIVE {q.CANDIDATES}, {q._distance(q.RATED)}
@@ -505,6 +568,9 @@ SELECT k AS record_index, (k // 1000)::VARCHAR AS id, (CASE WHEN rate < 1 THEN 1
         "nfkc_texts": f"SELECT conv_id, turn, {q.NORM.format('text')} AS normalized FROM conversations",
         "normalize_exact": f"SELECT doc_id, {q.NORM.format('nfc_normalize(text)')} AS normalized FROM documents",
         "streamed_labels": "SELECT doc_id::VARCHAR AS id, 1::BIGINT AS n, 'a' || doc_id AS asr_text FROM documents WHERE doc_id % 3 < 2",
+        "stored_todo": q.oracle_sql()["resume_todo"],
+        "stored_keys": """SELECT user_id::VARCHAR AS id, (event_id % 3)::INT AS candidate_index, bool_or(value IS NULL OR value >= 10) AS done,
+  max(event_id % 7 % 4)::INT AS last_batch, true AS is_last FROM events GROUP BY user_id, event_id % 3""",
         "shard_jobs": """SELECT (doc_id % 8)::INT AS shard_id, CASE WHEN doc_id % 8 < 5 THEN 'ended' WHEN doc_id % 8 = 5 THEN 'failed' ELSE 'not begun' END AS state,
   count(*) FILTER (WHERE doc_id % 8 < 5) AS labels FROM documents GROUP BY doc_id % 8""",
         "labeling_run": """WITH g AS (SELECT conv_id, sum(turn % 4 + 1) AS n0, sum((turn + 1) % 4 + 1) AS n1 FROM conversations GROUP BY conv_id)

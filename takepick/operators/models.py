@@ -28,8 +28,10 @@ class Adapted:
     """A model with any of ``METHODS`` as a ``Transcriber``.
 
     Language and context are handed over where the method takes them.  One result
-    for several recordings counts as a list of one; a method that refuses a list
-    gets the recordings one by one.
+    for several recordings counts as a list of one.  A method that refuses a list,
+    by its signature or with a ``TypeError``, leaves it to the next one.  If all
+    refuse it, the first gets lists of one recording, and where it refuses these
+    too, each recording by itself.
     """
 
     def __init__(self, model: Any):
@@ -37,16 +39,25 @@ class Adapted:
 
     def transcribe(self, audio: Sequence[str], language: str | None, context: str) -> list[Any]:
         options = {k: v for k, v in (("language", language), ("context", context)) if v}
-        for name in METHODS:
-            method = getattr(self.model, name, None)
-            if not callable(method) or not _accepts(method, {}):
-                continue
-            given = {k: v for k, v in options.items() if _accepts(method, {k: v})}
+        methods = [m for m in (getattr(self.model, n, None) for n in METHODS) if callable(m)]
+        if not methods:
+            raise TypeError(f"{type(self.model).__name__} has none of {', '.join(METHODS)}")
+        for method in methods:
             try:
-                return self._list(method(list(audio), **given))
+                return self._call(method, list(audio), options)
             except TypeError:
-                return [r for a in audio for r in self._list(method(a, **given))]
-        raise TypeError(f"{type(self.model).__name__} has none of {', '.join(METHODS)}")
+                continue
+        first = next((m for m in methods if _accepts(m, {})), methods[0])
+        return [r for a in audio for r in self._single(first, a, options)]
+
+    def _call(self, method: Callable, given: Any, options: dict[str, Any]) -> list[Any]:
+        return self._list(method(given, **{k: v for k, v in options.items() if _accepts(method, {k: v})}))
+
+    def _single(self, method: Callable, audio: str, options: dict[str, Any]) -> list[Any]:
+        try:
+            return self._call(method, [audio], options)
+        except TypeError:
+            return self._call(method, audio, options)
 
     @staticmethod
     def _list(results: Any) -> list[Any]:

@@ -269,6 +269,18 @@ def test_models_of_other_interfaces():
     assert Adapted(each).transcribe(["a", "b"], "x", "ignored") == [{"text": "xa"}, {"text": "xb"}]
     one = type("One", (), {"generate": lambda self, audio: {"text": audio[0]}})()
     assert Adapted(one).transcribe(["a"], "de", "c") == [{"text": "a"}]
+    seen = []
+
+    class Refuses:
+        def transcribe(self, audio):
+            seen.append(audio)
+            if len(audio) > 1 or audio == ["bad"]:
+                raise TypeError("one at a time")
+            return [{"text": audio[0]}]
+
+    assert Adapted(Refuses()).transcribe(["a", "b"], None, "") == [{"text": "a"}, {"text": "b"}] and seen == [["a", "b"], ["a"], ["b"]]
+    with pytest.raises(TypeError):
+        Adapted(Refuses()).transcribe(["bad"], None, "")
     with pytest.raises(TypeError):
         Adapted(object()).transcribe(["a"], None, "")
     with pytest.raises(ValueError):
