@@ -14,11 +14,6 @@ from pyspark.sql.types import StringType
 SPACE = r"[\s\x{1c}-\x{1f}]"
 
 
-@pandas_udf(StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
-
-
 @pandas_udf(StringType())
 def _basic_exact(s: pd.Series) -> pd.Series:
     def one(x: str | None) -> str | None:
@@ -41,16 +36,21 @@ def collapse_space(c: Column) -> Column:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility composition; ASCII texts never reach Python."""
-    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    """Compatibility composition by the Unicode library that comes with Spark, in the JVM; only texts that are not ASCII are composed.
+
+    Equal to Python's on every character that Python's tables know.  Spark calls any such expression nondeterministic, so an
+    aggregate function takes it as a column selected before.
+    """
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(c, F.lit("")), F.lit(True))  # takes no null, also where Spark moves it before the test
+    return F.when(c.rlike(r"[^\x00-\x7F]"), composed).otherwise(c)
 
 
 def normalize_basic(c: Column, compatibility: bool = True, exact: bool = False) -> Column:
     """NFKC, lower case, every run of other than letters and digits one space.
 
-    Built in where a text is ASCII.  ``compatibility=False`` leaves NFKC out and
-    is built in throughout; ``exact`` takes letters from Python's newer Unicode
-    tables.  A null stays null.
+    All of it runs in the JVM, but for ``exact``, which takes letters from
+    Python's Unicode tables where a text is not ASCII.  ``compatibility=False``
+    leaves NFKC out.  A null stays null.
     """
     fast = F.trim(F.regexp_replace(F.lower(nfkc(c) if compatibility and not exact else c), r"[^\p{L}\p{N}]+", " "))
     if not exact:

@@ -37,6 +37,21 @@ def test_normalisation_and_tokens(spark):
         assert words == basic(t).split() and chars == list(basic(t).replace(" ", ""))
 
 
+def test_nfkc_equals_pythons_without_python(spark):
+    """All assigned characters, random sequences of those that compose or decompose, jamo, long and null texts."""
+    known = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) not in ("Cn", "Cs")]
+    rng = random.Random(5)
+    hot = [c for c in known if unicodedata.decomposition(c) or unicodedata.combining(c)]
+    jamo = [chr(c) for c in (*range(0x1100, 0x1113), *range(0x1161, 0x1176), *range(0x11A7, 0x11C3), *range(0xAC00, 0xAC40))]
+    made = ["".join(rng.choice(rng.choice((hot, hot, jamo, known))) for _ in range(rng.randrange(2, 12))) for _ in range(20_000)]
+    texts = [*(c + "x" for c in known), *made, "e\u0301" * 100_000, "", None]
+    df = spark.createDataFrame([(t, None if t is None else unicodedata.normalize("NFKC", t)) for t in texts], "t string, want string")
+    out = df.select("want", text.nfkc(F.col("t")).alias("got"), text.normalize_basic(F.col("t")).alias("basic"))
+    assert out.where("not got <=> want").count() == 0
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.n for r in df.groupBy(F.length(text.nfkc(F.col("t"))).alias("k")).agg(F.count("*").alias("n")).where("k = 100000").collect()] == [1]
+
+
 def test_unknown_modes_are_refused():
     for bad in ({"normalize": "x"}, {"tokenizer": "x"}):
         with pytest.raises(ValueError):
