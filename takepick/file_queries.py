@@ -28,7 +28,7 @@ from takepick.plans import progress
 from takepick.plans.labeling import LabelingRun
 from takepick.schemas import LABEL
 from takepick.sources import sinks
-from takepick.sources.audio_files import read_audio, write_wavs
+from takepick.sources.audio_files import read_audio, write_candidate_audio, write_wavs
 from takepick.sources.label_store import LabelStore
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import label_files, read_jsonl, read_records
@@ -148,36 +148,53 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checkpointed(parts[0].unionAll(parts[1]).unionAll(parts[2]))
 
 
-def _wavs(spark: SparkSession, sf_dir: str, folder: str, stereo: bool) -> DataFrame:
-    """Vectors as WAV files and back: path, rate and samples."""
+def _written(spark: SparkSession, sf_dir: str, folder: str, stereo: bool = False) -> DataFrame:
+    """Vectors as WAV files, ``wav/<vec_id>.wav``: their ids."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             signals = [np.asarray(e, np.float32) for e in pdf["embedding"]]
             data = [audio.encode_pcm16(np.stack((x, x[::-1]), axis=1) if stereo else x, 16000) for x in signals]
-            yield pd.DataFrame({"audio": [f"{folder}/wav/{i}.wav" for i in pdf["vec_id"]], "wav": data})
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "audio": [f"{folder}/wav/{i}.wav" for i in pdf["vec_id"]], "wav": data})
+
+    rows = q.table(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(encode, "vec_id long, audio string, wav binary")
+    return checkpointed(write_wavs(rows).select("vec_id"))
+
+
+def _wavs(spark: SparkSession, folder: str) -> DataFrame:
+    """WAV files read again: rate and samples."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             made = [audio.decode(x) for x in pdf["content"]]
             yield pd.DataFrame({"path": pdf["path"], "rate": [r for _, r in made], "signal": [x.astype(float) for x, _ in made]})
 
-    rows = q.table(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(encode, "audio string, wav binary")
-    write_wavs(rows).agg(F.count_if("written")).collect()
-    read = read_audio(spark, [f"{folder}/wav"]).mapInPandas(decode, "path string, rate int, signal array<double>")
+    read = read_audio(spark, [folder]).mapInPandas(decode, "path string, rate int, signal array<double>")
     return read.select(F.regexp_extract("path", r"(\d+)\.wav$", 1).cast("long").alias("vec_id"), "rate", F.size("signal").cast("long").alias("samples"), F.round(q._signal_hash(F.col("signal")), 6).alias("total"), F.round(F.get("signal", F.lit(3)), 6).alias("fourth"))
 
 
 def wav_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals as PCM16 WAV files and back."""
     with _folder(spark) as f:
-        return checkpointed(_wavs(spark, sf_dir, f, False))
+        _written(spark, sf_dir, f)
+        return checkpointed(_wavs(spark, f"{f}/wav"))
 
 
 def channel_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two channels, the second one backwards, read as their mean."""
     with _folder(spark) as f:
-        return checkpointed(_wavs(spark, sf_dir, f, True))
+        _written(spark, sf_dir, f, stereo=True)
+        return checkpointed(_wavs(spark, f"{f}/wav"))
+
+
+def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips put together piece by piece, with silence between; every seventh candidate lacks its last clip."""
+    with _folder(spark) as f:
+        clip = F.concat(F.lit(f"{f}/wav/"), F.col("vec_id").cast("string"), F.when((F.col("vec_id") % 7 == 3), F.lit(".none")).otherwise(".wav"))
+        own = F.concat(F.lit(f"{f}/wav/"), F.col("vec_id").cast("string"), F.lit(".wav"))
+        rows = _written(spark, sf_dir, f).select("vec_id", F.array(own, own, clip).alias("audio_paths"), F.concat(F.lit(f"{f}/out/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("audio"))
+        made = checkpointed(write_candidate_audio(rows, 16000, 0.5).select("vec_id", F.substring_index("error", ":", 1).alias("error")))
+        return checkpointed(made.join(_wavs(spark, f"{f}/out"), "vec_id", "left"))
 
 
 def resample_polyphase(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,6 +506,7 @@ QUERIES = (
     manifest_files,
     wav_files,
     channel_mean,
+    candidate_files,
     resample_polyphase,
     falsy_texts,
     argument_checks,
@@ -539,6 +557,10 @@ UNION ALL SELECT 'errors', count(*), count(DISTINCT id) FROM v WHERE error IS NO
 FROM (SELECT vec_id, list_transform(embedding, lambda v: {PCM} / 32768) AS s FROM embeddings)""",
         "channel_mean": f"""SELECT vec_id, 16000 AS rate, len(s) AS samples, round(list_sum(s), 6) AS total, round(s[4], 6) AS fourth
 FROM (SELECT vec_id, list_transform(range(1, len(p) + 1), lambda i: (p[i] + p[len(p) + 1 - i]) / 65536) AS s FROM (SELECT vec_id, list_transform(embedding, lambda v: {PCM}) AS p FROM embeddings))""",
+        "candidate_files": f"""WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: greatest(-32768.0, least(32767.0, round_even((({PCM} / 32768)::FLOAT * 32767::FLOAT)::DOUBLE, 0))) / 32768) AS s FROM embeddings),
+x AS (SELECT vec_id, list_concat(list_concat(list_concat(s, z), list_concat(s, z)), s) AS x FROM (SELECT *, [0.0 for i in range(8)] AS z FROM s))
+SELECT vec_id, CASE WHEN vec_id % 7 = 3 THEN 'FileNotFoundError' END AS error, CASE WHEN vec_id % 7 <> 3 THEN 16000 END AS rate, CASE WHEN vec_id % 7 <> 3 THEN len(x) END AS samples,
+  CASE WHEN vec_id % 7 <> 3 THEN round(list_sum(x), 6) END AS total, CASE WHEN vec_id % 7 <> 3 THEN round(x[4], 6) END AS fourth FROM x""",
         "resample_polyphase": """WITH RECURSIVE t AS (SELECT unnest(range(-30, 31)) AS t),
 b AS (SELECT t, 5 * sqrt(1 - (t / 30.0) ** 2) AS x, 0 AS k, 1.0::DOUBLE AS term, 1.0::DOUBLE AS total FROM t
   UNION ALL SELECT t, x, k + 1, term * (x / 2) ** 2 / (k + 1) ** 2, total + term * (x / 2) ** 2 / (k + 1) ** 2 FROM b WHERE k < 40),

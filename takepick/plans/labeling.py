@@ -13,7 +13,7 @@ from takepick.operators import collect, prepare, shard
 from takepick.operators.transcribe import Transcriber, transcribe
 from takepick.plans.jobs import ENDED, run_tagged
 from takepick.plans.progress import Progress
-from takepick.sources.audio_files import concat_candidate_audio, not_yet_written, write_wavs
+from takepick.sources.audio_files import not_yet_written, write_candidate_audio
 from takepick.sources.label_store import LabelStore
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import read_records
@@ -67,8 +67,8 @@ class LabelingRun:
         if self.config.overwrite_audio or not self._marked("audio"):
             delete(self.spark, wavs)
             self._mark("audio")
-        made = concat_candidate_audio(not_yet_written(rows), self.config.sample_rate, self.config.gap_ms, self.config.resample)
-        made = checkpointed(write_wavs(made).select("record_index", "id", "source_json", "candidate_index", "error"))
+        made = write_candidate_audio(not_yet_written(rows), self.config.sample_rate, self.config.gap_ms, self.config.resample)
+        made = checkpointed(made.select("record_index", "id", "source_json", "candidate_index", "error"))
         # a record with a candidate that can't be built is an error as a whole: its first one
         failed = made.where("error is not null").groupBy("record_index", "id", "source_json").agg(F.min_by("error", "candidate_index").alias("error"))
         good = valid.where("error is null").join(failed, "record_index", "left_anti")

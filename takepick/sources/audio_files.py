@@ -3,40 +3,43 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from takepick.functions.audio import concat_wavs
+from takepick.functions.audio import concat_files
 
 
-def concat_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: float = 0.0, method: str = "polyphase") -> DataFrame:
-    """Candidates (with ``audio_paths``) and ``wav`` bytes, or ``error`` where a file is missing or can't be decoded.
+def write_candidate_audio(candidates: DataFrame, sample_rate: int, gap_ms: float = 0.0, method: str = "polyphase") -> DataFrame:
+    """Write each candidate's clips (``audio_paths``) as one WAV to its path ``audio``; the rows, and ``error`` where that fails.
 
-    Files are read by the tasks that need them, clip after clip, so no file
-    passes through a shuffle and a task holds one candidate at a time.
+    Clips are read, resampled and written piece by piece, so the memory of a task doesn't depend on how long they are.
+    Files lie in a file system that all executors share.  A file gets its name once it is whole, so a repeated task is
+    harmless; one that is there is written anew.
     """
-    schema = StructType([*candidates.schema.fields, StructField("wav", BinaryType()), StructField("error", StringType())])
+    schema = StructType([*candidates.schema.fields, StructField("error", StringType())])
+
+    def one(paths: list[str], path: str) -> str | None:
+        part = f"{path}.{uuid.uuid4().hex}.part"
+        try:
+            for p in paths:
+                if not os.path.exists(p):
+                    raise FileNotFoundError(p)
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(part, "wb") as out:
+                concat_files(list(paths), out, sample_rate, gap_ms, method)
+            os.replace(part, path)
+        except Exception as e:
+            if os.path.exists(part):
+                os.remove(part)
+            return f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            wavs, errors = [], []
-            for paths in pdf["audio_paths"]:
-                try:
-                    clips = []
-                    for p in paths:
-                        if not os.path.exists(p):
-                            raise FileNotFoundError(p)
-                        with open(p, "rb") as f:
-                            clips.append(f.read())
-                    wavs.append(concat_wavs(clips, sample_rate, gap_ms, method))
-                    errors.append(None)
-                except Exception as e:
-                    wavs.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pdf.assign(wav=wavs, error=errors)
+            yield pdf.assign(error=[one(paths, path) for paths, path in zip(pdf["audio_paths"], pdf["audio"])])
 
     return candidates.mapInPandas(run, schema)
 

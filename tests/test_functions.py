@@ -3,6 +3,7 @@
 import io
 import math
 import random
+import tracemalloc
 import unicodedata
 import wave
 
@@ -194,3 +195,45 @@ def test_resampling(spark):
     assert np.allclose(up, audio.resampled(x, 8000, 16000, "linear")) and np.allclose(same, x) and len(up) == 20
     assert audio.gap_samples(16000, 200) == 3200 and audio.gap_samples(16000, -5) == 0 and audio.gap_samples(1000, 2.5) == round(2.5)
     assert not math.isnan(up[-1])
+
+
+def wav_of(path, x, rate, width=2, channels=1):
+    raw = (x * (1 << 14)).astype(np.int32)
+    raw = {1: (raw // 256 + 128).astype("u1"), 2: raw.astype("<i2"), 4: (raw << 16).astype("<i4")}.get(width)
+    with wave.open(str(path), "wb") as w:
+        w.setnchannels(channels)
+        w.setsampwidth(width)
+        w.setframerate(rate)
+        w.writeframes(raw.tobytes())
+    return str(path)
+
+
+@pytest.mark.parametrize("method", ["polyphase", "linear"])
+def test_files_piece_by_piece_equal_whole_ones(tmp_path, monkeypatch, method):
+    """Whatever the pieces, files are put together to the bytes that whole signals give."""
+    rng = np.random.default_rng(7)
+    forms = [(16000, 2, 1, 5000), (44100, 2, 2, 9001), (8000, 1, 1, 77), (48000, 4, 2, 4000), (16000, 2, 1, 0), (22050, 2, 1, 0), (11025, 2, 1, 1)]
+    paths = [wav_of(tmp_path / f"{i}.wav", rng.uniform(-1, 1, n * c), rate, w, c) for i, (rate, w, c, n) in enumerate(forms)]
+    want = audio.concat_wavs([open(p, "rb").read() for p in paths], 16000, 3.3, method)
+    for piece in (1, 10, 1000, 1 << 15):
+        monkeypatch.setattr(audio, "PIECE", piece)
+        out = io.BytesIO()
+        audio.concat_files(paths if piece > 1 else paths[2:3] + paths[4:], out, 16000, 3.3, method)
+        assert out.getvalue() == (want if piece > 1 else audio.concat_wavs([open(p, "rb").read() for p in paths[2:3] + paths[4:]], 16000, 3.3, method))
+    with pytest.raises(ValueError):
+        audio.concat_files([], io.BytesIO(), 16000)
+
+
+@pytest.mark.parametrize("method", ["polyphase", "linear"])
+def test_memory_does_not_grow_with_length(tmp_path, method):
+    peaks = []
+    for seconds in (20, 80):
+        path = wav_of(tmp_path / f"{seconds}.wav", np.zeros(44100 * seconds), 44100)
+        tracemalloc.start()
+        with open(tmp_path / "out.wav", "wb") as out:
+            audio.concat_files([path, path], out, 16000, 10, method)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        with wave.open(str(tmp_path / "out.wav")) as w:
+            assert w.getnframes() == 2 * 16000 * seconds + 160
+    assert peaks[1] < 1.1 * peaks[0] + (1 << 16)
