@@ -138,24 +138,21 @@ def duplicate_lines(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id"
                         for i, m in enumerate(marks)
                         if not (i and near[i - 1] and marks[i - 1]["holders"] < m["holders"]) and not (i < len(near) and near[i] and marks[i + 1]["holders"] <= m["holders"])
                     ]
-                rows += [(row["doc_id"], row["text_hash"], first) for first in sorted({m["first"] for m in chosen})]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["doc_id", "text_hash", "first"])
+                rows += [(row["doc_id"], row["text_hash"], *first) for first in sorted({(m["first"], m["first_hash"]) for m in chosen})]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["doc_id", "text_hash", "first", "first_hash"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come partner first (all texts of its id), then the documents compared with it."""
-        at, heads = None, []
+        """Rows come partner first, then the documents compared with it."""
+        hashes, held = [], {}
         for whole in batches:
             for cut in range(0, whole.num_rows, 256):
                 out = []
                 for row in whole.slice(cut, 256).to_pylist():
-                    if at != (at := (row["first"], row["share"])):
-                        heads = []
                     if row["doc_id"] is None:
                         full = [(h, n) for h, n in zip(row["hashes"], row["sizes"]) if h]
-                        heads.append((row["hashes"], starts([h for h, _ in full], [n for _, n in full], min_bytes)))
+                        hashes, held = row["hashes"], starts([h for h, _ in full], [n for _, n in full], min_bytes)
                         continue
-                    lost = sorted({x for hashes, held in heads for x in common_lines(row["hashes"], row["sizes"], hashes, min_bytes, held)})
-                    out.append((row["doc_id"], row["text_hash"], row["first"], lost))
+                    out.append((row["doc_id"], row["text_hash"], row["first"], common_lines(row["hashes"], row["sizes"], hashes, min_bytes, held)))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)], ["doc_id", "text_hash", "first", "lines"])
 
@@ -165,19 +162,22 @@ def duplicate_lines(docs: DataFrame, min_bytes: int = 64, id_col: str = "doc_id"
         described = source.mapInArrow(describe, "doc_id long, text_hash long, hashes array<long>, sizes array<int>, keys array<long>, starts array<int>, ends array<int>")
         described = s.table(described.dropDuplicates(["doc_id", "text_hash"]))
         held = described.select("doc_id", "text_hash", F.inline(F.arrays_zip("keys", "starts", "ends")).alias("key", "start", "end"))
-        shared = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders")).where("first < last")
-        shared = s.table(shared.select("key", "first", "holders"))  # written down, so that the join may split a frequent run
+        first = F.min("doc_id").alias("first"), F.min_by("text_hash", "doc_id").alias("first_hash")  # of several texts of that id any that holds the run
+        shared = held.groupBy("key").agg(*first, F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("holders")).where("first < last")
+        shared = s.table(shared.select("key", "first", "first_hash", "holders"))  # written down, so that the join may split a frequent run
         marks = held.join(shared, "key").where("doc_id > first").groupBy("doc_id", "text_hash")
-        marks = s.table(marks.agg(F.array_sort(F.collect_list(F.struct("start", "end", "first", "holders"))).alias("marks")))
+        marks = s.table(marks.agg(F.array_sort(F.collect_list(F.struct("start", "end", "first", "first_hash", "holders"))).alias("marks")))
+
+        partner = ["first", "first_hash"]  # one text, however many have its id
 
         def lost(known: DataFrame) -> DataFrame:
-            pairs = s.table(known.mapInArrow(nominate, "doc_id long, text_hash long, first long"))
-            shares = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
-            other = described.select(F.col("doc_id").alias("first"), "hashes", "sizes")
-            heads = shares.join(other, "first").select("first", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("text_hash"), "hashes", "sizes")
-            rows = pairs.join(shares, "first").withColumn("share", F.pmod(F.xxhash64("doc_id", "text_hash"), "shares").cast("int"))
+            pairs = s.table(known.mapInArrow(nominate, "doc_id long, text_hash long, first long, first_hash long"))
+            shares = pairs.groupBy(*partner).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+            other = described.select(F.col("doc_id").alias("first"), F.col("text_hash").alias("first_hash"), "hashes", "sizes")
+            heads = shares.join(other, partner).select(*partner, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("text_hash"), "hashes", "sizes")
+            rows = pairs.join(shares, partner).withColumn("share", F.pmod(F.xxhash64("doc_id", "text_hash"), "shares").cast("int"))
             rows = rows.join(described.select("doc_id", "text_hash", "hashes", "sizes"), ["doc_id", "text_hash"]).select(*heads.columns)
-            dealt = heads.unionAll(rows).repartition("first", "share").sortWithinPartitions("first", "share", "doc_id")  # null first: the partner
+            dealt = heads.unionAll(rows).repartition(*partner, "share").sortWithinPartitions(*partner, "share", "doc_id")  # null first: the partner
             return s.table(dealt.mapInArrow(compare, "doc_id long, text_hash long, first long, lines array<int>"))
 
         def together(found: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def dedup_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     """The documents, all rows and columns, without their duplicate lines.
 
     With ``report`` also removed_lines (their number) and sources (ids of the
-    documents that keep them).
+    documents that keep them), in place of columns so named.
     """
     k, h, x, o = fresh(docs, "tp_id", "tp_hash", "tp_lines", "tp_sources")
     lost = found.select(F.col("doc_id").alias(k), F.col("text_hash").alias(h), F.col("lines").alias(x), F.col("sources").alias(o))
@@ -205,4 +205,4 @@ def dedup_lines(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     cleaned = let(F.split(F.col(text_col), "\n", -1), kept)
     joined = docs.join(lost, same, "left").withColumn(text_col, F.when(F.col(x).isNull(), F.col(text_col)).otherwise(cleaned))
     more = [F.coalesce(F.size(x), F.lit(0)).cast("long").alias("removed_lines"), F.coalesce(o, F.array().cast("array<long>")).alias("sources")] if report else []
-    return joined.select(*docs.columns, *more)
+    return joined.select(*(c for c in docs.columns if not report or c.lower() not in ("removed_lines", "sources")), *more)

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from takepick.llm import exact_dedup as exact_module
 from takepick.llm.exact_dedup import exact_dedup
@@ -492,6 +493,23 @@ def test_passages_repeated_in_either_document_or_moved(spark):
     assert kept_lines(spark, rows) == dict(held_before(rows))
 
 
+def test_line_dedup_of_an_id_with_many_texts(spark):
+    """A third of all rows have one id, each with a text and passages of its own: later documents meet just the texts that hold their runs."""
+    rng = random.Random(11)
+    line = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(8))
+    own = [[line() for _ in range(6)] for _ in range(120)]
+    rows = [(5, "\n".join(x)) for x in own]
+    rows += [(100 + i, "\n".join([line(), *own[i % 120][1:4], line(), *own[(i * 7 + 3) % 120][4:], line()])) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.withColumns({"removed_lines": F.lit("x"), "Sources": F.lit("y"), "first_hash": F.lit(1)})
+    out = dedup_lines(docs, duplicate_lines(docs), report=True)
+    assert out.columns == ["doc_id", "text", "first_hash", "removed_lines", "sources"]
+    got = out.collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id == 5) == sorted(rows[:120])
+    assert sorted((r.doc_id, full_lines(r.text)) for r in got) == sorted(held_before(rows))
+    assert all(r.removed_lines >= 5 and 5 in r.sources for r in got if r.doc_id != 5)
+
+
 def test_documents_that_share_short_lines_only(spark):
     rng = random.Random(31)
     verse = [passage(rng, 2, "v") for _ in range(30)]
