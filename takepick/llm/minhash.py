@@ -7,36 +7,32 @@ coordinate is filled for every set, agrees with probability equal to the Jaccard
 similarity, and has the concentration of t independent draws.
 
 Texts of equal words form one class (by a 128-bit digest of the word sequence), of
-which one row goes on.  A group (at first a bucket, that is an equal band) is not
-expanded into its pairs, unless it is one of shared differences (below) with ``SMALL`` members at the most: there
-those of different components that may be linked at all are compared, which gives the same links in fewer rounds.
-In all others each member is compared with the group's most central
-member, its lead, on full shingle sets; connected components are formed.  In a group that then
-still holds several components, members are described by their differences from the
-lead: shingles added and shingles missing.  Of two members of different components one is not linked with
-the lead, and from the sizes follows how many differences they must share to be
-linked (at least one, see ``_differences``).  So those that share one of their
-first differences are the groups of the next round, and all others are proven unlinked.
-A lead has no differences, so groups shrink until none is open, and no link is
-lost.  Similarities count 64-bit hashes of shingles; two distinct ones of a text of n
+which one row goes on.  A group is a bucket, that is an equal band.  First each member is compared with the most central
+member of its groups, their lead, on full shingle sets; connected components are formed.  A group that then still holds
+several components is compared as a whole: its members are dealt out to blocks, and each pair of blocks
+counts the shingles that any two of its members share, all at once as a product of matrices (``linked_sets``).  What comes of
+it are the components that it joins, not its pairs; so a group costs no rounds, and no row is made for a pair of texts.
+A member goes to as many block pairs as its group has blocks, ``PARTS`` at the most until blocks reach ``MOST`` members.
+Similarities count 64-bit hashes of shingles; two distinct ones of a text of n
 shingles share a hash with probability below n * n / 2^65.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from takepick.llm.common import Scratch, Words, mix, sets_of_shingles, stream, text_batches
 from takepick.llm.graph import merged
 
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
-SMALL = 256  # largest group whose members are compared without a lead
+LEAST, MOST, PARTS = 512, 2048, 4  # members of a block, blocks of a group
+WEIGHT = 1 << 19  # shingles of a block
+RARE = 1024  # pairs of sets up to which those that share a shingle are counted one by one
 SHARE = 64  # members compared with one copy of their lead's text
 
 
@@ -86,6 +82,75 @@ def _differences(mine: np.ndarray, lead: np.ndarray, percent: int) -> tuple[int,
     return cost - bound, np.concatenate((mix(added ^ np.uint64(1)), mix(mix(missing) ^ np.uint64(2)))), need, near
 
 
+def shared_counts(doc: np.ndarray, shingle: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Matrix of how many shingles each of the ``left`` documents shares with each of the ``right`` ones; (doc, shingle) are distinct."""
+    sides = []
+    for chosen in (left, right):
+        place = np.full(int(doc[-1]) + 1 if len(doc) else 0, -1)
+        place[chosen[chosen < len(place)]] = np.flatnonzero(chosen < len(place))
+        mine = place[doc] >= 0
+        sides.append((place[doc[mine]], shingle[mine]))
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(both):
+        return out
+    held = []
+    for row, sh in sides:
+        at = np.minimum(np.searchsorted(both, sh), len(both) - 1)
+        there = both[at] == sh
+        order = np.argsort(at[there], kind="stable")
+        column, row = at[there][order], row[there][order]
+        held.append((column, row, np.searchsorted(column, np.arange(len(both) + 1))))
+    (cx, x, fx), (cy, y, fy) = held
+    p, q = np.diff(fx), np.diff(fy)
+    rare = p * q <= RARE
+    # rare shingles: each row of the left with all of the right that hold it too
+    mine = np.flatnonzero(rare[cx])
+    for a in range(0, len(mine), 1 << 15):
+        part = mine[a : a + (1 << 15)]
+        n = q[cx[part]]
+        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        pairs = np.repeat(x[part] * len(right), n) + y[np.repeat(fy[cx[part]], n) + nth]
+        out += np.bincount(pairs, minlength=out.size).reshape(out.shape)
+    # all others: a product of matrices, some columns at a time
+    often = np.flatnonzero(~rare)
+    for a in range(0, len(often), 2048):
+        of = np.full(len(both), -1)
+        of[often[a : a + 2048]] = np.arange(len(often[a : a + 2048]))
+        ones = []
+        for (column, row, _), n in zip(held, out.shape):
+            m = np.zeros((n, len(often[a : a + 2048])), np.float32)
+            mine = of[column] >= 0
+            m[row[mine], of[column[mine]]] = 1
+            ones.append(m)
+        out += ones[0] @ ones[1].T
+    return out
+
+
+def linked_sets(doc: np.ndarray, shingle: np.ndarray, size: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(label, other label) that join what links of ``left`` with ``right`` documents connect; each label but the least of its component is there once."""
+    names, of = np.unique(label, return_inverse=True)
+    if len(names) < 2:
+        return names[:0], names[:0]
+    shared = shared_counts(doc, shingle, left, right)
+    linked = shared * (100 + percent) >= (size[left][:, None] + size[right]) * percent
+    i, j = np.nonzero(linked & (of[left][:, None] != of[right]))
+    edges = np.unique(of[left[i]].astype(np.int64) * len(names) + of[right[j]])
+    u, v = edges // len(names), edges % len(names)
+    least = np.arange(len(names))
+    while True:
+        low, before = np.minimum(least[u], least[v]), least.copy()
+        np.minimum.at(least, u, low)
+        np.minimum.at(least, v, low)
+        np.minimum.at(least, before[u], low)
+        np.minimum.at(least, before[v], low)
+        least = least[least]
+        if (least == before).all():
+            break
+    moved = np.flatnonzero(least != np.arange(len(names)))
+    return names[moved], names[least[moved]]
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -124,27 +189,48 @@ def near_duplicates(
             )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come lead first, then its members."""
+        """Rows come lead first, then its members; those that are linked with it."""
         lead = np.zeros(0, np.uint64)
         for batch in text_batches(batches, "text"):
             doc, sh = sets_of_shingles(Words(batch.column("text").to_pylist()), shingle)
-            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            rows, out, keys = [], [], []
-            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+            cuts, rows = np.searchsorted(doc, np.arange(batch.num_rows + 1)), []
+            for i, a in enumerate(batch.column("a").to_pylist()):
                 mine = sh[cuts[i] : cuts[i + 1]]
                 if a is None:
                     lead = mine
+                elif _differences(mine, lead, percent)[0] <= 0:
+                    rows.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(rows, pa.int64()))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come pair of blocks by pair of blocks: links between labels."""
+        unit, parts = None, []
+
+        def joined() -> pa.RecordBatch:
+            doc, sh, size, label, side = (np.concatenate(x) for x in zip(*parts))
+            doc = np.repeat(np.arange(len(size)), size)
+            one = unit[1] == unit[2]
+            left = np.arange(len(size)) if one else np.flatnonzero(side == unit[1])
+            right = left if one else np.flatnonzero(side == unit[2])
+            made = linked_sets(doc, sh, size, label, left, right, percent)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in made], ["a", "b"])
+
+        for batch in text_batches(batches, "text"):
+            key, i, j = (batch.column(c).to_numpy() for c in ("key", "i", "j"))
+            doc, sh = sets_of_shingles(Words(batch.column("text").to_pylist()), shingle)
+            first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            cuts = [0, *(np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1).tolist(), batch.num_rows]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
                     continue
-                beyond, differ, *need = _differences(mine, lead, percent)
-                rows.append(i)
-                out.append((beyond <= 0, beyond, (100 - percent) * len(lead), *need))
-                keys.append(mix(differ ^ mix(np.array([b], np.int64).view(np.uint64))).view(np.int64) if min(need) <= len(differ) else differ[:0].view(np.int64))
-            ends = np.cumsum([0, *map(len, keys)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate((*keys, np.zeros(0, np.int64)))))
-            made = [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.bool_(), *[pa.int64()] * 4))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("a", "b")), *made, lists], ["a", "b", "near", "beyond", "bound", "need", "need_near", "keys"]
-            )
+                now = (int(key[a]), int(i[a]), int(j[a]))
+                if parts and now != unit:
+                    yield joined()
+                    parts = []
+                unit = now
+                parts.append((doc[:0], sh[first[a] : first[z]], np.diff(first[a : z + 1]), batch.column("label").to_numpy()[a:z], batch.column("block").to_numpy()[a:z]))
+        if parts:
+            yield joined()
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
@@ -187,51 +273,31 @@ def near_duplicates(
             heads = shares.join(texts, shares["b"] == texts["rid"]).select(F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "text")
             rows = pairs.join(shares, "b").select("a", "b", F.pmod(F.xxhash64("a"), "shares").cast("int").alias("share")).join(texts, F.col("a") == F.col("rid")).select("a", "b", "share", "text")
             dealt = heads.unionAll(rows).repartition("b", "share").sortWithinPartitions("b", "share", "a")  # null first: the lead
-            return dealt.select("a", "b", "text").mapInArrow(verify, "a long, b long, near boolean, beyond long, bound long, need long, need_near long, keys array<long>")
+            return dealt.select("a", "b", "text").mapInArrow(verify, "a long, b long")
 
         def possible(x: str, y: str) -> Column:
             return F.least(f"{x}shared", f"{y}shared") * (100 + percent) >= (F.col(f"{x}n") + F.col(f"{y}n")) * percent
 
-        def linked(pairs: DataFrame) -> DataFrame:
-            return s.table(compared(s.table(pairs)).where("near").select("a", "b"))
-
         # the set of fewest lone shingles leads: most of a group of copies are linked with it
         groups = s.table(members.select("key", "rid").join(sizes, "rid"))
         central = F.struct((F.lit(1000) * (F.col("n") - F.col("shared")) / F.col("n")).cast("long").alias("far"), F.col("rid").alias("lead"), F.col("n").alias("lead_n"), F.col("shared").alias("lead_shared"))
         leads = groups.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
         # first each member with the most central lead that it may be linked with at all
         tried = groups.join(leads, "key").select("rid", "n", "shared", "l", "l.*").where(F.col("lead") != F.col("rid")).where(possible("", "lead_"))
-        labels, links = None, [linked(tried.groupBy(F.col("rid").alias("a")).agg(F.min("l.lead").alias("b")))]
-        small = 1  # a bucket has no differences yet
-        while True:
-            labels, links = merged(s, labels, reduce(DataFrame.unionAll, links)), []
-            named = groups.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-            open_ = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.min(central).alias("l")).where("low <> high")
-            open_ = s.table(named.join(open_.select("key", "m", "l.lead"), "key"))
-            if small > 1:
-                x, y = (open_.where(F.col("m") <= small).select("key", *(F.col(c).alias(f"{t}_{c}") for c in groups.columns + ["label"] if c != "key")) for t in "xy")
-                shared = 1 + F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at"))  # if this is the first that two sets share
-                apart = (F.col("x_rid") > F.col("y_rid")) & (F.col("x_label") != F.col("y_label")) & possible("x_", "y_")
-                apart &= shared * (100 + percent) >= F.col("x_beyond") + F.col("y_beyond") + F.col("x_bound")
-                links.append(linked(x.join(y, "key").where(apart).select(F.col("x_rid").alias("a"), F.col("y_rid").alias("b")).distinct()))
-            pairs = s.table(open_.where((F.col("m") > small) & (F.col("rid") != F.col("lead"))).select(F.col("rid").alias("a"), F.col("lead").alias("b")).distinct())
-            if pairs.isEmpty():
-                break
-            found = s.table(compared(pairs))
-            links.append(found.where("near").select("a", "b"))
-            # differences in order of rareness: sets that share ``need`` of them share one of the first size - need + 1
-            held = found.select(F.col("a").alias("rid"), "b", "near", "beyond", "bound", "need", "need_near", F.size("keys").alias("size"), F.explode("keys").alias("key"))
-            several = held.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-            w = Window.partitionBy("b", "rid")
-            held = held.join(several, "key").withColumn("at", F.row_number().over(w.orderBy("m", "key")) + F.col("size") - F.count(F.lit(1)).over(w))
-            held = held.withColumn("any", F.expr("at <= size - need + 1")).where("any or at <= size - need_near + 1")
-            held = s.table(held.select("key", "rid", "any", "near", "at", "size", "beyond", "bound"))
-            several = held.groupBy("key").agg(F.count_if(F.col("any")).alias("any_n"), F.count_if(F.expr("any and near")).alias("near_n"), F.count_if(~F.col("any")).alias("far_n"))
-            several = several.where("any_n > 1 or near_n > 0 and far_n > 0").select("key", "near_n")
-            groups = s.table(held.join(several, "key").where("any or near_n > 0").drop("near_n").join(sizes, "rid"))
-            small = SMALL
-        for more in links:
-            labels = merged(s, labels, more)
+        tried = s.table(tried.groupBy(F.col("rid").alias("a")).agg(F.min("l.lead").alias("b")))
+        labels = merged(s, None, s.table(compared(tried)))
+        # then all members of the groups that hold several components; of groups with the same members one
+        named = groups.select("key", "rid", "n").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        sums = [F.sum(h.cast("decimal(38,0)")) for h in (F.xxhash64("rid"), F.xxhash64("rid", F.lit(1)))]
+        open_ = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("weight"), sums[0].alias("h1"), sums[1].alias("h2"))
+        open_ = open_.where("low <> high").groupBy("m", "h1", "h2", "weight").agg(F.min("key").alias("key"))
+        block = F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.col("m") / PARTS))
+        open_ = s.table(open_.select("key", F.ceil(F.greatest(F.col("m") / block, F.col("weight") / WEIGHT)).cast("int").alias("blocks")))
+        dealt = named.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("rid", "key"), "blocks").cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        units = s.table(dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "label"))
+        units = units.join(texts, "rid").select("key", "i", "j", "block", "label", "text").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        labels = merged(s, labels, s.table(units.mapInArrow(compare, "a long, b long")))
         # back to all rows
         of_class = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("k1", "k2", F.coalesce("label", "rid").alias("label"))
         out = described.drop("bands").join(of_class, ["k1", "k2"], "left").withColumn("label", F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("rid")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from takepick.llm import exact_dedup as exact_module
 from takepick.llm.exact_dedup import exact_dedup
 from takepick.llm.graph import components, merged
-from takepick.llm import line_dedup
+from takepick.llm import line_dedup, minhash
 from takepick.llm.line_dedup import common_lines, dedup_lines, duplicate_lines
 from takepick.llm.common import Scratch, Words, sets_of_shingles
 from takepick.llm.minhash import _differences, near_duplicates, sketch
@@ -517,3 +517,45 @@ def test_documents_that_share_short_lines_only(spark):
     assert all(len(x) < 24 for x in verse)
     got = kept_lines(spark, rows)
     assert got == dict(held_before(rows)) and [len(got[i]) for i in range(1, 6)] == [30, 0, 0, 3, 2]
+
+
+def test_shared_counts_and_what_links_join(monkeypatch):
+    rng = np.random.default_rng(7)
+    for t in range(60):
+        monkeypatch.setattr(minhash, "RARE", int(rng.choice([0, 3, 1024])))
+        n = int(rng.integers(1, 14))
+        sets = [np.unique(rng.integers(0, rng.integers(2, 40), rng.integers(1, 30))).astype(np.uint64) for _ in range(n)]
+        doc, sh, size = np.repeat(np.arange(n), [len(x) for x in sets]), np.concatenate(sets), np.array([len(x) for x in sets])
+        side, label = rng.integers(0, 2, n), rng.integers(0, max(1, n - 2), n) * 10
+        left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if t % 2 else (np.arange(n), np.arange(n))
+        want = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in left for j in right}
+        got = minhash.shared_counts(doc, sh, left, right)
+        assert all(got[a, b] == want[i, j] for a, i in enumerate(left) for b, j in enumerate(right))
+
+        def joined(pairs):
+            low = {x: x for x in label.tolist()}
+            for _ in low:
+                for x, y in pairs:
+                    low[x] = low[y] = min(low[x], low[y])
+            return low
+
+        linked = [(label[i], label[j]) for (i, j), c in want.items() if c * 150 >= (size[i] + size[j]) * 50]
+        assert joined(linked) == joined(list(zip(*minhash.linked_sets(doc, sh, size, label, left, right, 50))))
+
+
+def test_near_duplicates_make_no_rows_for_pairs_of_a_large_group(spark, monkeypatch):
+    """Rows of a group grow with its members: a template's copies whose edits others share, too far apart for one lead."""
+    rng, made = random.Random(11), []
+    table = minhash.Scratch.table
+
+    def counted(self, df):
+        out = table(self, df)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash.Scratch, "table", counted)
+    template = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(f"{w}x{rng.randrange(3)}" if rng.random() < 0.05 else w for w in template)) for i in range(400)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), shingle=4).collect()}
+    assert got == {i: c for (i, _), (_, c) in zip(rows, brute_near(rows, 4))}
+    assert max(made) <= 24 * len(rows)
