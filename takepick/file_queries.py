@@ -341,9 +341,8 @@ def result_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = checkpointed(collect.score(groups, labels))
     with _folder(spark) as f:
         sinks.write_document(collect.results(scored), collect.missing_labels(scored).first()[0], f"{f}/result.json")
-        whole = spark.read.text(f"{f}/result.json", wholetext=True).select(F.parse_json("value").alias("v"))
-        one = whole.select(F.variant_get("v", "$.missing_labels", "long").alias("missing_labels"), F.explode(F.variant_get("v", "$.results", "array<variant>")).alias("r"))
-        one = one.select("missing_labels", F.variant_get("r", "$.id", "string").alias("id"), F.explode(F.variant_get("r", "$.detail", "array<variant>")).alias("d"))
+        whole, missing = sinks.read_document(spark, f"{f}/result.json")
+        one = whole.select(F.lit(missing).cast("long").alias("missing_labels"), F.variant_get("result", "$.id", "string").alias("id"), F.explode(F.variant_get("result", "$.detail", "array<variant>")).alias("d"))
         get = lambda name, kind: F.variant_get("d", f"$.{name}", kind)
         return checkpointed(
             one.select(

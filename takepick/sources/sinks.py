@@ -9,11 +9,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from takepick.sources.listing import literal
 from takepick.sources.shared import checkpointed
 
+TOGETHER = 256  # results that a task holds at once, besides their Arrow batch
+
 
 def compact_json(*columns: str | Column) -> Column:
     """One row as JSON without spaces; null fields are written as null."""
@@ -51,12 +54,18 @@ def result_json(results: DataFrame) -> DataFrame:
     return results.select(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"detail":['), F.array_join(detail, ","), F.lit("]}")).alias("value"))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 def rendered(results: DataFrame) -> DataFrame:
     """Each result as it stands in the document, a comma before it; in order of the records, if they are numbered."""
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bodies = [json.dumps(json.loads(x), ensure_ascii=False, indent=2).replace("\n", "\n    ") for x in batch.column(0).to_pylist()]
+        for part in _parts(batches):
+            bodies = [json.dumps(json.loads(x), ensure_ascii=False, indent=2).replace("\n", "\n    ") for x in part.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([",\n    " + b for b in bodies], pa.string())], ["value"])
 
     ordered = results.sort("record_index") if "record_index" in results.columns else results
@@ -85,8 +94,8 @@ def write_document(results: DataFrame, missing: int, path: str) -> None:
         n = 0
         with open(unfinished, "r+b") as f:
             f.seek(begins.get(TaskContext.get().partitionId(), 0))
-            for batch in batches:
-                n += f.write("".join(batch.column(0).to_pylist()).encode("utf-8"))
+            for part in _parts(batches):
+                n += f.write("".join(part.column(0).to_pylist()).encode("utf-8"))
             f.flush()
             os.fsync(f.fileno())
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
@@ -104,3 +113,18 @@ def write_document(results: DataFrame, missing: int, path: str) -> None:
     finally:
         if os.path.exists(unfinished):
             os.remove(unfinished)
+
+
+def read_document(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """A document of ``write_document``: its results (result variant), one row each, and its number of missing labels.
+
+    Only between two results a line begins with four spaces and a bracket, as strings hold no line ends. So the file is
+    read by a task for each of its splits, and no task holds more than a result at a time.  A document without its end stops the run.
+    """
+    end = r'(?s)\],\n  "missing_labels": (\d+)\n\}\n?\z'
+    rows = spark.read.text(literal(path), lineSep="\n    {")
+    ends = rows.where(F.col("value").rlike(end)).select(F.regexp_extract("value", end, 1).cast("long")).take(2)
+    if len(ends) != 1:
+        raise ValueError(f"{path} is no whole document of results")
+    body = F.regexp_replace(F.regexp_replace("value", end, ""), r"[\s,]+\z", "")
+    return rows.where(~F.col("value").startswith('{\n  "results": [')).select(F.parse_json(F.concat(F.lit("{"), body)).alias("result")), ends[0][0]

@@ -22,7 +22,7 @@ from takepick.queries import EchoTranscriber
 from takepick.schemas import RESULT
 from takepick.sources.listing import expand_paths
 from takepick.sources.records import label_files, read_jsonl, read_records
-from takepick.sources.sinks import append_jsonl, compact_json, result_json, write_document, write_jsonl, write_shards
+from takepick.sources.sinks import append_jsonl, compact_json, read_document, result_json, write_document, write_jsonl, write_shards
 from takepick.streaming.labels import stream_labels
 
 
@@ -193,6 +193,30 @@ def test_document_is_written_by_many_tasks(spark, tmp_path):
     assert os.listdir(tmp_path) == ["result.json"]
 
 
+def test_document_is_read_by_many_tasks(spark, tmp_path):
+    rows = [(i, f"r{i}", '],\n  "missing_labels": 9\n}\n,' * (i % 3) + "\n    {", None if i % 7 == 0 else 0, [(0, i / 3, "},\n    {", "w", "E" if i % 2 else None)] * (i % 4)) for i in range(500)]
+    results = spark.createDataFrame(rows, "record_index long, " + RESULT).repartition(5)
+    path, small = str(tmp_path / "result.json"), {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for part in (results, results.where("record_index = 250"), results.limit(0)):
+            write_document(part, 3, path)
+            got, missing = read_document(spark, path)
+            want = json.load(open(path, encoding="utf-8"))
+            there = got.select(F.to_json("result")).collect()
+            assert sorted((json.loads(r[0]) for r in there), key=lambda r: r["id"]) == sorted(want["results"], key=lambda r: r["id"]) and missing == 3
+        write_document(results, 3, path)
+        assert read_document(spark, path)[0].rdd.getNumPartitions() > 8
+        put(tmp_path / "cut.json", open(path, encoding="utf-8").read()[:-20])
+        with pytest.raises(ValueError):
+            read_document(spark, str(tmp_path / "cut.json"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_progress_while_a_stage_runs(spark, tmp_path, caplog):
     def slow(batches):
         for b in batches:
