@@ -254,12 +254,14 @@ def near_duplicates(
         )
         buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
         members = s.table(entries.join(buckets, "key"))
+        s.drop(entries)
         wanted = members.select("rid").distinct().join(described.select("rid", "doc_id", "text_hash"), "rid")
         texts = s.table(
             source.join(wanted, [source["doc_id"].eqNullSafe(wanted["doc_id"]), source["text_hash"] == wanted["text_hash"]]).select("rid", "text")
         )
         if texts.count() > wanted.count():  # rows repeated with one id and text
-            texts = s.table(texts.dropDuplicates(["rid"]))
+            texts, repeated = s.table(texts.dropDuplicates(["rid"])), texts
+            s.drop(repeated)
 
         # A shingle that no other candidate has is in no intersection: so a set's other shingles bound all its similarities.
         lone = texts.mapInArrow(spread, "shingle long, rid long").groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("rid"))
@@ -280,6 +282,7 @@ def near_duplicates(
 
         # the set of fewest lone shingles leads: most of a group of copies are linked with it
         groups = s.table(members.select("key", "rid").join(sizes, "rid"))
+        s.drop(members)
         central = F.struct((F.lit(1000) * (F.col("n") - F.col("shared")) / F.col("n")).cast("long").alias("far"), F.col("rid").alias("lead"), F.col("n").alias("lead_n"), F.col("shared").alias("lead_shared"))
         leads = groups.groupBy("key").agg(F.min(central).alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "l")
         # first each member with the most central lead that it may be linked with at all
@@ -297,7 +300,9 @@ def near_duplicates(
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         units = s.table(dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "label"))
         units = units.join(texts, "rid").select("key", "i", "j", "block", "label", "text").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        labels = merged(s, labels, s.table(units.mapInArrow(compare, "a long, b long")))
+        links = s.table(units.mapInArrow(compare, "a long, b long"))
+        s.drop(texts, groups)
+        labels = merged(s, labels, links)
         # back to all rows
         of_class = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("k1", "k2", F.coalesce("label", "rid").alias("label"))
         out = described.drop("bands").join(of_class, ["k1", "k2"], "left").withColumn("label", F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("rid")))
